@@ -76,7 +76,6 @@ class ModelConfig:
     samplers_to_try: tuple[str, ...] = SAMPLERS_TO_TRY
     random_state: int = 42
     parallelism: int = 10
-    timeout_seconds: int = 7200
     n_folds: int = 2
     n_iter: int = 100
     use_resampling: bool = True
