@@ -100,7 +100,8 @@ def _search_blocks(queries: DataFrame, points: DataFrame, sizes: dict[int, tuple
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"vec_key": [], "neighbor": [], "d2": []})
+            none = np.array([], dtype=object)
+            return pd.DataFrame({"vec_key": none, "neighbor": none, "d2": none.astype(float)})
         ids = right["id"].to_numpy(dtype=str)
         r, c, d2 = best_in_block(_matrix(left["vec"]), left["ub"].to_numpy(), _matrix(right["vec"]), ids, k)
         return pd.DataFrame({"vec_key": left["vec_key"].to_numpy()[r], "neighbor": ids[c], "d2": d2})
