@@ -175,6 +175,7 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratu
     narrow = df.select(
         F.col(stratum).alias("name"), row_hash(keys, seed).alias("hash"), key_text(keys).alias("key")
     ).withColumn("bucket", F.shiftright("hash", HASH_BITS - bucket_bits))
+    place = F.concat_ws("|", "bucket", F.col("name").cast("string"))
     running = (Window.unboundedPreceding, Window.currentRow)
     by_bucket = Window.partitionBy("name").orderBy("bucket").rowsBetween(*running)
     buckets = (
@@ -182,12 +183,13 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratu
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("cum", F.sum("n").over(by_bucket))
         .filter(_covers(ranks, "name"))
+        .select(place.alias("place"), (F.col("cum") - F.col("n")).alias("before"))
+        .distinct()
         .collect()
     )
-    before = F.lit(None).cast("long")
-    for r in buckets:
-        here = (F.col("name") == F.lit(r["name"])) & (F.col("bucket") == r["bucket"])
-        before = F.when(here, F.lit(r["cum"] - r["n"])).otherwise(before)
+    pairs = [F.lit(x) for r in buckets for x in (r["place"], r["before"])]
+    # one lookup per row, so that a pushed-down filter does not hash a row again per bucket
+    before = F.create_map(*pairs)[place] if pairs else F.lit(None).cast("long")
     by_hash = Window.partitionBy("name", "bucket").orderBy("hash", "key").rowsBetween(*running)
     rows = (
         narrow.withColumn("before", before)
@@ -208,9 +210,17 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratu
     return {name: [cut(name, rank) for rank in listed] for name, listed in ranks.items()}
 
 
-def at_or_before(keys: Sequence[str], seed: int, cut: tuple[int, str] | None) -> Column:
-    """True for rows up to and including the cut in hash order."""
+POSITION = ("_hash", "_hash_key")
+
+
+def with_position(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    """Each row's place in hash order as two columns, hashed once however often they are compared."""
+    return df.withColumns(dict(zip(POSITION, (row_hash(keys, seed), key_text(keys)))))
+
+
+def at_or_before(cut: tuple[int, str] | None) -> Column:
+    """True for rows of :func:`with_position` up to and including the cut."""
     if cut is None:
         return F.lit(False)
-    h = row_hash(keys, seed)
-    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (key_text(keys) <= F.lit(cut[1])))
+    h, key = map(F.col, POSITION)
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (key <= F.lit(cut[1])))

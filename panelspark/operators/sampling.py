@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.hashing import row_uniform
-from panelspark.operators.ranking import at_or_before, hash_cuts
+from panelspark.operators.ranking import POSITION, at_or_before, hash_cuts, with_position
 
 MAX_STRATA = 1000
 
@@ -67,8 +67,9 @@ def under_sample(df: DataFrame, label_col: str, keys: Sequence[str], ratio: floa
             f"a ratio of {ratio} cannot be reached by dropping majority rows"
         )
     cut = hash_cuts(df.filter(F.col(label_col) == F.lit(majority)), keys, seed, {majority: [wanted]}, label_col)
-    kept = at_or_before(keys, seed, cut[majority][0])
-    return df.filter((F.col(label_col) == F.lit(minority)) | ((F.col(label_col) == F.lit(majority)) & kept))
+    chosen = (F.col(label_col) == F.lit(majority)) & at_or_before(cut[majority][0])
+    placed = with_position(df, keys, seed)
+    return placed.filter((F.col(label_col) == F.lit(minority)) | chosen).drop(*POSITION)
 
 
 def _per_class(label_col: str, choices: dict, otherwise=None) -> Column:
@@ -101,8 +102,9 @@ def stratified_split(df: DataFrame, label_col: str, keys: Sequence[str], share:
     total = -(-sum(counts.values()) * share // 1)
     sizes = largest_remainder(counts, int(total))
     cuts = hash_cuts(df, keys, seed, {c: [size] for c, size in sizes.items()}, label_col)
-    chosen = _per_class(label_col, {c: at_or_before(keys, seed, cuts[c][0]) for c in counts})
-    return df.withColumn(out_col, F.when(chosen, names[1]).when(F.col(label_col).isNotNull(), names[0]))
+    chosen = _per_class(label_col, {c: at_or_before(cuts[c][0]) for c in counts})
+    part = F.when(chosen, names[1]).when(F.col(label_col).isNotNull(), names[0])
+    return with_position(df, keys, seed).withColumn(out_col, part).drop(*POSITION)
 
 
 def fold_ends(n: int, k: int) -> list[int]:
@@ -122,10 +124,11 @@ def stratified_folds(df: DataFrame, label_col: str, keys: Sequence[str], k: int
     cuts = hash_cuts(df, keys, seed, {c: fold_ends(n, k) for c, n in counts.items()}, label_col)
 
     def fold(label) -> Column:
-        after = [F.when(at_or_before(keys, seed, cut), 0).otherwise(1) for cut in cuts[label]]
+        after = [F.when(at_or_before(cut), 0).otherwise(1) for cut in cuts[label]]
         return sum(after, F.lit(0))
 
-    return df.withColumn(out_col, _per_class(label_col, {c: fold(c) for c in counts}).cast("int"))
+    number = _per_class(label_col, {c: fold(c) for c in counts}).cast("int")
+    return with_position(df, keys, seed).withColumn(out_col, number).drop(*POSITION)
 
 
 def nested_samples(df: DataFrame, label_col: str, keys: Sequence[str], shares: Sequence[float],
@@ -138,7 +141,8 @@ def nested_samples(df: DataFrame, label_col: str, keys: Sequence[str], shares: S
     def first(label) -> Column:
         expr = F.lit(None).cast("double")
         for share, cut in reversed(list(zip(shares, cuts[label]))):
-            expr = F.when(at_or_before(keys, seed, cut), F.lit(float(share))).otherwise(expr)
+            expr = F.when(at_or_before(cut), F.lit(float(share))).otherwise(expr)
         return expr
 
-    return df.withColumn(out_col, _per_class(label_col, {c: first(c) for c in counts}))
+    smallest = _per_class(label_col, {c: first(c) for c in counts})
+    return with_position(df, keys, seed).withColumn(out_col, smallest).drop(*POSITION)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.hashing import row_hash, row_uniform
 from panelspark.operators.neighbors import nearest
-from panelspark.operators.ranking import at_or_before, hash_cuts
+from panelspark.operators.ranking import POSITION, at_or_before, hash_cuts, with_position
 from panelspark.operators.sampling import class_counts, minority_and_majority
 
 KEY = "row_key"
@@ -37,7 +37,8 @@ def _even_copies(seeds: DataFrame, n_seeds: int, total: int, seed: int) -> DataF
     """``copies`` per seed: as equal as can be, the remainder to the first seeds in hash order."""
     each, extra = divmod(total, n_seeds)
     cut = hash_cuts(seeds.withColumn("_all", F.lit(1)), [KEY], seed, {1: [extra]}, "_all")[1][0]
-    return seeds.withColumn("copies", F.lit(each) + at_or_before([KEY], seed, cut).cast("int"))
+    copies = F.lit(each) + at_or_before(cut).cast("int")
+    return with_position(seeds, [KEY], seed).withColumn("copies", copies).drop(*POSITION)
 
 
 def _interpolate(seeds: DataFrame, minority: DataFrame, neighbours: DataFrame, k: int, label, label_col: str,

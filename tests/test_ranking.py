@@ -70,14 +70,14 @@ def test_hash_cuts(spark):
     ranks = {0: [0, 1, 125, 250], 1: [100], 2: [251], 3: []}
     cuts = ranking.hash_cuts(df, ["k"], 7, ranks, "s", bucket_bits=4)
     for stratum, listed in ranks.items():
-        rows = df.filter(df.s == stratum)
-        sizes = [rows.filter(ranking.at_or_before(["k"], 7, cut)).count() for cut in cuts[stratum]]
+        rows = ranking.with_position(df.filter(df.s == stratum), ["k"], 7)
+        sizes = [rows.filter(ranking.at_or_before(cut)).count() for cut in cuts[stratum]]
         assert sizes == [min(r, 250) for r in listed]
 
 
 def test_hash_cuts_keep_copies_of_a_key_together(spark):
     df = spark.range(300).selectExpr("case when id < 100 then 'same' else cast(id as string) end as k", "1 as s")
     cut = ranking.hash_cuts(df, ["k"], 7, {1: [150]}, "s")[1][0]
-    kept = df.filter(ranking.at_or_before(["k"], 7, cut))
+    kept = ranking.with_position(df, ["k"], 7).filter(ranking.at_or_before(cut))
     assert kept.filter("k = 'same'").count() in (0, 100)
     assert kept.count() >= 150
