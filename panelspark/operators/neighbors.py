@@ -165,15 +165,16 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, id_col: str, vec_col:
     asked = queries.select(F.col(id_col).cast("string").alias("id"), vec.alias("vec"), vector_key(vec).alias("vec_key"))
     known = points.select(F.col(id_col).cast("string").alias("id"), vec.alias("vec"), vector_key(vec).alias("vec_key"))
     copies = Window.partitionBy("vec_key").orderBy("id")
+    n_points = known.count()
     known = known.withColumn("_rn", F.row_number().over(copies)).filter(F.col("_rn") <= wanted).drop("_rn")
     distinct = asked.groupBy("vec_key").agg(F.any_value("vec").alias("vec"))
-
-    n_points = known.count()
     if n_points == 0:
         return asked.select(
             F.col("id").alias("query_id"), F.lit("").alias("neighbor_id"), F.lit(0.0).alias("distance"),
             F.lit(0).alias("rank")).filter(F.lit(False))
     n_pivots = n_pivots or max(1, min(MAX_PIVOTS, n_points // POINTS_PER_PIVOT))
+    if n_pivots > 1:  # read several times below
+        known, distinct = checkpointed(known), checkpointed(distinct)
     chosen = known.groupBy("vec_key").agg(F.any_value("vec").alias("vec"))
     chosen = chosen.orderBy(row_hash(["vec_key"], seed), "vec_key").limit(n_pivots)
     pivots = np.array([row["vec"] for row in chosen.select("vec").collect()], dtype=np.float64)

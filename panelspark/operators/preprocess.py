@@ -21,6 +21,9 @@ from panelspark.functions.features import clean_level
 from panelspark.operators.ranking import exact_medians
 
 
+MAX_LEVELS = 10_000
+
+
 def numeric_moments(df: DataFrame, cols: Sequence[str], filled: dict | None = None) -> dict[str, tuple]:
     """{column: (n, mean, population std)} in one aggregate, after filling NULLs where asked."""
     def value(c: str) -> Column:
@@ -62,6 +65,14 @@ def column_modes(df: DataFrame, cols: Sequence[str], cleaned: bool = False) -> D
     return found.select("column_name", F.col("best.level").alias("level"), (-F.col("best.less")).alias("n"))
 
 
+def _bounded_levels(df: DataFrame, cols: Sequence[str]) -> list:
+    """The counted levels; every one becomes a column, so a table of ids is refused."""
+    rows = level_counts(df, cols, cleaned=True).limit(MAX_LEVELS + 1).collect()
+    if len(rows) > MAX_LEVELS:
+        raise ValueError(f"columns {list(cols)} have more than {MAX_LEVELS} levels; lump the rare ones first")
+    return rows
+
+
 class _PreprocessorParams(Params):
     numeric = Param(Params._dummy(), "numeric", "numeric columns", TypeConverters.toListString)
     categorical = Param(Params._dummy(), "categorical", "text columns", TypeConverters.toListString)
@@ -89,7 +100,7 @@ class PanelPreprocessor(Estimator, _PreprocessorParams, DefaultParamsReadable, D
                 learned["numeric"][c] = {"median": medians[c], "mean": mean, "scale": std or 1.0}
         if categorical:
             found: dict[str, list] = {c: [] for c in categorical}
-            for row in level_counts(df, categorical, cleaned=True).collect():
+            for row in _bounded_levels(df, categorical):
                 found[row["column_name"]].append((-row["n"], row["level"]))
             for c, levels in found.items():
                 mode = min(levels)[1] if levels else None

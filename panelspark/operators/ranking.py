@@ -9,6 +9,7 @@ puts every row where it was before.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
@@ -29,17 +30,19 @@ def default_buckets(df: DataFrame) -> int:
 # -- running totals by value --------------------------------------------------------------------
 
 
+SMALL_TABLE = 100_000
+
+
 def bucket_edges(df: DataFrame, value: str, n_buckets: int) -> list[float]:
-    """Up to ``n_buckets - 1`` cut values that split the rows about evenly."""
+    """Up to ``n_buckets - 1`` cut values that split the rows about evenly; none for few rows."""
     shares = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(value, shares, 20 * n_buckets).alias("edges")).first()
-    return sorted(set(row["edges"] or []))
+    row = df.agg(
+        F.percentile_approx(value, shares, 20 * n_buckets).alias("edges"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(set(row["edges"])) if row["n"] > SMALL_TABLE else []
 
 
 def _bucket_of(value: Column, edges: Sequence[float]) -> Column:
     """How many edges lie below the value."""
-    if not edges:
-        return F.lit(0)
     return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < value))
 
 
@@ -56,10 +59,18 @@ def running_totals(df: DataFrame, value: str, weights: Sequence[str], by: Sequen
         .groupBy(*by, value)
         .agg(*[F.sum(w).alias(w) for w in weights])
     )
-    bucket = _bucket_of(F.col(value), bucket_edges(distinct, value, n_buckets))
-    if descending:
-        bucket = -bucket
-    placed = distinct.withColumn("_bucket", bucket)
+    edges = bucket_edges(distinct, value, n_buckets)
+    direction = F.col(value).desc() if descending else F.col(value).asc()
+    running = (Window.unboundedPreceding, Window.currentRow)
+    if not edges:  # few distinct values, or one
+        group, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(direction).rowsBetween(*running)
+        return distinct.select(
+            *by, value, *weights,
+            *[F.sum(w).over(upto).alias(f"cum_{w}") for w in weights],
+            *[F.sum(w).over(group).alias(f"total_{w}") for w in weights],
+        )
+    bucket = _bucket_of(F.col(value), edges)
+    placed = distinct.withColumn("_bucket", -bucket if descending else bucket)
     # one row per group and bucket
     sums = placed.groupBy(*by, "_bucket").agg(*[F.sum(w).alias(f"_s_{w}") for w in weights])
     group = Window.partitionBy(*by)
@@ -70,12 +81,7 @@ def running_totals(df: DataFrame, value: str, weights: Sequence[str], by: Sequen
         *[F.coalesce(F.sum(f"_s_{w}").over(earlier), F.lit(0)).alias(f"_before_{w}") for w in weights],
         *[F.sum(f"_s_{w}").over(group).alias(f"total_{w}") for w in weights],
     )
-    direction = F.col(value).desc() if descending else F.col(value).asc()
-    inside = (
-        Window.partitionBy(*by, "_bucket")
-        .orderBy(direction)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(*running)
     ranked = placed.withColumns({f"_in_{w}": F.sum(w).over(inside) for w in weights})
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in by]
     on = reduce(and_, same, F.col("r._bucket") == F.col("o._bucket"))
@@ -105,38 +111,88 @@ def _row_at(rows: list, name, rank: int):
     return next((r for r in rows if r["name"] == name and r["cum"] - r["n"] < rank <= r["cum"]), None)
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
+MAX_VALUES_IN_BRACKET = 1_000_000
+
+
+@dataclass(frozen=True)
+class Bracket:
+    """A range of values known to hold the wanted ranks: rows below it, and rows inside it."""
+
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+
+    def holds(self, ranks: Sequence[int]) -> bool:
+        return self.below < min(ranks) and max(ranks) <= self.below + self.inside
+
+    def contains(self, value: Column) -> Column:
+        return value.isNotNull() if self.low is None else value.between(F.lit(self.low), F.lit(self.high))
+
+
+def _quantiles(df: DataFrame, brackets: dict[str, Bracket], shares: dict, accuracy: int) -> dict:
+    """Per column the approximate quantiles of the values inside its bracket, and their number."""
+    inside = {c: F.when(b.contains(F.col(c)), F.col(c)) for c, b in brackets.items()}
+    row = df.agg(
+        *[F.percentile_approx(value, shares[c], accuracy).alias(c) for c, value in inside.items()],
+        *[F.count(value).alias(f"_n_{c}") for c, value in inside.items()],
+    ).first()
+    return {c: (row[c], row[f"_n_{c}"]) for c in brackets}
+
+
+def _counted(df: DataFrame, bounds: dict[str, tuple]) -> dict[str, Bracket]:
+    """The brackets between given bounds, with exact counts."""
+    row = df.agg(*[
+        expr
+        for i, (c, (low, high)) in enumerate(bounds.items())
+        for expr in (
+            F.count_if(F.col(c) < F.lit(low)).alias(f"below{i}"),
+            F.count_if(F.col(c).between(F.lit(low), F.lit(high))).alias(f"inside{i}"),
+        )
+    ]).first()
+    return {c: Bracket(low, high, row[f"below{i}"], row[f"inside{i}"]) for i, (c, (low, high)) in enumerate(bounds.items())}
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
+                  max_inside: int = MAX_VALUES_IN_BRACKET) -> dict[str, float | None]:
     """The exact median of every column; an even count takes the mean of the middle two.
 
-    Pass one brackets each median with approximate quantiles. Pass two counts what lies below
-    each bracket and, per distinct value, what lies inside it, which is a share of about
-    4 / accuracy of the rows. Should a bracket miss, it is widened and counted again.
+    Approximate quantiles bracket each median, and counting tells whether the bracket holds it.
+    A bracket with too many rows is narrowed again, by a factor of about accuracy / 4 per round;
+    one that misses is widened. Only the values inside the last bracket are ever put in order.
     """
-    medians: dict[str, float | None] = {}
-    left, slack = list(cols), 2.0 / accuracy
-    while left:
-        shares = [max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)]
-        first = df.agg(
-            *[F.percentile_approx(c, shares, accuracy).alias(c) for c in left],
-            *[F.count(c).alias(f"_n_{c}") for c in left],
-        ).first()
-        medians |= {c: None for c in left if not first[f"_n_{c}"]}
-        brackets = {c: (*first[c], first[f"_n_{c}"]) for c in left if first[f"_n_{c}"]}
-        medians |= _bracketed_medians(df, brackets) if brackets else {}
-        left = [c for c in left if c not in medians]
-        slack = min(0.5, slack * 8)
-    return {c: medians[c] for c in cols}
-
-
-def _bracketed_medians(df: DataFrame, brackets: dict[str, tuple]) -> dict[str, float]:
-    """Medians of those columns whose bracket (low, high, number of values) holds them."""
-    below = df.agg(*[F.count_if(F.col(c) < F.lit(low)).alias(c) for c, (low, _, _) in brackets.items()]).first()
+    slack = 2.0 / accuracy
+    whole = {c: Bracket(None, None, 0, 0) for c in cols}
+    first = _quantiles(df, whole, {c: [max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)] for c in cols}, accuracy)
+    ranks = {c: [(n + 1) // 2, n // 2 + 1] for c, (_, n) in first.items() if n}
+    brackets = {c: Bracket(None, None, 0, first[c][1]) for c in ranks}
+    bounds = {c: tuple(first[c][0]) for c in ranks}
+    final: dict[str, Bracket] = {}
+    while brackets:
+        for c, b in _counted(df, bounds).items():
+            if not b.holds(ranks[c]):
+                slack = min(0.5, slack * 8)
+            elif b.inside <= max_inside or b.low == b.high or b.inside == brackets[c].inside:
+                final[c] = b
+            else:
+                brackets[c] = b
+        brackets = {c: b for c, b in brackets.items() if c not in final}
+        if brackets:
+            shares = {}
+            for c, b in brackets.items():
+                low, high = ((r - b.below) / b.inside for r in ranks[c])
+                shares[c] = [max(0.0, low - slack), min(1.0, high + slack)]
+            bounds = {c: tuple(found) for c, (found, _) in _quantiles(df, brackets, shares, accuracy).items()}
+    medians = _medians_inside(df, final, ranks) if final else {}
+    return {c: medians.get(c) for c in cols}
+
+
+def _medians_inside(df: DataFrame, brackets: dict[str, Bracket], ranks: dict) -> dict[str, float]:
     inside = F.array(*[
         F.when(
-            F.col(c).between(F.lit(low), F.lit(high)),
-            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")),
+            b.contains(F.col(c)), F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
         )
-        for c, (low, high, _) in brackets.items()
+        for c, b in brackets.items()
     ])
     counts = (
         df.select(F.inline(F.filter(inside, lambda s: s.isNotNull())))
@@ -144,14 +200,9 @@ def _bracketed_medians(df: DataFrame, brackets: dict[str, tuple]) -> dict[str, f
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = {c: [(n + 1) // 2 - below[c], n // 2 + 1 - below[c]] for c, (_, _, n) in brackets.items()}
+    middle = {c: [r - b.below for r in ranks[c]] for c, b in brackets.items()}
     rows = counts.withColumn("cum", F.sum("n").over(upto)).filter(_covers(middle, "name")).collect()
-    medians = {}
-    for c, (lower, upper) in middle.items():
-        low_row, high_row = _row_at(rows, c, lower), _row_at(rows, c, upper)
-        if low_row and high_row:
-            medians[c] = (low_row["value"] + high_row["value"]) / 2.0
-    return medians
+    return {c: sum(_row_at(rows, c, r)["value"] for r in listed) / 2.0 for c, listed in middle.items()}
 
 
 def key_text(keys: Sequence[str]) -> Column:
@@ -162,7 +213,7 @@ BEYOND_LAST = (1 << HASH_BITS, "")
 
 
 def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratum: str,
-              bucket_bits: int = 12) -> dict:
+              bucket_bits: int = 14) -> dict:
     """{stratum: [(hash, key text) …]}: the keys at the given 1-based ranks in hash order.
 
     ``ranks`` maps each stratum value to ascending ranks. A rank below 1 gives None, one beyond

@@ -21,7 +21,9 @@ def numbers(kind, n=2000, seed=1):
 
 @pytest.mark.parametrize("kind", ["even", "ties", "narrow", "one"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_running_totals(spark, kind, descending):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_running_totals(spark, monkeypatch, kind, descending, small):
+    monkeypatch.setattr(ranking, "SMALL_TABLE", small)
     values = numbers(kind)
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "v double, w long")
     found = {r.v: (r.w, r.cum_w, r.total_w) for r in ranking.running_totals(df, "v", ["w"], descending=descending, n_buckets=16).collect()}
@@ -33,14 +35,17 @@ def test_running_totals(spark, kind, descending):
     assert found == {v: (weights[v], s, sums[-1]) for v, s in zip(order, sums)}
 
 
-def test_running_totals_by_group(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_running_totals_by_group(spark, monkeypatch, small):
+    monkeypatch.setattr(ranking, "SMALL_TABLE", small)
     rows = [("a", 1.0, 2), ("a", 3.0, 5), (None, 2.0, 7), (None, 2.0, 1), ("b", None, 1)]
     df = spark.createDataFrame(rows, "g string, v double, w long")
     found = {(r.g, r.v): (r.cum_w, r.total_w) for r in ranking.running_totals(df, "v", ["w"], by=["g"]).collect()}
     assert found == {("a", 1.0): (2, 7), ("a", 3.0): (7, 7), (None, 2.0): (8, 8)}
 
 
-def test_running_totals_have_no_single_task_window(spark):
+def test_running_totals_have_no_single_task_window(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SMALL_TABLE", 0)
     df = spark.createDataFrame([(v, 1) for v in numbers("even")], "v double, w long")
     plan = ranking.running_totals(df, "v", ["w"])._jdf.queryExecution().executedPlan().toString()
     rows = [line for line in plan.splitlines() if "SinglePartition" in line]
@@ -59,10 +64,22 @@ def test_exact_medians(spark, kind, n):
     assert found == {"a": statistics.median(values), "b": statistics.median(known) if known else None, "c": None}
 
 
-def test_missed_bracket_is_widened(spark):
-    df = spark.createDataFrame([(float(i),) for i in range(1000)], "a double")
-    assert ranking._bracketed_medians(df, {"a": (900.0, 950.0, 1000)}) == {}
-    assert ranking._bracketed_medians(df, {"a": (400.0, 600.0, 1000)}) == {"a": 499.5}
+@pytest.mark.parametrize("kind", ["even", "ties", "narrow"])
+def test_brackets_are_narrowed_and_widened(spark, monkeypatch, kind):
+    seen = []
+    plain = ranking._counted
+
+    def counted(df, bounds):
+        if not seen:  # the first bracket misses
+            bounds = {c: (2.0, 3.0) for c in bounds}
+        seen.append(bounds)
+        return plain(df, bounds)
+
+    monkeypatch.setattr(ranking, "_counted", counted)
+    values = numbers(kind, 3001)
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    assert ranking.exact_medians(df, ["a"], accuracy=20, max_inside=5) == {"a": statistics.median(values)}
+    assert len(seen) >= 2
 
 
 def test_hash_cuts(spark):
