@@ -24,25 +24,34 @@ from panelspark.operators.ranking import exact_medians
 MAX_LEVELS = 10_000
 
 
-def numeric_moments(df: DataFrame, cols: Sequence[str], filled: dict | None = None) -> dict[str, tuple]:
-    """{column: (n, mean, population std)} in one aggregate, after filling NULLs where asked."""
-    def value(c: str) -> Column:
-        known = F.col(c).cast("double")
-        return F.coalesce(known, F.lit(filled[c])) if filled and filled[c] is not None else known
-
-    row = df.agg(*[
-        expr
-        for i, c in enumerate(cols)
-        for expr in (
-            F.count(value(c)).alias(f"n{i}"), F.avg(value(c)).alias(f"m{i}"), F.stddev_pop(value(c)).alias(f"s{i}")
-        )
-    ]).first()
-    return {c: (row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+def numeric_moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, tuple]]:
+    """All rows, and {column: (known values, mean, population deviation)}, in one aggregate."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            expr
+            for i, c in enumerate(cols)
+            for expr in (
+                F.count(c).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
+                F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"),
+            )
+        ],
+    ).first()
+    return row["n"], {c: (row[f"n{i}"], row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+
+
+def filled_moments(n: int, mean: float, deviation: float, n_filled: int, value: float) -> tuple[float, float]:
+    """Mean and population deviation after ``n_filled`` further values, all equal to ``value``."""
+    total = n + n_filled
+    centre = (n * mean + n_filled * value) / total
+    spread = n * (deviation**2 + (mean - centre) ** 2) + n_filled * (value - centre) ** 2
+    return centre, (spread / total) ** 0.5
 
 
 def numeric_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, median, mean, std, n), one row per column; all values exact."""
-    medians, moments = exact_medians(df, cols), numeric_moments(df, cols)
+    _, moments = numeric_moments(df, cols)
+    medians = exact_medians(df, cols, {c: moments[c][0] for c in cols})
     rows = [(c, medians[c], moments[c][1], moments[c][2], moments[c][0]) for c in cols]
     schema = "column_name string, median double, mean double, std double, n long"
     return df.sparkSession.createDataFrame(rows, schema)
@@ -92,11 +101,13 @@ class PanelPreprocessor(Estimator, _PreprocessorParams, DefaultParamsReadable, D
         numeric, categorical = self.getOrDefault("numeric"), self.getOrDefault("categorical")
         learned: dict = {"numeric": {}, "categorical": {}}
         if numeric:
-            medians = exact_medians(df, numeric)
-            empty = [c for c in numeric if medians[c] is None]
+            n_rows, moments = numeric_moments(df, numeric)
+            empty = [c for c in numeric if not moments[c][0]]
             if empty:
                 raise ValueError(f"columns {empty} have no values to learn from")
-            for c, (_, mean, std) in numeric_moments(df, numeric, medians).items():
+            medians = exact_medians(df, numeric, {c: moments[c][0] for c in numeric})
+            for c in numeric:
+                mean, std = filled_moments(*moments[c], n_rows - moments[c][0], medians[c])
                 learned["numeric"][c] = {"median": medians[c], "mean": mean, "scale": std or 1.0}
         if categorical:
             found: dict[str, list] = {c: [] for c in categorical}

@@ -111,7 +111,7 @@ def _row_at(rows: list, name, rank: int):
     return next((r for r in rows if r["name"] == name and r["cum"] - r["n"] < rank <= r["cum"]), None)
 
 
-MAX_VALUES_IN_BRACKET = 1_000_000
+MAX_VALUES_IN_BRACKET = 200_000
 
 
 @dataclass(frozen=True)
@@ -130,14 +130,16 @@ class Bracket:
         return value.isNotNull() if self.low is None else value.between(F.lit(self.low), F.lit(self.high))
 
 
-def _quantiles(df: DataFrame, brackets: dict[str, Bracket], shares: dict, accuracy: int) -> dict:
-    """Per column the approximate quantiles of the values inside its bracket, and their number."""
-    inside = {c: F.when(b.contains(F.col(c)), F.col(c)) for c, b in brackets.items()}
-    row = df.agg(
-        *[F.percentile_approx(value, shares[c], accuracy).alias(c) for c, value in inside.items()],
-        *[F.count(value).alias(f"_n_{c}") for c, value in inside.items()],
-    ).first()
-    return {c: (row[c], row[f"_n_{c}"]) for c in brackets}
+def _quantiles(df: DataFrame, brackets: dict[str, Bracket], ranks: dict, slack: float, accuracy: int) -> dict:
+    """Per column two approximate quantiles of the values inside its bracket, around its ranks."""
+    def shares(c: str, b: Bracket) -> list[float]:
+        low, high = ((r - b.below) / b.inside for r in ranks[c])
+        return [max(0.0, low - slack), min(1.0, high + slack)]
+
+    return df.agg(*[
+        F.percentile_approx(F.when(b.contains(F.col(c)), F.col(c)), shares(c, b), accuracy).alias(c)
+        for c, b in brackets.items()
+    ]).first().asDict()
 
 
 def _counted(df: DataFrame, bounds: dict[str, tuple]) -> dict[str, Bracket]:
@@ -153,22 +155,24 @@ def _counted(df: DataFrame, bounds: dict[str, tuple]) -> dict[str, Bracket]:
     return {c: Bracket(low, high, row[f"below{i}"], row[f"inside{i}"]) for i, (c, (low, high)) in enumerate(bounds.items())}
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
+def exact_medians(df: DataFrame, cols: Sequence[str], sizes: dict[str, int] | None = None, accuracy: int = 10_000,
                   max_inside: int = MAX_VALUES_IN_BRACKET) -> dict[str, float | None]:
     """The exact median of every column; an even count takes the mean of the middle two.
 
-    Approximate quantiles bracket each median, and counting tells whether the bracket holds it.
-    A bracket with too many rows is narrowed again, by a factor of about accuracy / 4 per round;
-    one that misses is widened. Only the values inside the last bracket are ever put in order.
+    ``sizes`` are the numbers of known values, counted here where not given. Approximate
+    quantiles bracket each median, and counting tells whether the bracket holds it. A bracket
+    with too many rows is narrowed again, by a factor of about accuracy / 4 per round; one that
+    misses is widened. Only the values inside the last bracket are ever put in order.
     """
+    if sizes is None:
+        sizes = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    ranks = {c: ((sizes[c] + 1) // 2, sizes[c] // 2 + 1) for c in cols if sizes[c]}
+    whole = {c: Bracket(None, None, 0, sizes[c]) for c in ranks}
+    final = {c: b for c, b in whole.items() if b.inside <= max_inside}
+    brackets = {c: b for c, b in whole.items() if c not in final}
     slack = 2.0 / accuracy
-    whole = {c: Bracket(None, None, 0, 0) for c in cols}
-    first = _quantiles(df, whole, {c: [max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)] for c in cols}, accuracy)
-    ranks = {c: [(n + 1) // 2, n // 2 + 1] for c, (_, n) in first.items() if n}
-    brackets = {c: Bracket(None, None, 0, first[c][1]) for c in ranks}
-    bounds = {c: tuple(first[c][0]) for c in ranks}
-    final: dict[str, Bracket] = {}
     while brackets:
+        bounds = _quantiles(df, brackets, ranks, slack, accuracy)
         for c, b in _counted(df, bounds).items():
             if not b.holds(ranks[c]):
                 slack = min(0.5, slack * 8)
@@ -177,12 +181,6 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
             else:
                 brackets[c] = b
         brackets = {c: b for c, b in brackets.items() if c not in final}
-        if brackets:
-            shares = {}
-            for c, b in brackets.items():
-                low, high = ((r - b.below) / b.inside for r in ranks[c])
-                shares[c] = [max(0.0, low - slack), min(1.0, high + slack)]
-            bounds = {c: tuple(found) for c, (found, _) in _quantiles(df, brackets, shares, accuracy).items()}
     medians = _medians_inside(df, final, ranks) if final else {}
     return {c: medians.get(c) for c in cols}
 

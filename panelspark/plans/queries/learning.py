@@ -16,6 +16,7 @@ from panelspark.plans.queries import panel
 from panelspark.plans.queries.book import ctes, query, rounded
 from panelspark.plans.queries.evaluation import scores
 from panelspark.plans.standins import load
+from panelspark.session import checkpointed
 
 MODEL = ModelConfig()
 
@@ -191,7 +192,7 @@ def naive_bayes_scores(spark, sf):
 
 def _panel_scores(spark, sf, classifier: str, params: dict):
     """Fit on the train role of the gold panel and score its test role."""
-    rows = training.training_rows(panel.gold(spark, sf)).persist()
+    rows = checkpointed(training.training_rows(panel.gold(spark, sf)))
     numeric, categorical = training.feature_kinds(rows)
     fitted = PanelPreprocessor(numeric=numeric, categorical=categorical).fit(filters.role(rows, "train"))
 
@@ -238,21 +239,21 @@ def isotonic_calibrated(spark, sf):
 def search_trials(spark, sf):
     """Two models by two folds on the train role; the same trials each time."""
     model = ModelConfig(models_to_try=("GaussianNB", "LogisticRegression"), use_resampling=False, n_iter=3, parallelism=3)
-    runs = training.tune(spark, panel.gold(spark, sf).persist(), "cv", model=model).filter("parent_run_id IS NOT NULL")
+    runs = training.tune(spark, checkpointed(panel.gold(spark, sf)), "cv", model=model).filter("parent_run_id IS NOT NULL")
     found = [F.round(F.col("metrics")[m], 6).alias(m) for m in ("median_cv_log_loss", "median_cv_roc_auc")]
     return runs.select(F.col("tags")["classifier_type"].alias("classifier"), "status", *found)
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
-    df = training.learning_curve(panel.gold(spark, sf).persist(), "GaussianNB", {}, shares=(0.5, 1.0))
+    df = training.learning_curve(checkpointed(panel.gold(spark, sf)), "GaussianNB", {}, shares=(0.5, 1.0))
     return rounded(df, "roc_auc")
 
 
 @query("score_serving_panel")
 def score_serving_panel(spark, sf):
     """Train, calibrate on half of the test rows, and score the serving panel."""
-    trained = training.train(panel.gold(spark, sf).persist(), "LogisticRegression", {"C": 1.0}, None, {})
+    trained = training.train(checkpointed(panel.gold(spark, sf)), "LogisticRegression", {"C": 1.0}, None, {})
     predicted = trained.model.score(panel.gold(spark, sf, serving=True))
     return rounded(predicted.select(*MODEL.key, scoring.PREDICTED), scoring.PREDICTED, digits=4)
 

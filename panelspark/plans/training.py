@@ -156,8 +156,8 @@ def learning_curve(gold: DataFrame, classifier: str, params: dict, sampler: str
     found = None
     for i in range(model.n_folds):
         valid = folded.filter(F.col("fold") == i)
-        sampled = sampling.nested_samples(folded.filter(F.col("fold") != i), model.outcome_col, model.key, shares,
-                                          model.random_state).persist()
+        sampled = sampling.nested_samples(
+            folded.filter(F.col("fold") != i), model.outcome_col, model.key, shares, model.random_state)
         for share in shares:
             part = sampled.filter(F.col("first_share") <= share)
             fitted = PanelPreprocessor(numeric=numeric, categorical=categorical).fit(part)

@@ -12,7 +12,8 @@ from panelspark.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
     session = local_session(
-        8, "tests", spark__sql__warehouse__dir=str(home / "warehouse"), spark__checkpoint__dir=str(home / "checkpoints")
+        8, "tests", spark__sql__warehouse__dir=str(home / "warehouse"), spark__checkpoint__dir=str(home / "checkpoints"),
+        spark__sql__shuffle__partitions="4",
     )
     yield session
     session.stop()

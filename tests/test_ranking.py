@@ -59,7 +59,7 @@ def test_exact_medians(spark, kind, n):
     values = numbers(kind, n)
     other = [None if i % 4 == 0 else -i for i in range(n)]
     df = spark.createDataFrame(list(zip(values, other)), "a double, b int").withColumn("c", F.lit(None).cast("double"))
-    found = ranking.exact_medians(df, ["a", "b", "c"], accuracy=100)
+    found = ranking.exact_medians(df, ["a", "b", "c"], accuracy=100, max_inside=200)
     known = [x for x in other if x is not None]
     assert found == {"a": statistics.median(values), "b": statistics.median(known) if known else None, "c": None}
 
