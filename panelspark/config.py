@@ -82,6 +82,8 @@ class ModelConfig:
     calibration_size: float = 0.5
     perform_calibration: bool = True
     calibration_method: str = "sigmoid"
+    learning_curves: bool = True
+    shap_values: bool = True
     shap_threshold: float = 5.0
     select_from_latest_runs: bool = True
     min_test_roc_auc: float = 0.7

@@ -31,6 +31,13 @@ def mean_abs_attribution(df: DataFrame, features: Sequence[str], shap_col: str =
     return row.select(F.inline(listed))
 
 
+def summarise(values: DataFrame, key: str, threshold: float) -> DataFrame:
+    """(feature, mean_abs) of long attributions, without rows that reach ``threshold`` anywhere."""
+    largest = values.groupBy(key).agg(F.max(F.abs("value")).alias("largest"))
+    kept = largest.filter(F.col("largest") < threshold).select(key)
+    return values.join(kept, key, "left_semi").groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
+
+
 def sampled_shapley(df: DataFrame, key: Sequence[str], features: Sequence[str],
                     score: Callable[[DataFrame], DataFrame], means: Mapping[str, float],
                     n_permutations: int = 8, seed: int = 42, score_col: str = "p") -> DataFrame:

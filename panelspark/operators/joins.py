@@ -13,17 +13,17 @@ from pyspark.sql import types as T
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01,
-             fraction: float = 1.0, seed: int = 42) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01, fraction: float = 1.0,
+             min_rows: int = 1, seed: int = 42) -> DataFrame:
     """Keys that hold at least ``min_share`` of the rows: (keys…). At most 1 / min_share of them.
 
-    ``fraction`` below 1 looks at a part of the rows only. What is found decides how rows are
+    A key of fewer than ``min_rows`` rows seen is never hot. ``fraction`` below 1 looks at a part of the rows only. What is found decides how rows are
     spread over tasks, never which rows a join returns.
     """
     seen = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(fraction, seed)
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("n_total"))
-    hot = F.col("n") >= F.lit(min_share) * total.scalar()
+    hot = (F.col("n") >= F.lit(min_share) * total.scalar()) & (F.col("n") >= min_rows)
     return counts.filter(hot).select(*keys)
 
 
@@ -36,9 +36,10 @@ def _matches_hot(keys: Sequence[str], hot: list[tuple]) -> Column:
     return reduce(or_, matches)
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], min_share: float = 0.01, fraction: float = 1.0) -> list[tuple]:
+def find_hot(df: DataFrame, keys: Sequence[str], min_share: float = 0.01, fraction: float = 1.0,
+             min_rows: int = 1) -> list[tuple]:
     """The hot keys as text tuples; a bounded list by construction."""
-    rows = hot_keys(df, keys, min_share, fraction).select(*[F.col(k).cast("string") for k in keys])
+    rows = hot_keys(df, keys, min_share, fraction, min_rows).select(*[F.col(k).cast("string") for k in keys])
     return [tuple(row) for row in rows.collect()]
 
 

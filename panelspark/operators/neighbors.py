@@ -26,6 +26,7 @@ POINTS_PER_PIVOT = 5_000
 POINTS_PER_BLOCK = 20_000
 QUERIES_PER_BLOCK = 2_000
 QUERIES_AT_ONCE = 128
+HOT_VECTOR_ROWS = 10_000
 
 FOUND = "vec_key string, neighbor string, d2 double"
 
@@ -202,7 +203,7 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, id_col: str, vec_col:
     lists = _best(found, wanted).groupBy("vec_key").agg(
         F.sort_array(F.collect_list(F.struct("d2", "neighbor"))).alias("near"))
     back = joins.keyed_join(asked.select("id", "vec_key"), [(lists, "inner")], ["vec_key"],
-                            joins.find_hot(asked, ["vec_key"], min_share=0.01))
+                            joins.find_hot(asked, ["vec_key"], min_rows=HOT_VECTOR_ROWS))
     near = F.filter("near", lambda s: s["neighbor"] != F.col("id")) if exclude_self else F.col("near")
     ranked = back.select(F.col("id").alias("query_id"), F.posexplode(F.slice(near, 1, k)).alias("pos", "s"))
     return ranked.select(

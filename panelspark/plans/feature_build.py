@@ -114,7 +114,7 @@ def run_feature_build(spark: SparkSession, names: LayerNames, calendar: WaveCale
         return df.withColumn(model.wave_col, F.col(model.wave_col).cast("string"))
 
     members = read("members")
-    hot = joins.find_hot(members, model.key, fraction=0.01)
+    hot = joins.find_hot(members, model.key, fraction=0.01, min_rows=1000)
     panel = build_gold(members, read("attributes"), None if serving else read("labels"),
                        settings, model, kept_levels, hot)
     if names.env == "test":

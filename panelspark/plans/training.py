@@ -135,6 +135,9 @@ def record_balance(before: DataFrame, after: DataFrame, test_scores: DataFrame,
     }
 
 
+NOT_EXPLAINED = ("KNeighborsClassifier", "MLPClassifier")
+
+
 def curve_tables(scores: DataFrame) -> dict[str, DataFrame]:
     """The tables behind the plots of a test evaluation."""
     hard = curves.with_hard_label(scores, "p")
@@ -179,7 +182,7 @@ def attributions(trained: Trained, rows: DataFrame, n_permutations: int = 8, see
     Exact in the margin for a logistic model, sampled in the probability for the others.
     """
     name, unit = trained.model.classifier.name, trained.model
-    if name in ("KNeighborsClassifier", "MLPClassifier"):
+    if name in NOT_EXPLAINED:
         raise ValueError(f"no attributions for {name}")
     names = unit.preprocessor.feature_names
     wide = rows.select(search.KEY, *[F.col(search.VECTOR)[i].alias(f"f{i}") for i in range(len(names))])
@@ -230,13 +233,28 @@ def run_tuning(spark: SparkSession, names: LayerNames, settings: ProcessingConfi
     tables.append_table(runs, names.schema("ml_assets"), RUNS_TABLE)
 
 
+def evaluation_tables(trained: Trained, gold: DataFrame, chosen: tuple, settings: ProcessingConfig,
+                      model: ModelConfig) -> dict[str, DataFrame]:
+    """Everything that is looked at after training, as tables: curves, attributions, learning curve."""
+    found = curve_tables(trained.test_scores)
+    if model.shap_values and trained.model.classifier.name not in NOT_EXPLAINED:
+        values = attributions(trained, trained.resampled, seed=model.random_state)
+        found["shapley"] = explain.summarise(values, search.KEY, model.shap_threshold)
+    if model.learning_curves:
+        found["learning"] = learning_curve(gold, *chosen, settings=settings, model=model)
+    return found
+
+
 def run_training(spark: SparkSession, names: LayerNames, model_root: str,
                  settings: ProcessingConfig = ProcessingConfig(), model: ModelConfig = ModelConfig()) -> str:
-    """Refit the chosen run, save the model, record its test metrics and register it as challenger."""
+    """Refit the chosen run, save the model, record its metrics and curves, register it as challenger.
+
+    Curves go to tables ``curve_<kind>`` with the run's id.
+    """
     gold = tables.read_table(spark, names.schema("gold"), names.gold_table())
-    chosen = choose_run(read_runs(spark, names), f"cv_{names.model}", model)
+    chosen = settings_of(choose_run(read_runs(spark, names), f"cv_{names.model}", model))
     started, run_id = dt.datetime.now(), uuid.uuid4().hex
-    trained = train(gold, *settings_of(chosen), settings, model)
+    trained = train(gold, *chosen, settings, model)
     trained.model.save(spark, model_path(names, run_id, model_root))
     found = metrics.recorded_metrics(trained.test_scores, "label", "p").first().asDict()
     tags = {"outcome_variable": model.outcome_col, "model_type": trained.model.classifier.name,
@@ -247,6 +265,8 @@ def run_training(spark: SparkSession, names: LayerNames, model_root: str,
     run = spark.createDataFrame(
         [(run_id, f"train_{names.model}", None, "FINISHED", started, tags, params, values)], registry.RUNS_SCHEMA)
     tables.append_table(run, names.schema("ml_assets"), RUNS_TABLE)
+    for kind, df in evaluation_tables(trained, gold, chosen, settings, model).items():
+        tables.append_table(df.withColumn("run_id", F.lit(run_id)), names.schema("ml_assets"), f"curve_{kind}")
     _append_events(spark, names, registry.registration(read_events(spark, names), names.registered_model, run_id))
     trained.release()
     return run_id

@@ -238,3 +238,10 @@ def test_mean_abs(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
     shap = explain.linear_shapley(df, {"a": 2.0, "b": -1.0}, explain.feature_means(df, ["a", "b"]))
     assert {r.feature: r.mean_abs for r in explain.mean_abs_attribution(shap, ["a", "b"]).collect()} == {"a": 2.0, "b": 1.0}
+
+
+def test_summary_leaves_extreme_rows_out(spark):
+    rows = [("a", "x", 1.0), ("a", "y", -2.0), ("b", "x", 5.0), ("b", "y", 0.0), ("c", "x", -3.0), ("c", "y", 4.9)]
+    values = spark.createDataFrame(rows, "k string, feature string, value double")
+    found = {r.feature: r.mean_abs for r in explain.summarise(values, "k", 5.0).collect()}
+    assert found == pytest.approx({"x": 2.0, "y": 3.45})

@@ -44,6 +44,7 @@ def test_two_tables_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "POINTS_PER_BLOCK", 10)
     monkeypatch.setattr(neighbors, "QUERIES_PER_BLOCK", 4)
     monkeypatch.setattr(neighbors, "QUERIES_AT_ONCE", 3)
+    monkeypatch.setattr(neighbors, "HOT_VECTOR_ROWS", 1)
     x, y = clustered(60, 2, 1), clustered(90, 2, 2)
     found = neighbors.nearest(frame(spark, x), frame(spark, y, 1000), 4, "id", "vec", exclude_self=False, n_pivots=6)
     assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x), listed(y, 1000), 4, False)

@@ -1,5 +1,7 @@
 """The three entry points from raw tables to scores, on tables written for the purpose."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from panelspark.operators.waves import WaveCalendar
 from panelspark.plans import feature_build, standins, training
 from panelspark.sources import layers, tables
 
-MODEL = ModelConfig(models_to_try=("GaussianNB", "LogisticRegression"), n_iter=2, parallelism=2, use_resampling=False)
+MODEL = ModelConfig(models_to_try=("GaussianNB", "LogisticRegression"), n_iter=2, parallelism=2, use_resampling=False,
+                    learning_curves=False)
 
 
 @pytest.fixture(scope="module")
@@ -121,13 +124,16 @@ def test_life_of_a_model(spark, bronze, gold, tmp_path_factory):
     first = training.run_training(spark, bronze, root, model=MODEL)
     run = registry.get_run(training.read_runs(spark, bronze), first).first()
     assert set(run.metrics) <= set(metrics.TEST_METRICS) and run.params["number_of_features"] == "26"
+    for kind in ("precision_recall", "roc", "confusion", "calibration", "shapley"):
+        curve = spark.table(f"{bronze.schema('ml_assets')}.curve_{kind}")
+        assert not curve.isEmpty() and {r[0] for r in curve.select("run_id").distinct().collect()} == {first}
     assert training.run_validation(spark, bronze, "disabled") is False
     with pytest.raises(ValueError, match="Champion"):
         training.run_scoring(spark, bronze, root, MODEL)
     assert training.run_validation(spark, bronze, "dry_run") is True
     champion = registry.get_version(training.read_events(spark, bronze), bronze.registered_model, "Staging", "Champion")
     assert (champion["version"], champion["run_id"]) == (1, first)
-    training.run_training(spark, bronze, root, model=MODEL)
+    training.run_training(spark, bronze, root, model=replace(MODEL, shap_values=False))
     assert training.run_validation(spark, bronze, "enabled") is False  # equal is not better
     scored = spark.table(training.run_scoring(spark, bronze, root, MODEL))
     assert scored.columns == [*MODEL.key, *SELECTED_FEATURES, scoring.PREDICTED]
