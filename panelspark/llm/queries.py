@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, chat, exact_dedup, packing, sharding, token_files
+from panelspark.llm import bpe, chat, exact_dedup, line_dedup, minhash, packing, pii, quality_rules, sharding, token_files
 from panelspark.llm.store import new_folder, stored, text_or_empty
 from panelspark.llm.tokens import default_tokenizer
 
@@ -78,3 +78,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality_rules.quality_verdicts(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query("op8_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+    return rows.select(
+        "doc_id", "n_copy_lines", "n_near_lines", n_lines.cast("long").alias("n_lines_left"),
+        F.sha2(text_or_empty(), 256).alias("text_sha256"))
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.spans_of(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(pii.all_spans()).alias("spans"))
