@@ -1,11 +1,12 @@
 """Personal data by bootstrapped contextual extraction, over base patterns. DataFrame functions only.
 
 Base spans come from regular expressions and checks per kind (``KINDS``). They are the seeds: the word before a seed
-together with the form of the seed (letters and digits by class) is a lexical pattern, alone and with the word after
-it. The same patterns are read off all other tokens with a digit or an at sign, which are the candidates. Patterns
-and instances make a graph whose edges are counted over all documents; in each round a pattern scores the mean of
-its instances' scores, and an instance the chance that not all of its patterns are wrong. Candidates that a
-high-confidence pattern finds with a high score are added as spans of that kind; base spans always stay.
+is a lexical pattern, alone and with the word after it. The same patterns are read off all other tokens with a digit
+or an at sign, which are the candidates. Patterns and instances make a graph whose edges are counted over all
+documents; in each round a pattern scores the mean of its instances' scores (of any kind, so that mixed contexts stay
+low), and an instance the chance that not all of its patterns are wrong. A candidate that looks like a base kind but
+failed its check is a known negative. Other candidates that a high-confidence pattern finds with a high score are
+added as spans of that kind; base spans always stay.
 
 Spans count in code points and their end is exclusive. A null text is empty. Rows of one id and text get the same
 spans; null ids are ordinary. An empty table gives an empty result. Other columns are left as they are.
@@ -33,7 +34,7 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 SPACE = r"[\x20\x09-\x0D]+"
 CONTEXT_CHARS = 64
 ROUNDS = 3
-MIN_SEEDS = 3
+MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 SPAN = "array<struct<start:long,stop:long,match:string>>"
 
@@ -106,9 +107,9 @@ def candidates(text: Column, spans: Column) -> Column:
     return F.coalesce(F.filter(found, lambda t: (t["stop"] > t["start"]) & free(t)), F.array().cast(SPAN))
 
 
-def form(match: Column) -> Column:
-    """Letters as one a per run, digits as 0 each."""
-    return F.regexp_replace(F.regexp_replace(match, r"\p{L}++", "a"), "[0-9]", "0")
+def refuted(match: Column) -> Column:
+    """Whether a candidate looks like a base kind whose check it must have failed, as it is no base span."""
+    return match.rlike(r"^(?:[0-9]+(?:\.[0-9]+){3}|[0-9](?:[\x20-]?[0-9])*+|\+[0-9][\x20().0-9-]+[0-9])$")
 
 
 def context(text: Column, span: Column) -> tuple[Column, Column]:
@@ -128,14 +129,14 @@ def found_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def with_patterns(span: Column) -> Column:
         left, right = context(text, span)
-        shape = form(span["match"])
+        patterns = F.array(left, F.concat_ws("\t", left, right))
         return F.struct(
             span["start"].alias("start"), span["stop"].alias("stop"), F.lower(span["match"]).alias("instance"),
-            F.lit(None).cast("string").alias("kind"),
-            F.array(F.concat_ws("\t", left, shape), F.concat_ws("\t", left, shape, right)).alias("patterns"))
+            F.lit(None).cast("string").alias("kind"), refuted(span["match"]).alias("refuted"),
+            F.when(left != "", patterns).otherwise(F.array().cast("array<string>")).alias("patterns"))
 
     def seeded(span: Column) -> Column:
-        return with_patterns(span).withField("kind", span["kind"])
+        return with_patterns(span).withField("kind", span["kind"]).withField("refuted", F.lit(False))
 
     both = let(base_spans(text), lambda spans: F.struct(
         F.transform(spans, seeded).alias("spans"), F.transform(candidates(text, spans), with_patterns).alias("others")))
@@ -144,8 +145,10 @@ def found_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def learn(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """Scored patterns ``pattern, kind, confidence`` and instances ``instance, kind, score``, both above the limit."""
-    seen = found.select(F.explode(F.concat("spans", "others")).alias("s")).select("s.kind", "s.instance", F.explode("s.patterns").alias("pattern"))
-    edges = stored(seen.groupBy("pattern", "instance").agg(F.max(F.col("kind").isNotNull()).alias("seed")), "edges")
+    seen = found.select(F.explode(F.concat("spans", "others")).alias("s")).select(
+        "s.kind", "s.instance", "s.refuted", F.explode("s.patterns").alias("pattern"))
+    edges = stored(seen.groupBy("pattern", "instance").agg(
+        F.max(F.col("kind").isNotNull()).alias("seed"), F.max("refuted").alias("refuted")), "edges")
     seeds = stored(seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
     sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("n_seeds"))
                    .where(F.col("n_seeds") >= min_seeds), "sizes")
@@ -157,7 +160,7 @@ def learn(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, mi
         patterns = hits.join(sizes, "pattern").select("pattern", "kind", F.round(F.col("hits") / (F.col("n") + 1), 6).alias("confidence"))
         patterns = stored(patterns, "patterns")
         wrong = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        found_by = edges.where("not seed").join(patterns.where("confidence >= 0.5"), "pattern").groupBy("instance", "kind")
+        found_by = edges.where("not seed and not refuted").join(patterns.where("confidence >= 0.5"), "pattern").groupBy("instance", "kind")
         scores = stored(seeds.unionByName(found_by.agg(F.round(1 - F.exp(wrong), 6).alias("score"))), "scores")
     return patterns.where(F.col("confidence") >= min_confidence), scores.where(F.col("score") >= min_confidence)
 
