@@ -118,8 +118,6 @@ class Bpe:
 
     def learn(self, pieces: set[bytes]) -> None:
         """Encode pieces that were not seen before, all in one batch."""
-        if len(self.cache) + len(pieces) > PIECES_KEPT:
-            self.cache.clear()
         if len(self.word_ids) > PIECES_KEPT:
             self.word_ids.clear()
         cut = {p: self.words_of(p.decode("utf-8", "replace")) for p in pieces}
@@ -132,12 +130,10 @@ class Bpe:
     def encode_batch(self, texts: list[bytes]) -> Iterator[tuple[int, bytes, bytes]]:
         """Per text: number of ids, decimal ids joined by one space, and the decoded text in UTF-8."""
         cut = [t.split() for t in texts]
-        new = {p for pieces in cut for p in pieces} - self.cache.keys()
-        if new:
-            self.learn(new)
-            new = {p for pieces in cut for p in pieces} - self.cache.keys()
-            if new:  # the cache was emptied in between
-                self.learn(new)
+        needed = {p for pieces in cut for p in pieces}
+        if len(self.cache.keys() | needed) > PIECES_KEPT:
+            self.cache.clear()
+        self.learn(needed - self.cache.keys())
         for pieces in cut:
             found = [self.cache[p] for p in pieces]
             yield sum(f[0] for f in found), b"".join([f[1] for f in found])[1:], b"".join([f[2] for f in found])[1:]
