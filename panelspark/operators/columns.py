@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def normalise_names(df: DataFrame, rule: str = "snake") -> DataFrame:
 def recode(df: DataFrame, col: str, mapping: Mapping, new_col: str | None = None) -> DataFrame:
     """Replace values by ``mapping``; what it does not list becomes NULL.
 
-    Short mappings are a literal in the plan, longer ones a joined table.
+    Short mappings are a literal in the plan, longer ones a joined table of the same types.
     """
     target = new_col or col
     if not mapping:
@@ -48,10 +49,25 @@ def recode(df: DataFrame, col: str, mapping: Mapping, new_col: str | None = None
     if len(mapping) <= MAX_LITERAL_MAP:
         pairs = [F.lit(x) for pair in mapping.items() for x in pair]
         return df.withColumn(target, F.create_map(*pairs)[F.col(col)])
-    table = df.sparkSession.createDataFrame(list(mapping.items()), ["_from", "_to"])
+    table = _mapping_table(df, mapping)
     return recode_by_table(df, col, table, "_from", "_to", target)
 
 
+def _mapping_table(df: DataFrame, mapping: Mapping) -> DataFrame:
+    """(_from, _to) with the types that a literal of the mapping has: one value of each Python type decides, and of
+    decimals one of each length and scale."""
+
+    def kind(x) -> tuple:
+        return (type(x), len(x.as_tuple().digits), x.as_tuple().exponent) if isinstance(x, Decimal) else (type(x),)
+
+    some = [list({kind(x): x for x in side if x is not None}.values()) for side in (mapping.keys(), mapping.values())]
+    one = df.sparkSession.range(1).select(*(F.array(*map(F.lit, x)).alias(c) for c, x in zip(("_from", "_to"), some)))
+    kinds = [f.dataType.elementType for f in one.schema.fields]
+    plain = [float if isinstance(k, (T.DoubleType, T.FloatType)) else lambda x: x for k in kinds]
+    rows = [tuple(None if x is None else f(x) for f, x in zip(plain, pair)) for pair in mapping.items()]
+    return df.sparkSession.createDataFrame(rows, T.StructType([T.StructField(c, k) for c, k in zip(("_from", "_to"), kinds)]))
+
+
 def recode_by_table(df: DataFrame, col: str, table: DataFrame, from_col: str, to_col: str,
                     new_col: str | None = None) -> DataFrame:
     """The same recode with the mapping in a table of one row per value. Spark picks the join."""

@@ -22,7 +22,8 @@ def hard_label(prob_col: str) -> Column:
 
 def _log_loss(y: Column, p: Column) -> Column:
     clipped = F.greatest(F.lit(EPS), F.least(F.lit(1 - EPS), p.cast("double")))
-    return F.avg(-F.when(y == 1, F.log(clipped)).otherwise(F.log(F.lit(1.0) - clipped)))
+    cost = F.when(y == 1, F.log(clipped)).otherwise(F.log(F.lit(1.0) - clipped))
+    return F.avg(F.when(y.isNotNull() & p.isNotNull(), -cost))
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -31,14 +32,20 @@ def _ratio(num: Column, den: Column) -> Column:
 
 
 def _pointwise(y: Column, p: Column, pred: Column) -> dict[str, Column]:
-    """Metrics that need no order of the scores: one aggregate."""
+    """Metrics that need no order of the scores: one aggregate.
+
+    A row counts if it has label, score and predicted label; the others are left out and counted.
+    """
+    whole = y.isNotNull() & p.isNotNull() & pred.isNotNull()
+    y, p, pred = (F.when(whole, x) for x in (y, p, pred))
     tp, fp, fn = (
         F.count_if((y == 1) & (pred == 1)),
         F.count_if((y == 0) & (pred == 1)),
         F.count_if((y == 1) & (pred == 0)),
     )
     return {
-        "n": F.count(F.lit(1)),
+        "n": F.count(y),
+        "n_left_out": F.count(F.lit(1)) - F.count(y),
         "log_loss_hard": _log_loss(y, pred),
         "log_loss": _log_loss(y, p),
         "accuracy": F.avg((y == pred).cast("double")),
@@ -58,8 +65,12 @@ def pointwise_metrics(df: DataFrame, label: str, prob: str, pred: str | None = N
 
 
 def score_curve(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct score, best first: tp and fp at that threshold, and class totals."""
-    flagged = df.select(
+    """One row per distinct score, best first: tp and fp at that threshold, and class totals.
+
+    Rows without label or score are left out.
+    """
+    whole = df.where(F.col(label).isNotNull() & F.col(prob).isNotNull())
+    flagged = whole.select(
         *by, F.col(prob).alias("score"),
         F.col(label).cast("long").alias("pos"), (1 - F.col(label)).cast("long").alias("neg"),
     )
@@ -98,7 +109,7 @@ def evaluate(df: DataFrame, label: str, prob: str, pred: str | None = None,
         points, ranks = points.withColumn("_row", F.lit(1)), ranks.withColumn("_row", F.lit(1))
     on = reduce(and_, [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by or ["_row"]])
     names = [c for c in points.columns if c not in ("_row", *by)]
-    return points.alias("p").join(ranks.alias("r"), on).select(
+    return points.alias("p").join(ranks.alias("r"), on, "left").select(
         *[F.col(f"p.{c}").alias(c) for c in [*by, *names]],
         "roc_auc",
         "auprc",

@@ -22,8 +22,10 @@ MIN_BUCKETS, MAX_BUCKETS = 8, 1024
 
 
 def default_buckets(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, within bounds."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """As many buckets as the session has shuffle partitions, within bounds; where the platform sets them by
+    itself, as many as tasks run at a time."""
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    partitions = int(setting) if setting.isdigit() else df.sparkSession.sparkContext.defaultParallelism
     return max(MIN_BUCKETS, min(MAX_BUCKETS, partitions))
 
 
@@ -204,7 +206,9 @@ def _medians_inside(df: DataFrame, brackets: dict[str, Bracket], ranks: dict) ->
 
 
 def key_text(keys: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys])
+    """The key as one text; a bar or backslash in a value is escaped and NULL differs from an empty text."""
+    values = [F.regexp_replace(F.col(c).cast("string"), r"([|\\])", r"\\$1") for c in keys]
+    return F.concat_ws("|", *[F.coalesce(v, F.lit("\\0")) for v in values])
 
 
 BEYOND_LAST = (1 << HASH_BITS, "")

@@ -294,7 +294,7 @@ def run_search(spark: SparkSession, folds: list[Fold], trials: DataFrame, experi
             status, tags["status"] = "FINISHED", "OK"
         except Exception as error:  # noqa: BLE001 - a trial may fail in any library it calls
             found, status = {"loss": math.inf}, "FAILED"
-            tags |= {"status": "FAIL", "error": str(error).splitlines()[0][:200] if str(error) else type(error).__name__}
+            tags |= {"status": "FAIL", "error": str(error) or type(error).__name__}
         return (uuid.uuid4().hex, experiment_id, parent, status, begun, tags, params,
                 {k: float(v) for k, v in found.items() if v is not None})
 

@@ -40,13 +40,13 @@ def _curve_ctes(by: str, source: str | None = None) -> str:
     return ctes(**parts)
 
 
-POINTS = """SELECT {by}, count(*) AS n,
+POINTS = """SELECT {by}, count(*) AS n, 0 AS n_left_out,
   avg(CASE WHEN y = (p > 0.5)::INT THEN -ln(1 - 2.220446049250313e-16::DOUBLE) ELSE -ln(2.220446049250313e-16::DOUBLE) END) AS log_loss_hard,
   avg(-CASE WHEN y = 1 THEN ln(greatest(p, 2.220446049250313e-16::DOUBLE)) ELSE ln(1 - least(p, 1 - 2.220446049250313e-16::DOUBLE)) END) AS log_loss,
   avg((y = (p > 0.5)::INT)::INT) AS accuracy,
   count_if(y = 1 AND p > 0.5) AS tp, count_if(y = 0 AND p > 0.5) AS fp, count_if(y = 1 AND p <= 0.5) AS fn,
   avg(y) AS prevalence, avg((p - y) * (p - y)) AS brier FROM s GROUP BY {by}"""
-METRICS = """n, round(log_loss_hard, 6) AS log_loss_hard, round(log_loss, 6) AS log_loss, round(accuracy, 6) AS accuracy,
+METRICS = """n, n_left_out, round(log_loss_hard, 6) AS log_loss_hard, round(log_loss, 6) AS log_loss, round(accuracy, 6) AS accuracy,
   round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
   round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, round(prevalence, 6) AS prevalence,
   round(brier, 6) AS brier"""
@@ -71,30 +71,54 @@ def evaluate_by_group(spark, sf):
     return rounded(rounded(df, *METRIC_COLS, "roc_auc", "auprc"), "auprc_lift", digits=4)
 
 
+# the same scores with every seventh label and every eleventh score missing
+HOLES = f"SELECT o_orderkey, grp, nullif(y, CASE WHEN o_orderkey % 7 = 0 THEN y END) AS y, nullif(p, CASE WHEN o_orderkey % 11 = 0 THEN p END) AS p FROM ({SCORES})"
+
+
+@query("metrics_with_missing_values", _curve_ctes("grp", f"SELECT * FROM ({HOLES}) WHERE y IS NOT NULL AND p IS NOT NULL") + f"""
+, m AS ({POINTS.format(by="grp")}), o AS (SELECT grp, count(*) - count(y + p) AS n_out FROM ({HOLES}) GROUP BY grp)
+SELECT grp, {METRICS.replace("n_left_out", "n_out AS n_left_out")}, roc_auc, auprc FROM m JOIN rank USING (grp) JOIN o USING (grp)
+""")
+def metrics_with_missing_values(spark, sf):
+    df = scores(spark, sf)
+    missing = {"y": F.col("o_orderkey") % 7 == 0, "p": F.col("o_orderkey") % 11 == 0}
+    df = df.withColumns({c: F.when(~gone, F.col(c)) for c, gone in missing.items()})
+    found = metrics.evaluate(df, "y", "p", by=["grp"]).drop("auprc_lift")
+    return rounded(found, *METRIC_COLS, "roc_auc", "auprc")
+
+
 RECORDED = {
     "test_log_loss": "log_loss_hard", "test_precision": "precision", "test_recall": "recall", "test_f1": "f1",
     "test_roc_auc": "roc_auc", "test_auprc": "auprc", "test_auprc_baseline": "prevalence", "test_brier": "brier",
+    "test_auprc_lift": "auprc_lift",
 }
 
 
 @query("recorded_metrics", _curve_ctes("grp") + ", m AS (" + POINTS.format(by="grp") + f"""),
-e AS (SELECT grp, {METRICS}, roc_auc, auprc FROM m JOIN rank USING (grp))
+e AS (SELECT grp, {METRICS}, roc_auc, auprc, round(auprc / prevalence, 4) AS auprc_lift FROM m JOIN rank USING (grp))
 SELECT grp, {", ".join(f"{v} AS {k}" for k, v in RECORDED.items())} FROM e
 """)
 def recorded_metrics(spark, sf):
-    df = metrics.recorded_metrics(scores(spark, sf), "y", "p", by=["grp"]).drop("test_auprc_lift")
-    return rounded(df, *RECORDED)
+    df = metrics.recorded_metrics(scores(spark, sf), "y", "p", by=["grp"])
+    return rounded(rounded(df, *RECORDED), "test_auprc_lift", digits=4)
+
+
+MEDIANS = {
+    "median_cv_log_loss": "log_loss_hard", "median_cv_accuracy": "accuracy", "median_cv_precision": "precision",
+    "median_cv_recall": "recall", "median_cv_f1": "f1", "median_cv_roc_auc": "roc_auc", "median_cv_avg_precision": "auprc",
+    "median_cv_response_rate": "prevalence", "median_cv_avg_precision_lift": "auprc_lift",
+}
+BY_FOLD = f"SELECT o_orderkey % 5 AS fold, grp, y, p FROM ({SCORES})"
 
 
-@query("median_over_folds", ctes(s=f"SELECT o_orderkey % 5 AS fold, grp, y, p FROM ({SCORES})",
-                                m="SELECT grp, fold, avg(y) AS r, avg((y = (p > 0.5)::INT)::INT) AS a FROM s GROUP BY grp, fold") + """
-SELECT grp, round(median(a), 6) AS median_cv_accuracy, round(median(r), 6) AS median_cv_response_rate FROM m GROUP BY grp
+@query("median_over_folds", _curve_ctes("grp, fold", BY_FOLD) + f""", m AS ({POINTS.format(by="grp, fold")}),
+e AS (SELECT grp, fold, {METRICS}, roc_auc, auprc, auprc / prevalence AS auprc_lift FROM m JOIN rank USING (grp, fold))
+SELECT grp, {", ".join(f"round(median({v}), 4) AS {k}" for k, v in MEDIANS.items())} FROM e GROUP BY grp
 """)
 def median_over_folds(spark, sf):
     df = scores(spark, sf).withColumn("fold", F.col("o_orderkey") % 5)
     folds = metrics.evaluate(df, "y", "p", by=["grp", "fold"])
-    found = metrics.median_over_folds(folds, ["grp"]).select("grp", "median_cv_accuracy", "median_cv_response_rate")
-    return rounded(found, "median_cv_accuracy", "median_cv_response_rate")
+    return rounded(metrics.median_over_folds(folds, ["grp"]), *MEDIANS, digits=4)
 
 
 BOTH_CLASSES = f"""SELECT 'positive' AS class, y, p FROM ({SCORES})

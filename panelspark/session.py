@@ -30,13 +30,15 @@ def local_session(cpus: int | str = "*", app: str = "panelspark", **conf: str) -
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A reliable checkpoint outlives lost executors. Where no folder is named (tests), one below
-    the session's warehouse folder is used.
+    A reliable checkpoint outlives lost executors. Without the setting only a session on a single
+    machine works, below its warehouse folder; on a cluster that folder could be local to the driver.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not folder:
             warehouse = spark.conf.get("spark.sql.warehouse.dir")
             folder = f"{warehouse.rstrip('/')}/_checkpoints"

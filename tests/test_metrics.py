@@ -42,7 +42,7 @@ def test_all_metrics(spark, rows):
     n = len(rows)
     prevalence = sum(y for y, _ in rows) / n
     assert found == pytest.approx({
-        "n": n,
+        "n": n, "n_left_out": 0,
         "log_loss_hard": sum(-math.log(eps if y != h else 1 - eps) for y, h in hard) / n,
         "log_loss": sum(-math.log(p if y else 1 - p) for y, p in clip) / n,
         "accuracy": sum(y == h for y, h in hard) / n,
@@ -52,6 +52,16 @@ def test_all_metrics(spark, rows):
     })
 
 
+def test_rows_without_label_or_score_are_left_out(spark):
+    rows = noisy(60)
+    whole = metrics.evaluate(frame(spark, rows), "y", "p").first().asDict()
+    holes = [(None, 0.9), (0, None), (1, None), (None, None)]
+    found = metrics.evaluate(frame(spark, rows + holes), "y", "p").first().asDict()
+    assert found == pytest.approx(whole | {"n_left_out": len(holes)})
+    none = metrics.evaluate(frame(spark, holes), "y", "p").first()
+    assert (none["n"], none["n_left_out"], none["log_loss"], none["roc_auc"]) == (0, 4, None, None)
+
+
 def test_auc_equals_the_library_one(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 

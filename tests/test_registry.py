@@ -75,7 +75,7 @@ def test_version_life(spark):
         registry.get_registered_model(events, "m")
     add(registry.registration(events, "m", "r1"))
     assert registry.get_version(events, "m")["version"] == 1
-    with pytest.raises(ValueError, match="No model version found in stage 'Staging' with alias 'Champion'"):
+    with pytest.raises(ValueError, match="has no version with stage 'Staging' and alias 'Champion'"):
         registry.get_version(events, "m", "Staging", "Champion")
     add(registry.transition(events, events.select("name", "version").distinct()))
     assert registry.get_version(events, "m", "Staging", "Champion")["run_id"] == "r1"
