@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from panelspark.config import Contract
 
 
+WIDENED = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType)
+
+
 class CheckSummary(NamedTuple):
     schema_check: bool
     missingness_in_response: bool
@@ -28,6 +31,13 @@ def wrong_types(df: DataFrame, expected: dict[str, str]) -> list[tuple[str, str,
     return [(c, t, found.get(c)) for c, t in expected.items() if found.get(c) != t]
 
 
+def type_check(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """(column_name, expected, found, passed), one row per expected column."""
+    wrong = {c: found for c, _, found in wrong_types(df, expected)}
+    rows = [(c, t, wrong.get(c, t), c not in wrong) for c, t in expected.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, expected string, found string, passed boolean")
+
+
 def out_of_range(value: Column, low, high) -> Column:
     return ~value.between(F.lit(low), F.lit(high))
 
@@ -99,7 +109,8 @@ def schema_signature(df: DataFrame, cols: list[str]) -> str:
 def enforce_signature(df: DataFrame, signature: str) -> DataFrame:
     """The signature's columns in its order and types. Missing columns are an error.
 
-    INT may widen to the trained type; any other change of type is an error.
+    A type of which every value is a DOUBLE may widen to it (integers up to INT, FLOAT); any other change of
+    type is an error, as BIGINT and DECIMAL could lose digits.
     """
     wanted = T.StructType.fromJson(json.loads(signature))
     found = {f.name: f.dataType for f in df.schema.fields}
@@ -109,7 +120,7 @@ def enforce_signature(df: DataFrame, signature: str) -> DataFrame:
     picked = []
     for f in wanted:
         if found[f.name] != f.dataType:
-            if not (isinstance(found[f.name], T.NumericType) and isinstance(f.dataType, T.DoubleType)):
+            if not (isinstance(found[f.name], WIDENED) and isinstance(f.dataType, T.DoubleType)):
                 raise ValueError(f"column {f.name} is {found[f.name]}, the model was trained on {f.dataType}")
         picked.append(F.col(f.name).cast(f.dataType).alias(f.name))
     others = [F.col(c) for c in df.columns if c not in {f.name for f in wanted}]

@@ -218,16 +218,21 @@ def move_alias(events: DataFrame, moves: DataFrame, alias: str) -> DataFrame:
         F.when(chosen, F.lit(alias)).alias("alias"), "run_id")
 
 
+def registrations(events: DataFrame, new: DataFrame) -> DataFrame:
+    """Events that register the next version of each model of ``new`` (name, run_id) as challenger."""
+    known = events.groupBy("name").agg(F.max("version").alias("_version"), F.max("seq").alias("_seq"))
+    found = new.select("name", "run_id").join(known, "name", "left")
+    return found.select(
+        "name", (F.coalesce("_version", F.lit(0)) + 1).cast("int").alias("version"),
+        (F.coalesce("_seq", F.lit(0)) + 1).cast("long").alias("seq"), F.lit("None").alias("stage"),
+        F.lit("Challenger").alias("alias"), "run_id",
+    )
+
+
 def registration(events: DataFrame, name: str, run_id: str) -> DataFrame:
     """The event that registers the next version of a model as challenger."""
-    known = events.filter(F.col("name") == name).agg(
-        F.coalesce(F.max("version"), F.lit(0)).alias("version"), F.coalesce(F.max("seq"), F.lit(0)).alias("seq")
-    )
-    return known.select(
-        F.lit(name).alias("name"), (F.col("version") + 1).cast("int").alias("version"),
-        (F.col("seq") + 1).cast("long").alias("seq"), F.lit("None").alias("stage"),
-        F.lit("Challenger").alias("alias"), F.lit(run_id).alias("run_id"),
-    )
+    new = events.sparkSession.range(1).select(F.lit(name).alias("name"), F.lit(run_id).alias("run_id"))
+    return registrations(events.filter(F.col("name") == name), new)
 
 
 def transition(events: DataFrame, moves: DataFrame, stage: str = "Staging") -> DataFrame:

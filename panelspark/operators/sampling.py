@@ -17,10 +17,14 @@ from panelspark.operators.ranking import POSITION, at_or_before, hash_cuts, with
 MAX_STRATA = 1000
 
 
+def class_count_table(df: DataFrame, *label_cols: str) -> DataFrame:
+    """(label…, n): rows per class."""
+    return df.groupBy(*label_cols).agg(F.count(F.lit(1)).alias("n"))
+
+
 def class_counts(df: DataFrame, label_col: str) -> dict:
     """Rows per class. Strata are few; more than a thousand are taken for a mistake."""
-    counted = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.limit(MAX_STRATA + 1).collect()
+    rows = class_count_table(df, label_col).limit(MAX_STRATA + 1).collect()
     if len(rows) > MAX_STRATA:
         raise ValueError(f"{label_col} has more than {MAX_STRATA} values, too many to stratify by")
     return {r[label_col]: r["n"] for r in rows if r[label_col] is not None}
@@ -28,7 +32,7 @@ def class_counts(df: DataFrame, label_col: str) -> dict:
 
 def class_balance(df: DataFrame, label_col: str) -> DataFrame:
     """(label, n, share) per class, as a table."""
-    counted = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+    counted = class_count_table(df, label_col)
     return counted.withColumn("share", F.col("n") / counted.agg(F.sum("n").alias("total")).scalar())
 
 

@@ -217,3 +217,22 @@ def duplicate_keys(spark, sf):
 @query("rows_per_key", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def rows_per_key(spark, sf):
     return joins.rows_per_key(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("enforced_signature", """
+SELECT l_orderkey, l_shipdate, CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_quantity FROM lineitem
+""")
+def enforced_signature(spark, sf):
+    """A model was trained on doubles; whole numbers up to INT widen to them."""
+    df = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    trained = checks.schema_signature(df.withColumn("l_linenumber", F.col("l_linenumber").cast("double")), ["l_linenumber", "l_quantity"])
+    return checks.enforce_signature(df, trained)
+
+
+@query("column_type_check", ctes(t="""SELECT * FROM (VALUES ('l_orderkey', 'bigint', 'bigint'), ('l_linenumber', 'double', 'int'),
+  ('l_quantity', 'double', 'double'), ('l_colour', 'string', NULL)) t(column_name, expected, found)""") + """
+SELECT column_name, expected, found, coalesce(expected = found, false) AS passed FROM t
+""")
+def column_type_check(spark, sf):
+    expected = {"l_orderkey": "bigint", "l_linenumber": "double", "l_quantity": "double", "l_colour": "string"}
+    return checks.type_check(load(spark, sf, "lineitem"), expected)

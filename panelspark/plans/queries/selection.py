@@ -149,3 +149,35 @@ FROM s WHERE version = target OR stage = 'Staging'
 def transition_versions(spark, sf):
     events = _events(spark, sf)
     return registry.transition(events, registry.versions_by_stage_and_alias(events, "None"))
+
+
+@query("versions_by_alias", ctes(**STATES) + """
+SELECT name, version, stage, run_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY version DESC) AS r FROM va WHERE alias = 'Champion') WHERE r = 1
+""")
+def versions_by_alias(spark, sf):
+    return registry.versions_by_alias(_events(spark, sf), "Champion")
+
+
+@query("move_alias", ctes(**STATES) + """
+, m AS (SELECT name, version AS target FROM latest WHERE stage = 'None'),
+s AS (SELECT va.*, m.target, max(seq) OVER (PARTITION BY name) AS top FROM va JOIN m USING (name)),
+c AS (SELECT * FROM s WHERE (version = target) IS DISTINCT FROM (alias IS NOT DISTINCT FROM 'Champion'))
+SELECT name, version, top + row_number() OVER (PARTITION BY name ORDER BY version) AS seq, stage,
+       CASE WHEN version = target THEN 'Champion' END AS alias, run_id FROM c
+""")
+def move_alias(spark, sf):
+    events = _events(spark, sf)
+    return registry.move_alias(events, registry.versions_by_stage_and_alias(events, "None"), "Champion")
+
+
+# every customer's model gets a run of its own
+NEW = "SELECT concat('model-', CAST(c_custkey AS STRING)) AS name, concat('new-', CAST(c_custkey AS STRING)) AS run_id FROM {customer}"
+
+
+@query("registrations", ctes(**STATES, n=NEW.format(customer="customer")) + """
+SELECT name, CAST(coalesce(max(version), 0) + 1 AS INT) AS version, coalesce(max(seq), 0) + 1 AS seq, 'None' AS stage,
+       'Challenger' AS alias, n.run_id FROM n LEFT JOIN (SELECT name, version, seq FROM e) USING (name) GROUP BY name, n.run_id
+""")
+def registrations(spark, sf):
+    return registry.registrations(_events(spark, sf), standins.derive(spark, sf, NEW))

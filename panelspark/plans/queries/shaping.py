@@ -139,7 +139,22 @@ def without_extreme_rows(spark, sf):
 SELECT quality, toxic, count(*) AS n FROM labels GROUP BY quality, toxic
 """)
 def class_counts(spark, sf):
-    return load(spark, sf, "labels").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    return sampling.class_count_table(load(spark, sf, "labels"), "quality", "toxic")
+
+
+@query("known_values_by_kind", """
+SELECT o_orderkey, CAST(o_custkey IS NOT NULL AS INT) + CAST(o_totalprice IS NOT NULL AS INT) AS n_numeric,
+       CAST(o_orderstatus <> 'P' AS INT) + CAST(o_orderpriority IS NOT NULL AS INT) AS n_text FROM orders
+""")
+def known_values_by_kind(spark, sf):
+    """The split into numeric and text columns, used to count what each row knows of either."""
+    df = load(spark, sf, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    numeric, text = columns.split_by_kind(df, exclude=["o_orderkey"])
+
+    def known(names):
+        return sum((F.col(c).isNotNull().cast("int") for c in names), F.lit(0))
+
+    return df.select("o_orderkey", known(numeric).alias("n_numeric"), known(text).alias("n_text"))
 
 
 @query("class_balance", ctes(l=LABELS) + """

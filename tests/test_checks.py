@@ -67,3 +67,21 @@ def test_signature(spark):
         checks.enforce_signature(given.drop("k"), signature)
     with pytest.raises(ValueError, match="trained on"):
         checks.enforce_signature(given.selectExpr("x as k", "cast(x as string) as x"), signature)
+
+
+@pytest.mark.parametrize("kind, allowed", [
+    ("tinyint", True), ("smallint", True), ("int", True), ("float", True), ("bigint", False), ("decimal(9,2)", False), ("string", False)])
+def test_only_types_without_loss_widen(spark, kind, allowed):
+    signature = checks.schema_signature(spark.range(1).selectExpr("double(id) AS x"), ["x"])
+    given = spark.range(1).selectExpr(f"cast(id AS {kind}) AS x")
+    if allowed:
+        assert checks.enforce_signature(given, signature).schema["x"].dataType.simpleString() == "double"
+    else:
+        with pytest.raises(ValueError, match="trained on"):
+            checks.enforce_signature(given, signature)
+
+
+def test_type_check(spark):
+    df = spark.range(1).selectExpr("id AS a", "int(id) AS b")
+    found = checks.type_check(df, {"a": "bigint", "b": "double", "c": "string"}).collect()
+    assert [tuple(r) for r in found] == [("a", "bigint", "bigint", True), ("b", "double", "int", False), ("c", "string", None, False)]
