@@ -146,13 +146,13 @@ def similar_signatures(pairs: DataFrame, marks: DataFrame, least: int) -> DataFr
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets reach the threshold.
+    """The pairs ``a, b`` (a stored table) whose full shingle sets reach the threshold.
 
     The partners of an ``a`` are dealt out to units of bounded size, and each unit gets the text of ``a`` once: it
     comes first in the unit, and the others are compared with it one after the other.
     """
-    pairs = stored(pairs, "pairs")
-    degrees = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_UNIT).alias("units")), "degrees")
+    degrees = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_UNIT).alias("units"))
+    degrees = stored(degrees, "degrees", pairs.count())
     dealt = pairs.join(degrees, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("units")).alias("unit"))
     asked = dealt.select("a", "unit", F.col("b").alias("doc_id")).unionByName(
         dealt.select("a", "unit", F.col("a").alias("doc_id")).distinct())
@@ -219,51 +219,54 @@ def _open_pairs(units: DataFrame, least: int, forest: bool) -> DataFrame:
     return units.groupBy("key", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
 
-def _open_units(members: DataFrame, comps: DataFrame, marks: DataFrame) -> DataFrame:
+def _open_units(members: DataFrame, comps: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
     """The members of buckets that lie in several components, in units of one or two blocks."""
     labelled = members.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    labelled = stored(labelled.select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
+    labelled = stored(labelled.select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled", rows)
     still = labelled.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    still = stored(still.where("low != high").select("key", "blocks"), "open_buckets")
-    rows = labelled.join(still, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    rows = rows.join(marks.select("rep", "signature"), "rep")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return rows.select("key", "rep", "component", "block", "signature", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    still = stored(still.where("low != high").select("key", "blocks"), "open_buckets", rows)
+    units = labelled.join(still, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    units = units.join(marks.select("rep", "signature"), "rep")
+    units = units.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return units.select("key", "rep", "component", "block", "signature", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest id reachable), ``kept``."""
     least = least_matches(percent)
     found = stored(signatures(docs, width, percent, id_col=id_col, text_col=text_col), "signatures")
+    n_docs = found.count()
     classes = found.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes.where("rep is not null"), "classes")
+    classes = stored(classes.where("rep is not null"), "classes", n_docs)
     marks = found.join(classes.withColumnRenamed("set_hash", "_set"), (F.col("doc_id") == F.col("rep")) & (F.col("set_hash") == F.col("_set")))
-    marks = stored(marks.dropDuplicates(["rep"]).select("rep", "bands", "signature"), "marks")
+    marks = stored(marks.dropDuplicates(["rep"]).select("rep", "bands", "signature"), "marks", 10 * n_docs)
 
     keys = marks.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n"))
-    buckets = stored(buckets.where("n > 1").select("key", "leader"), "buckets")
-    members = stored(keys.join(buckets, "key").where("rep != leader"), "members")
+    buckets = stored(buckets.where("n > 1").select("key", "leader"), "buckets", n_docs)
+    members = stored(keys.join(buckets, "key").where("rep != leader"), "members", n_docs)
+    n_members = members.count()
 
-    pairs = stored(members.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "leader_pairs")
+    pairs = members.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = stored(similar_signatures(pairs, marks, least), "similar_pairs")
     wanted = members.select("rep").unionByName(members.select(F.col("leader").alias("rep"))).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     texts = texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
     texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
 
-    links = stored(confirmed(pairs, texts, width, percent), "links")
-    comps = stored(components(links), "components")
+    comps = stored(components(stored(confirmed(pairs, texts, width, percent), "links")), "components", n_members)
     tried = pairs
     for forest in (True, False):
-        units = _open_units(members.select("key", "rep"), comps, marks)
+        units = _open_units(members.select("key", "rep"), comps, marks, n_members)
         more = stored(_open_pairs(units, least, forest).join(tried, ["a", "b"], "left_anti"), "open_pairs")
         if more.isEmpty():
             continue
         tried = tried.unionByName(more)
-        links = stored(links.unionByName(confirmed(more, texts, width, percent)), "links")
-        comps = stored(components(links), "components")
+        links = stored(confirmed(more, texts, width, percent), "links")
+        if not links.isEmpty():  # they join components, whose members stay with them
+            joined = links.unionByName(comps.select(F.col("component").alias("a"), F.col("node").alias("b")))
+            comps = stored(components(joined), "components", n_members)
 
     result = found.join(classes, "set_hash", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")

@@ -147,21 +147,22 @@ def learn(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, mi
     """Scored patterns ``pattern, kind, confidence`` and instances ``instance, kind, score``, both above the limit."""
     seen = found.select(F.explode(F.concat("spans", "others")).alias("s")).select(
         "s.kind", "s.instance", "s.refuted", F.explode("s.patterns").alias("pattern"))
+    n = found.agg(F.coalesce(F.sum(F.size("spans") + F.size("others")), F.lit(0))).first()[0]
     edges = stored(seen.groupBy("pattern", "instance").agg(
-        F.max(F.col("kind").isNotNull()).alias("seed"), F.max("refuted").alias("refuted")), "edges")
-    seeds = stored(seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
+        F.max(F.col("kind").isNotNull()).alias("seed"), F.max("refuted").alias("refuted")), "edges", 2 * n)
+    seeds = stored(seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds", n)
     sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("n_seeds"))
-                   .where(F.col("n_seeds") >= min_seeds), "sizes")
+                   .where(F.col("n_seeds") >= min_seeds), "sizes", n)
     # only patterns that could be trusted take part, and their instances
-    edges = stored(edges.join(sizes, "pattern", "left_semi"), "edges_in_use")
+    edges = stored(edges.join(sizes, "pattern", "left_semi"), "edges_in_use", 2 * n)
     scores = seeds
     for _ in range(rounds):
         hits = edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("hits"))
         patterns = hits.join(sizes, "pattern").select("pattern", "kind", F.round(F.col("hits") / (F.col("n") + 1), 6).alias("confidence"))
-        patterns = stored(patterns, "patterns")
+        patterns = stored(patterns, "patterns", n)
         wrong = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
         found_by = edges.where("not seed and not refuted").join(patterns.where("confidence >= 0.5"), "pattern").groupBy("instance", "kind")
-        scores = stored(seeds.unionByName(found_by.agg(F.round(1 - F.exp(wrong), 6).alias("score"))), "scores")
+        scores = stored(seeds.unionByName(found_by.agg(F.round(1 - F.exp(wrong), 6).alias("score"))), "scores", n)
     return patterns.where(F.col("confidence") >= min_confidence), scores.where(F.col("score") >= min_confidence)
 
 

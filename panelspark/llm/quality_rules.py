@@ -138,7 +138,8 @@ def learn_rules(
         return F.size(F.filter(F.array(*map(F.lit, own)), lambda cut: cut < F.col(name))) if own else F.lit(0)
 
     places = [place(k, c) for k, c in zip(names, cuts)]
-    rows = stored(rows.select("bad", "prune", F.array(*places).alias("places")).coalesce(2), "places")
+    # a bounded number of rows, in one partition: counts then need no shuffle
+    rows = stored(rows.select("bad", "prune", F.array(*places).alias("places")).coalesce(1), "places").coalesce(1)
 
     def holds(conditions) -> Column:
         """conditions: (number of the statistic, above, number of the cut)"""

@@ -23,9 +23,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
+ROWS_PER_FILE = 100_000
+LEAST_FILES = 8
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage ends here, and lost executors lose nothing.
+
+    ``rows``, where it is known what they are at most, keeps narrow tables from being written in very many small
+    files: a task then takes several shuffle partitions, of ``ROWS_PER_FILE`` rows or so together.
+    """
     path = new_folder(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(LEAST_FILES, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
