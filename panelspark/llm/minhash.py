@@ -7,13 +7,13 @@ Documents are linked when the Jaccard similarity of their shingle sets reaches t
 2. Classes that share a band key are candidates. Every class is compared with the smallest of each of its buckets:
    signatures first, then the full sets of those that may reach the threshold. Linked classes form components.
 3. What remains are buckets whose members are in several components. They are cut into blocks of bounded size, and
-   pairs of blocks compare signatures of classes in different components. First each pair of blocks names just the
-   most similar pair that would join two components, and those are confirmed on the full sets; then, with the
-   components joined, all pairs that are still open.
+   in pairs of blocks the signatures of classes in different components are compared, each pair in its first common
+   band only. Classes with a candidate get their texts, and the same pairs of blocks confirm candidates on the full
+   sets, from the most similar on, until no open pair could join two more components. They put out those links alone.
 
-Large groups of copies thus cost a comparison per member, not per pair, and no bucket is cut short. The number of
-rows per band is the largest for which a pair at the threshold is missed by all bands with a chance of at most
-``MISS``; the signature test lets such a pair go with a chance of at most ``MISS_TEST``.
+Large groups of copies thus cost a comparison per member, pairs are never put out, and no bucket is cut short. The
+number of rows per band is the largest for which a pair at the threshold is missed by all bands with a chance of at
+most ``MISS``; the signature test lets such a pair go with a chance of at most ``MISS_TEST``.
 
 A document without words has an empty set and is linked with nothing. With fewer words than a shingle has, the
 whole sequence is the one shingle. Rows of one id are one document; where their texts differ, the smallest text
@@ -38,7 +38,7 @@ from panelspark.llm.worker import kept
 HASHES = 160
 MISS = 1e-8
 MISS_TEST = 1e-7
-BLOCK = 1024
+BLOCK = 512
 PAIRS_PER_UNIT = 512
 WORDS_KEPT = 500_000
 
@@ -177,46 +177,69 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(units: DataFrame, least: int, forest: bool) -> DataFrame:
-    """Pairs of similar signatures in different components, from units of one or two blocks of a bucket.
+def _candidates(unit: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a unit's rows in different components whose signatures agree often enough, and how often. A pair
+    that shares several buckets counts in that of its first common band only."""
+    left, right, key = (unit[c][0].as_py() for c in ("left", "right", "key"))
+    rep, comp, block = (unit[c].to_numpy() for c in ("rep", "component", "block"))
+    marks = np.frombuffer(b"".join(unit["signature"].to_pylist()), np.uint8).reshape(len(rep), -1)
+    bands = np.array(unit["bands"].to_pylist(), np.int64)
+    first, second, agree = [], [], []
+    for i in np.flatnonzero(block == left).tolist():
+        others = np.flatnonzero((comp != comp[i]) & ((rep > rep[i]) if left == right else (block == right)))
+        same = (marks[others] == marks[i]).sum(axis=1)
+        others, same = others[same >= least], same[same >= least]
+        shared = bands[others] == bands[i]
+        here = bands[i][shared.argmax(axis=1)] == key if len(others) else np.empty(0, bool)
+        first.append(np.full(int(here.sum()), i))
+        second.append(others[here])
+        agree.append(same[here])
+    return tuple(np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (first, second, agree))
+
+
+def _with_candidates(units: DataFrame, least: int) -> DataFrame:
+    """The rows of units that have a candidate in their unit."""
 
-    ``forest``: of all pairs of a unit only the most similar ones that would join its components.
-    """
+    def run(unit: pa.Table) -> pa.Table:
+        first, second, _ = _candidates(unit, least)
+        return unit.take(pa.array(np.unique(np.concatenate([first, second]))))
+
+    return units.groupBy("key", "left", "right").applyInArrow(run, units.schema)
+
+
+def _links_in_units(units: DataFrame, least: int, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join the components of a unit, as far as its full shingle sets link them: pairs are
+    confirmed from the most similar on, and those that confirmed links have joined already are left out."""
 
     def run(unit: pa.Table) -> pa.Table:
-        left, right = unit["left"][0].as_py(), unit["right"][0].as_py()
-        rep, comp, block = (np.array(unit[c]) for c in ("rep", "component", "block"))
-        marks = np.frombuffer(b"".join(unit["signature"].to_pylist()), np.uint8).reshape(len(rep), -1)
-        order = np.argsort(rep)
-        rep, comp, block, marks = rep[order], comp[order], block[order], marks[order]
-        first, second, agree = [], [], []
-        for i in range(len(rep)):
-            others = np.flatnonzero((comp != comp[i]) & ((rep > rep[i]) if left == right else (block == right)))
-            if (left == right or block[i] == left) and len(others):
-                same = (marks[others] == marks[i]).sum(axis=1)
-                hit = others[same >= least]
-                first += [i] * len(hit)
-                second += hit.tolist()
-                agree += same[same >= least].tolist()
-        if forest:
-            parent = {c: c for c in comp.tolist()}
-
-            def root(c):
-                while parent[c] != c:
-                    parent[c] = c = parent[parent[c]]
-                return c
-
-            picked = []
-            for k in np.argsort(-np.array(agree, np.int64), kind="stable").tolist():
-                x, y = root(int(comp[first[k]])), root(int(comp[second[k]]))
-                if x != y:
+        first, second, agree = _candidates(unit, least)
+        rep, comp = unit["rep"].to_pylist(), unit["component"].to_pylist()
+        sets: dict[int, set] = {}
+        parent = {c: c for c in comp}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        def of(k: int) -> set:
+            if k not in sets:
+                sets[k] = shingle_set(unit["text"][k].as_py().encode("utf-8", "surrogatepass"), width)
+            return sets[k]
+
+        links = []
+        for k in np.argsort(-agree, kind="stable").tolist():
+            i, j = int(first[k]), int(second[k])
+            x, y = root(comp[i]), root(comp[j])
+            if x != y:
+                common = len(of(i) & of(j))
+                if 100 * common >= percent * (len(of(i)) + len(of(j)) - common):
                     parent[x] = y
-                    picked.append(k)
-            first, second = [first[k] for k in picked], [second[k] for k in picked]
-        a, b = rep[np.array(first, np.int64)], rep[np.array(second, np.int64)]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+                    links.append((rep[i], rep[j]))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return units.groupBy("key", "left", "right").applyInArrow(run, "a long, b long").distinct()
+    return units.groupBy("key", "left", "right").applyInArrow(run, "a long, b long")
 
 
 def _open_units(members: DataFrame, comps: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
@@ -227,9 +250,9 @@ def _open_units(members: DataFrame, comps: DataFrame, marks: DataFrame, rows: in
         F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     still = stored(still.where("low != high").select("key", "blocks"), "open_buckets", rows)
     units = labelled.join(still, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    units = units.join(marks.select("rep", "signature"), "rep")
     units = units.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return units.select("key", "rep", "component", "block", "signature", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    units = units.select("key", "rep", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    return units.join(marks.select("rep", "signature", "bands"), "rep")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,18 +278,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     texts = texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
     texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
 
-    comps = stored(components(stored(confirmed(pairs, texts, width, percent), "links")), "components", n_members)
-    tried = pairs
-    for forest in (True, False):
-        units = _open_units(members.select("key", "rep"), comps, marks, n_members)
-        more = stored(_open_pairs(units, least, forest).join(tried, ["a", "b"], "left_anti"), "open_pairs")
-        if more.isEmpty():
-            continue
-        tried = tried.unionByName(more)
-        links = stored(confirmed(more, texts, width, percent), "links")
-        if not links.isEmpty():  # they join components, whose members stay with them
-            joined = links.unionByName(comps.select(F.col("component").alias("a"), F.col("node").alias("b")))
-            comps = stored(components(joined), "components", n_members)
+    links = stored(confirmed(pairs, texts, width, percent), "links")
+    comps = stored(components(links), "components", n_members)
+    units = _open_units(members.select("key", "rep"), comps, marks, n_members)
+    units = stored(_with_candidates(units, least), "open_units", n_members)
+    if not units.isEmpty():
+        with_texts = units.join(texts, units["rep"] == texts["doc_id"]).drop("doc_id")
+        more = stored(_links_in_units(with_texts, least, width, percent), "more_links", n_members)
+        joined = more.unionByName(comps.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        comps = stored(components(joined), "components", n_members)
 
     result = found.join(classes, "set_hash", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
