@@ -8,7 +8,8 @@ A line goes when an earlier line (by document id, then line number) of the corpu
 2. A line of length n is cut into ``edits`` + 1 segments, which it offers as index keys (length, number of the
    segment, hash of the segment). Lines of equal and greater length probe that index with those of their substrings
    that may match a segment given the difference in length; every pair within the distance shares a key.
-3. Keys are kept whose smallest and largest line differ. Their lines meet in units of bounded size (blocks of a
+3. Keys are kept whose smallest and largest line differ, and the texts of their lines are read again; a bitmap of
+   fixed size keeps most other lines out of that join. The lines meet in units of bounded size (blocks of a
    key's lines, and pairs of blocks), where lengths and letter counts exclude most pairs and a banded bit-parallel edit
    distance, many pairs at a time, decides. A unit gives for each line the earliest near one only.
 
@@ -31,28 +32,19 @@ EDITS = 1
 MIN_CHARS = 20
 BLOCK = 512
 CHARS_AT_ONCE = 1 << 20
+FILTER_BITS = 1 << 25
 PAIRS_AT_ONCE = 4096
 SPACE = " \t\r\x0b\x0c"
 STEP = 0x9E3779B97F4A7C15
 STEP_BACK = pow(STEP, -1, 1 << 64)
 
 
-def segments(n: int, edits: int) -> list[tuple[int, int]]:
-    """Start and length of each segment; the later ones are longer by one where n is not a multiple."""
-    short, longer = divmod(n, edits + 1)
-    sizes = [short + (k >= edits + 1 - longer) for k in range(edits + 1)]
-    return [(sum(sizes[:k]), sizes[k]) for k in range(edits + 1)]
-
-
-def probes(n: int, indexed: int, edits: int) -> list[tuple[int, int, int]]:
-    """For a line of length n against lines of length ``indexed``: number of the segment, start and length of each
-    substring that has to be looked up, by what can precede and follow a matching segment."""
-    more, found = n - indexed, []
-    for k, (start, size) in enumerate(segments(indexed, edits)):
-        low = max(0, start - k, start + more - (edits - k))
-        high = min(n - size, start + k, start + more + (edits - k))
-        found += [(k, at, size) for at in range(low, high + 1)]
-    return found
+def segment(n: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of segment k of lines of length n; the later segments are longer by one where n is not a
+    multiple of their number."""
+    short, longer = np.divmod(n, edits + 1)
+    before = np.maximum(0, k - (edits + 1 - longer))
+    return k * short + before, short + (k >= edits + 1 - longer)
 
 
 def powers(factor: int, n: int) -> np.ndarray:
@@ -72,32 +64,37 @@ def code_points(lines: list[str]) -> np.ndarray:
 
 
 def keys_of(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all lines: key, place of the line in the list, whether it is an index key."""
+    """Keys of all lines: key, place of the line in the list, whether it is an index key.
+
+    A line looks up lines of its own and smaller length: of those that are ``more`` shorter, segment k can only match
+    at offsets that leave no more edits before and behind it than there are segments.
+    """
     lengths = np.array([len(x) for x in lines], np.int64)
-    flat = code_points(lines).astype(np.uint64)
+    flat = code_points(lines).astype(np.uint64) + np.uint64(1)
     up, down = powers(STEP, len(flat) + 1), powers(STEP_BACK, len(flat) + 1)
-    sums = np.append(np.uint64(0), np.cumsum(mix(flat + np.uint64(1)) * up[:-1]))
+    sums = np.append(np.uint64(0), np.cumsum(flat * up[:-1]))
     begins = np.cumsum(lengths) - lengths
     keys, owners, index = [], [], []
-    for n in np.unique(lengths).tolist():
-        own = np.flatnonzero(lengths == n)
-        for more in range(edits + 1):
-            indexed = n - more
-            if indexed <= edits:
-                continue
-            cut = segments(indexed, edits)
-            for k, at, size in probes(n, indexed, edits):
-                a = begins[own] + at
-                part = (sums[a + size] - sums[a]) * down[a]
-                keys.append(mix(part ^ mix(np.full(len(own), indexed * 64 + k, np.uint64))))
+    for more in range(edits + 1):
+        indexed = lengths - more
+        for k in range(edits + 1):
+            start, size = segment(indexed, k, edits)
+            for offset in range(max(-k, more - (edits - k)), min(k, more + (edits - k)) + 1):
+                at = start + offset
+                own = np.flatnonzero((indexed > edits) & (at >= 0) & (at + size <= lengths))
+                a = begins[own] + at[own]
+                part = (sums[a + size[own]] - sums[a]) * down[a]
+                keys.append(mix(part ^ mix((indexed[own] * 64 + k).astype(np.uint64))))
                 owners.append(own)
-                index.append(np.full(len(own), more == 0 and at == cut[k][0]))
+                index.append(np.full(len(own), more == 0 and offset == 0))
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(index)
 
 
 def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
     """Whether the edit distance of each pair is at most ``edits``: bit-parallel in a band of 2 * edits + 1 diagonals,
     one machine word per pair. Bit 63 of a column's word stands for the row ``edits`` below the diagonal."""
+    if edits and min(map(len, one)) <= edits:  # a common start changes no distance, and the band begins inside the line
+        one, two = [" " * edits + x for x in one], [" " * edits + x for x in two]
     m, n = np.array([len(x) for x in one], np.int64), np.array([len(x) for x in two], np.int64)
     ok = np.abs(m - n) <= edits
     if not ok.any():
@@ -146,50 +143,78 @@ def lines_of(text: str, min_chars: int) -> list[tuple[int, str]]:
     return [(k, line) for k, line in cut if len(line) >= min_chars]
 
 
-def line_ids(line: str) -> tuple[int, int]:
+def line_ids(lines: list[str]) -> np.ndarray:
+    """Two 64-bit halves of each line's 128-bit hash."""
     import xxhash
 
-    value = xxhash.xxh3_128_intdigest(line.encode("utf-8", "surrogatepass"))
-    return (value >> 64) - (1 << 63), (value & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+    digests = b"".join(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines)
+    return np.frombuffer(digests, np.int64).reshape(-1, 2)
+
+
+def bits_of(lows: DataFrame) -> bytes:
+    """A bitmap of ``FILTER_BITS`` bits in which the values of ``low`` have left theirs. It bounds what is shuffled
+    where it is not full; its size does not depend on the data."""
+    per = 32768  # bits of one bitmap_construct_agg
+    place = F.pmod("low", F.lit(FILTER_BITS))
+    parts = lows.groupBy(F.floor(place / per).alias("part")).agg(F.bitmap_construct_agg(F.pmod(place, F.lit(per))).alias("bits"))
+    out = bytearray(FILTER_BITS // 8)
+    for row in parts.collect():
+        out[row["part"] * per // 8:(row["part"] + 1) * per // 8] = row["bits"]
+    return bytes(out)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def occurrences(docs: DataFrame, min_chars: int, with_line: bool = False) -> DataFrame:
-    """``doc_id, line_no, high, low`` (the halves of the line's hash) and, if asked for, ``line``."""
+def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
+    """``doc_id, line_no, high, low`` (the halves of the line's hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, held = [], 0
+            ids, numbers, lines = [], [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                text = text.as_py()
-                found = [(doc_id, k, *line_ids(line), line) for k, line in lines_of(text, min_chars)]
-                out += found if with_line else [x[:4] for x in found]
-                held += len(text) if with_line else 0
-                if held >= 8 << 20:
-                    yield table(out)
-                    out, held = [], 0
-            if out:
-                yield table(out)
+                found = lines_of(text.as_py(), min_chars)
+                ids += [doc_id] * len(found)
+                numbers += [k for k, _ in found]
+                lines += [line for _, line in found]
+            hashes = line_ids(lines)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])],
+                ["doc_id", "line_no", "high", "low"])
 
-    kinds = [("doc_id", pa.int64()), ("line_no", pa.int64()), ("high", pa.int64()), ("low", pa.int64())] + [("line", pa.string())] * with_line
+    return docs.mapInArrow(run, "doc_id long, line_no long, high long, low long")
 
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds)], [n for n, _ in kinds])
 
-    return docs.mapInArrow(run, "doc_id long, line_no long, high long, low long" + ", line string" * with_line)
+def _lines_with(docs: DataFrame, bits: bytes, min_chars: int) -> DataFrame:
+    """``doc_id, line_no, high, low, line`` of the lines whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+                found = lines_of(text.as_py(), min_chars)
+                if not found:
+                    continue
+                hashes = line_ids([line for _, line in found])
+                place = hashes[:, 1] & (FILTER_BITS - 1)
+                hit = np.flatnonzero((marked[place >> 3] >> (place & 7).astype(np.uint8)) & 1).tolist()
+                if hit:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc_id] * len(hit), pa.int64()), pa.array([found[k][0] for k in hit], pa.int64()),
+                         pa.array(hashes[hit, 0]), pa.array(hashes[hit, 1]), pa.array([found[k][1] for k in hit])],
+                        ["doc_id", "line_no", "high", "low", "line"])
+
+    return docs.mapInArrow(run, "doc_id long, line_no long, high long, low long, line string")
 
 
 def _keys(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """``key, low, indexed`` for each line and key."""
+    """``key, low, indexed`` for each line and key; lines that repeat near each other count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(lines: list[str]) -> pa.RecordBatch:
-            low = np.array([line_ids(x)[1] for x in lines], np.int64)
             keys, owners, index = keys_of(lines, edits)
+            low = line_ids(lines)[:, 1]
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(low[owners]), pa.array(index)], ["key", "low", "indexed"])
 
         for batch in batches:
@@ -235,16 +260,15 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
         rows |= {"n": np.array([len(x) for x in lines], np.int64), "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
         new = (np.diff(rows["key"]) != 0) | (np.diff(rows["left"]) != 0) | (np.diff(rows["right"]) != 0)
         bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
+        found = [pairs_in(rows, begin, end) for begin, end in zip(bounds[:-1], bounds[1:])]
+        first, second = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(rows["n"][second], kind="stable")  # pairs of about one length are compared together
         best: dict[int, int] = {}
-        for begin, end in zip(bounds[:-1], bounds[1:]):
-            first, second = pairs_in(rows, begin, end)
-            order = np.argsort(rows["n"][second], kind="stable")
-            first, second = first[order], second[order]
-            for at in range(0, len(first), PAIRS_AT_ONCE):
-                x, y = first[at:at + PAIRS_AT_ONCE], second[at:at + PAIRS_AT_ONCE]
-                hit = within([lines[k] for k in x.tolist()], [lines[k] for k in y.tolist()], edits)
-                for i, j in zip(x[hit].tolist(), y[hit].tolist()):
-                    best[j] = min(i, best.get(j, i))
+        for at in range(0, len(order), PAIRS_AT_ONCE):
+            x, y = first[order[at:at + PAIRS_AT_ONCE]], second[order[at:at + PAIRS_AT_ONCE]]
+            hit = within([lines[k] for k in x.tolist()], [lines[k] for k in y.tolist()], edits)
+            for i, j in zip(x[hit].tolist(), y[hit].tolist()):
+                best[j] = min(i, best.get(j, i))
         if not best:
             return None
         return pa.RecordBatch.from_arrays(
@@ -276,7 +300,7 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
 def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """``high, low`` of the lines with an earlier line within ``edits``, and that line's first place. ``docs`` has
     ``doc_id, text``; ``firsts`` has each line's hash and first place."""
-    keys = _keys(docs, edits, min_chars)
+    keys = stored(_keys(docs, edits, min_chars), "keys")
     shared = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b"), F.max("indexed").alias("any"))
     shared = stored(shared.where("a != b and any").select("key"), "shared_keys")
     members = keys.join(shared, "key").groupBy("key", "low").agg(F.max("indexed").alias("indexed"))
@@ -284,10 +308,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
 
     wanted = stored(members.select("low").distinct().join(firsts, "low").select("high", "low", "first_id", "first_no"), "wanted")
-    sources = wanted.select(F.col("first_id").alias("_id")).distinct()
-    sources = docs.join(sources, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    lines = occurrences(sources, min_chars, with_line=True).join(wanted, ["high", "low"])
+    lines = _lines_with(docs, bits_of(wanted), min_chars).join(wanted, ["high", "low"])
     lines = lines.where(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("line_no") == F.col("first_no")))
+    # the line at its first place; all copies of it are the same text
     lines = stored(lines.dropDuplicates(["high", "low"]).select("high", "low", "first_id", "first_no", "line"), "lines")
 
     rows = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("low"), F.col("blocks")))
@@ -302,6 +325,8 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -
 def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per compared line of a document: ``doc_id, line_no, copy`` (an equal line is earlier), ``near`` (a
     line within the distance of it is earlier)."""
+    if not 0 <= edits < min(min_chars, 32):
+        raise ValueError(f"edits is {edits}; it has to be below 32 and below min_chars, {min_chars}")
     texts = _texts(docs, id_col, text_col)
     found = stored(occurrences(texts, min_chars), "line_places")
     firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
@@ -321,7 +346,8 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
         F.collect_set(F.col("line_no").cast("int")).alias("_gone"), F.count_if("copy").alias("n_copy_lines"),
         F.count_if(F.expr("near and not copy")).alias("n_near_lines"))
     names = [c for c in docs.columns if c.lower() not in ("n_copy_lines", "n_near_lines")]
-    rows = docs.select(*names).join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    # what goes grows with the corpus, so the same join is asked for at every size
+    rows = docs.select(*names).join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains(F.col("_gone"), k))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return rows.withColumn(text_col, text).select(

@@ -133,5 +133,17 @@ def test_columns_stay(frame, texts):
     assert out.count() == len(texts)
 
 
+def test_edits_are_bounded(frame):
+    with pytest.raises(ValueError, match="below min_chars"):
+        line_dedup.dedup_lines(frame([]), 8, 8)
+
+
+def test_bitmap_keeps_what_is_wanted(spark):
+    lows = [0, 5, -7, 2**62 + 3, -(2**63), 32768, 32767]
+    bits = line_dedup.bits_of(spark.createDataFrame([(x,) for x in lows], "low long"))
+    places = {x & (line_dedup.FILTER_BITS - 1) for x in lows}
+    assert {8 * k + j for k, byte in enumerate(bits) if byte for j in range(8) if byte >> j & 1} == places
+
+
 def test_empty_table(frame):
     assert line_dedup.dedup_lines(frame([])).collect() == []
