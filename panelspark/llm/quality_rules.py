@@ -129,9 +129,11 @@ def learn_rules(
     rows = rows.select(
         "bad", (F.pmod(F.xxhash64(F.lit("prune"), "_id"), F.lit(3)) == 0).alias("prune"), *(c.alias(k) for k, c in features().items()))
     rows = stored(rows.coalesce(4), "labelled")
-    fractions = [k / THRESHOLDS for k in range(1, THRESHOLDS)]
+    fractions = [k / THRESHOLDS for k in range(THRESHOLDS + 1)]
     found = rows.agg(*(F.percentile(F.col(k), F.array(*map(F.lit, fractions))).alias(k) for k in names)).first()
-    cuts = [sorted(set(found[k] or ())) for k in names]
+    # thresholds lie midway between neighbouring quantiles, so that values just beside the seen ones fall on their side
+    seen = [sorted(set(found[k] or ())) for k in names]
+    cuts = [[(a + b) / 2 for a, b in zip(own, own[1:])] for own in seen]
     # interval j of a statistic holds the values up to cut j and above cut j - 1
 
     def place(name: str, own: list[float]) -> Column:
