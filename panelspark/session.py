@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "panelspark", **conf: str) -> SparkSession:
-    """A single-JVM session. On a cluster the caller's own session is used as it is."""
+    """A single-JVM session with a checkpoint folder of its own. On a cluster the caller's own session is used as it
+    is, and names a folder that all machines share."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -18,6 +20,7 @@ def local_session(cpus: int | str = "*", app: str = "panelspark", **conf: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelspark-"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():
