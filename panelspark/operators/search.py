@@ -176,6 +176,12 @@ def trial_table(spark: SparkSession, n: int, model: ModelConfig = ModelConfig(),
     return table.select("trial", "classifier", "params", "sampler", "sampler_params")
 
 
+def most_neighbours(trials: DataFrame) -> int:
+    """The largest number of neighbours that a sampler of the trials asks for; 0 without samplers."""
+    asked = trials.select(F.explode(F.map_values("sampler_params")).cast("double").alias("n"))
+    return int(asked.agg(F.coalesce(F.max("n"), F.lit(0.0))).first()[0])
+
+
 def parse_params(params: dict | None) -> dict:
     """Text settings as numbers where they are numbers."""
     parsed = {}
@@ -198,6 +204,7 @@ class Fold:
     number: int
     train: DataFrame
     valid: DataFrame
+    near: synthetic.Neighbourhoods | None = None
 
 
 def model_rows(df: DataFrame, preprocessor, keys: Sequence[str], label_col: str) -> DataFrame:
@@ -212,10 +219,11 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def prepare_folds(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                  model: ModelConfig = ModelConfig()) -> list[Fold]:
+                  model: ModelConfig = ModelConfig(), neighbours: int = 0) -> list[Fold]:
     """Stratified folds, each with a preprocessor fitted on its own training part.
 
-    This does not depend on a trial's settings, so it is done once and kept for all trials.
+    This does not depend on a trial's settings, so it is done once and kept for all trials; so are the neighbour
+    tables of the training parts, with as many ``neighbours`` as a sampler may ask for (0: none).
     """
     labelled = df.filter(F.col(model.outcome_col).isNotNull())
     folded = sampling.stratified_folds(labelled, model.outcome_col, model.key, model.n_folds, model.random_state)
@@ -223,9 +231,9 @@ def prepare_folds(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     for i in range(model.n_folds):
         train, valid = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
         fitted = PanelPreprocessor(numeric=list(numeric), categorical=list(categorical)).fit(train)
-        folds.append(Fold(i, *[
-            model_rows(part, fitted, model.key, model.outcome_col).persist() for part in (train, valid)
-        ]))
+        rows = [model_rows(part, fitted, model.key, model.outcome_col).persist() for part in (train, valid)]
+        near = synthetic.neighbourhoods(rows[0], LABEL, VECTOR, neighbours) if neighbours else None
+        folds.append(Fold(i, *rows, near))
     return folds
 
 
@@ -235,7 +243,8 @@ def release(kept: Sequence[DataFrame]) -> None:
 
 
 def resampled(train: DataFrame, sampler: str | None, sampler_params: dict | None,
-              settings: ProcessingConfig = ProcessingConfig(), seed: int = 42) -> tuple[DataFrame, list[DataFrame]]:
+              settings: ProcessingConfig = ProcessingConfig(), seed: int = 42,
+              near: synthetic.Neighbourhoods | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """Training rows after over- and then undersampling, and what was kept in memory for it.
 
     Without a sampler the rows are unchanged. The caller unpersists what was kept.
@@ -243,14 +252,15 @@ def resampled(train: DataFrame, sampler: str | None, sampler_params: dict | None
     if sampler is None:
         return train, []
     more = synthetic.oversample(
-        train, sampler, sampler_params or {}, LABEL, VECTOR, settings.over_sampling_ratio, seed).persist()
+        train, sampler, sampler_params or {}, LABEL, VECTOR, settings.over_sampling_ratio, seed, near).persist()
     return sampling.under_sample(more, LABEL, [KEY], settings.under_sampling_ratio, seed), [more]
 
 
 def fit_resampled(train: DataFrame, classifier: str, params: dict, sampler: str | None, sampler_params: dict | None,
-                  settings: ProcessingConfig = ProcessingConfig(), seed: int = 42):
+                  settings: ProcessingConfig = ProcessingConfig(), seed: int = 42,
+                  near: synthetic.Neighbourhoods | None = None):
     """Resample the training rows, then train on them."""
-    ready, kept = resampled(train, sampler, sampler_params, settings, seed)
+    ready, kept = resampled(train, sampler, sampler_params, settings, seed, near)
     fitted = fit_classifier(with_features(ready), classifier, params, LABEL, FEATURES, KEY, seed)
     if classifier != "KNeighborsClassifier":  # there the rows are the model
         release(kept)
@@ -263,7 +273,7 @@ def evaluate_trial(folds: list[Fold], classifier: str, params: dict, sampler: st
     """The median over folds of each metric; all folds are measured in one plan."""
     parts = []
     for fold in folds:
-        fitted = fit_resampled(fold.train, classifier, params, sampler, sampler_params, settings, seed)
+        fitted = fit_resampled(fold.train, classifier, params, sampler, sampler_params, settings, seed, fold.near)
         scored = fitted.score(with_features(fold.valid))
         parts.append(scored.select(F.lit(fold.number).alias("fold"), LABEL, "p"))
     measured = metrics.evaluate(reduce(DataFrame.unionByName, parts), LABEL, "p", by=["fold"])

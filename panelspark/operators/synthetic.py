@@ -8,17 +8,30 @@ seed's key, so a run can be repeated and a lost task gives the same rows again.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.hashing import row_hash, row_uniform
+from panelspark.operators.joins import find_hot, keyed_join
 from panelspark.operators.neighbors import nearest
 from panelspark.operators.ranking import POSITION, at_or_before, hash_cuts, with_position
 from panelspark.operators.sampling import class_counts, minority_and_majority
+from panelspark.session import checkpointed
 
 KEY = "row_key"
 COPIES_PER_BLOCK = 10_000
+HOT_NEIGHBOUR_ROWS = 10_000
+
+
+@dataclass(frozen=True)
+class Neighbourhoods:
+    """The ``k`` nearest of each minority row, among the minority and among all rows, as stored tables."""
+
+    k: int
+    minority: DataFrame
+    every: DataFrame
 
 
 def rows_to_add(counts: dict, ratio: float) -> int:
@@ -50,8 +63,7 @@ def _interpolate(seeds: DataFrame, minority: DataFrame, neighbours: DataFrame, k
     """
     vectors = minority.select(F.col(KEY).alias("neighbor_id"), F.col(vec_col).alias("_nvec"))
     beside = (
-        neighbours.filter(F.col("rank") <= k)
-        .join(vectors, "neighbor_id")
+        _beside_neighbour(neighbours.filter(F.col("rank") <= k), vectors)
         .groupBy(F.col("query_id").alias(KEY))
         .agg(F.sort_array(F.collect_list(F.struct("rank", "_nvec"))).alias("_near"))
     )
@@ -79,10 +91,37 @@ def _original(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
     return df.select(KEY, label_col, vec_col, F.lit(False).alias("synthetic"))
 
 
+def _beside_neighbour(neighbours: DataFrame, values: DataFrame) -> DataFrame:
+    """Values of a neighbour beside each row of a stored neighbour table. All copies of a vector name the same few
+    ids, and some vectors are near very many; such ids are salted."""
+    hot = find_hot(neighbours, ["neighbor_id"], min_rows=HOT_NEIGHBOUR_ROWS)
+    return keyed_join(neighbours, [(values, "inner")], ["neighbor_id"], hot)
+
+
+def neighbourhoods(df: DataFrame, label_col: str, vec_col: str, k: int = 10) -> Neighbourhoods:
+    """Both neighbour tables of a table of vectors, searched once and stored for any number of samplers."""
+    label, _ = minority_and_majority(class_counts(df, label_col))
+    minority = df.filter(F.col(label_col) == F.lit(label))
+    return Neighbourhoods(
+        k, checkpointed(nearest(minority, minority, k, KEY, vec_col)), checkpointed(nearest(minority, df, k, KEY, vec_col)))
+
+
+def _among_minority(minority: DataFrame, queries: DataFrame, vec_col: str, k: int, ready: Neighbourhoods | None) -> DataFrame:
+    if ready is None or ready.k < k:
+        return checkpointed(nearest(queries, minority, k, KEY, vec_col))
+    return ready.minority.join(queries.select(F.col(KEY).alias("query_id")), "query_id", "left_semi")
+
+
+def _among_all(minority: DataFrame, df: DataFrame, vec_col: str, k: int, ready: Neighbourhoods | None) -> DataFrame:
+    if ready is None or ready.k < k:
+        return checkpointed(nearest(minority, df, k, KEY, vec_col))
+    return ready.every.filter(F.col("rank") <= k)
+
+
 def _majority_among(neighbours: DataFrame, df: DataFrame, majority, label_col: str) -> DataFrame:
     """(row_key, n_majority): majority rows among each query's neighbours."""
     labels = df.select(F.col(KEY).alias("neighbor_id"), (F.col(label_col) == F.lit(majority)).alias("_maj"))
-    joined = neighbours.join(labels, "neighbor_id")
+    joined = _beside_neighbour(neighbours, labels)
     return joined.groupBy(F.col("query_id").alias(KEY)).agg(F.count_if("_maj").alias("n_majority"))
 
 
@@ -92,10 +131,10 @@ def _check_k(k: int, n: int) -> None:
 
 
 def smote(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: int = 5, seed: int = 42,
-          neighbours: DataFrame | None = None) -> DataFrame:
+          ready: Neighbourhoods | None = None) -> DataFrame:
     """All rows and enough synthetic minority rows; every minority row is a seed.
 
-    ``neighbours`` may hold the minority's neighbour table of an earlier call with at least k.
+    ``ready`` may hold the neighbour tables of the same rows, here and in the other samplers.
     """
     counts = class_counts(df, label_col)
     total = rows_to_add(counts, ratio)
@@ -104,23 +143,23 @@ def smote(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: in
     label, _ = minority_and_majority(counts)
     _check_k(k, counts[label])
     minority = df.filter(F.col(label_col) == F.lit(label))
-    neighbours = nearest(minority, minority, k, KEY, vec_col) if neighbours is None else neighbours
+    neighbours = ready.minority if ready and ready.k >= k else checkpointed(nearest(minority, minority, k, KEY, vec_col))
     seeds = _even_copies(minority, counts[label], total, seed)
     most = -(-total // counts[label])
     made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, most)
     return _original(df, label_col, vec_col).unionByName(made)
 
 
-def in_danger(df: DataFrame, label_col: str, vec_col: str, m: int = 10) -> DataFrame:
+def in_danger(df: DataFrame, label_col: str, vec_col: str, m: int = 10, ready: Neighbourhoods | None = None) -> DataFrame:
     """(row_key, n_majority) of minority rows with half or more, but not all, of m neighbours majority."""
     label, majority = minority_and_majority(class_counts(df, label_col))
     minority = df.filter(F.col(label_col) == F.lit(label))
-    near = _majority_among(nearest(minority, df, m, KEY, vec_col), df, majority, label_col)
+    near = _majority_among(_among_all(minority, df, vec_col, m, ready), df, majority, label_col)
     return near.filter((F.col("n_majority") >= m / 2) & (F.col("n_majority") < m))
 
 
 def borderline_smote(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: int = 5, m: int = 10,
-                     seed: int = 42) -> DataFrame:
+                     seed: int = 42, ready: Neighbourhoods | None = None) -> DataFrame:
     """As SMOTE, but only minority rows near the border are seeds. Without any, nothing is added."""
     counts = class_counts(df, label_col)
     total = rows_to_add(counts, ratio)
@@ -129,21 +168,23 @@ def borderline_smote(df: DataFrame, label_col: str, vec_col: str, ratio: float =
     label, _ = minority_and_majority(counts)
     _check_k(k, counts[label])
     minority = df.filter(F.col(label_col) == F.lit(label))
-    seeds = minority.join(in_danger(df, label_col, vec_col, m).select(KEY), KEY, "left_semi")
+    danger = in_danger(df, label_col, vec_col, m, ready).select(KEY)
+    seeds = checkpointed(minority.join(danger, KEY, "left_semi"))
     n_seeds = seeds.count()
     if n_seeds == 0:
         return _original(df, label_col, vec_col)
     copied = _even_copies(seeds, n_seeds, total, seed)
-    neighbours = nearest(seeds, minority, k, KEY, vec_col)
+    neighbours = _among_minority(minority, seeds, vec_col, k, ready)
     made = _interpolate(copied, minority, neighbours, k, label, label_col, vec_col, seed, -(-total // n_seeds))
     return _original(df, label_col, vec_col).unionByName(made)
 
 
-def adasyn_copies(df: DataFrame, label_col: str, vec_col: str, total: int, k: int = 5) -> DataFrame:
+def adasyn_copies(df: DataFrame, label_col: str, vec_col: str, total: int, k: int = 5,
+                  ready: Neighbourhoods | None = None) -> DataFrame:
     """(row_key, copies): shares of ``total`` by how many of k neighbours are majority rows."""
     label, majority = minority_and_majority(class_counts(df, label_col))
     minority = df.filter(F.col(label_col) == F.lit(label))
-    near = _majority_among(nearest(minority, df, k, KEY, vec_col), df, majority, label_col)
+    near = checkpointed(_majority_among(_among_all(minority, df, vec_col, k, ready), df, majority, label_col))
     n_hard = near.agg(F.sum("n_majority").alias("n")).first()["n"]
     if not n_hard:
         raise ValueError("no minority row has a majority neighbour; use plain SMOTE instead")
@@ -151,7 +192,8 @@ def adasyn_copies(df: DataFrame, label_col: str, vec_col: str, total: int, k: in
     return near.select(KEY, F.rint(share * total).cast("int").alias("copies"))
 
 
-def adasyn(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: int = 5, seed: int = 42) -> DataFrame:
+def adasyn(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: int = 5, seed: int = 42,
+           ready: Neighbourhoods | None = None) -> DataFrame:
     """Synthetic rows where the minority is hardest to tell apart. Their number is rounded per seed."""
     counts = class_counts(df, label_col)
     total = rows_to_add(counts, ratio)
@@ -160,8 +202,8 @@ def adasyn(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: i
     label, _ = minority_and_majority(counts)
     _check_k(k, counts[label])
     minority = df.filter(F.col(label_col) == F.lit(label))
-    seeds = minority.join(adasyn_copies(df, label_col, vec_col, total, k), KEY)
-    neighbours = nearest(minority, minority, k, KEY, vec_col)
+    seeds = minority.join(adasyn_copies(df, label_col, vec_col, total, k, ready), KEY)
+    neighbours = _among_minority(minority, minority, vec_col, k, ready)
     # a seed can get no more than k times the average share
     made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, total)
     return _original(df, label_col, vec_col).unionByName(made)
@@ -178,9 +220,9 @@ SAMPLER_ARGUMENTS = {
 
 
 def oversample(df: DataFrame, name: str, params: dict, label_col: str, vec_col: str, ratio: float,
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, ready: Neighbourhoods | None = None) -> DataFrame:
     """Apply a sampler by name, with settings under their search names."""
     if name not in SAMPLERS:
         raise ValueError(f"sampler must be one of {sorted(SAMPLERS)}, not {name!r}")
     arguments = {SAMPLER_ARGUMENTS[name][p]: int(float(v)) for p, v in params.items()}
-    return SAMPLERS[name](df, label_col, vec_col, ratio, seed=seed, **arguments)
+    return SAMPLERS[name](df, label_col, vec_col, ratio, seed=seed, ready=ready, **arguments)

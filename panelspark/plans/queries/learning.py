@@ -130,6 +130,40 @@ def borderline_class_counts(spark, sf):
     return made.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
+# as the rows of SMOTE, from other seeds: those in danger, or as many copies as the neighbourhood asks for
+SEED_PARTS = {
+    "m": "SELECT vec_id::VARCHAR AS k, embedding::DOUBLE[] AS v FROM embeddings WHERE label = 3",
+    "near": """SELECT a.k, b.v AS nv, row_number() OVER (PARTITION BY a.k ORDER BY list_distance(a.v, b.v), b.k) - 1 AS j
+            FROM m a JOIN m b ON a.k <> b.k""",
+}
+DRAWN_PARTS = {
+    "copied": "SELECT k, v, unnest(generate_series(1, n_copies)) AS copy FROM seeds",
+    "drawn": """SELECT k, v, copy, ('0x' || substr(md5('42|' || k || '|' || copy), 1, 15))::BIGINT % 5 AS j,
+             ('0x' || substr(md5('43|' || k || '|' || copy), 1, 15))::BIGINT / 1152921504606846976::DOUBLE AS u FROM copied""",
+}
+SYNTHETIC = """
+SELECT k || '#' || copy AS row_key, round(list_sum(list_transform(v, lambda x, i: x + u * (nv[i] - x))), 5) AS total,
+       round(list_extract(v, 1) + u * (nv[1] - v[1]), 6) AS first
+FROM drawn JOIN near USING (k, j)
+"""
+
+
+def _synthetic_rows(made):
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
+    return made.filter("synthetic").select("row_key", F.round(total, 5).alias("total"), F.round(F.col("vec")[0], 6).alias("first"))
+
+
+@query("borderline_rows", ctes(
+    c=COUNTS, **NEAR, g="SELECT q, count_if(nl <> 3) AS n_majority FROM r WHERE ql = 3 AND rank <= 10 GROUP BY q", **SEED_PARTS,
+    danger="""SELECT m.*, row_number() OVER (ORDER BY ('0x' || substr(md5('42|' || k), 1, 15))::BIGINT, k) AS pos, count(*) OVER () AS n
+              FROM m WHERE k IN (SELECT q::VARCHAR FROM g WHERE n_majority >= 5 AND n_majority < 10)""",
+    wanted="SELECT floor(c.neg * 0.5 - c.pos)::BIGINT AS wanted_rows FROM c",
+    seeds="SELECT k, v, (wanted_rows // n + (pos <= wanted_rows % n)::INT)::BIGINT AS n_copies FROM danger, wanted",
+    **DRAWN_PARTS) + SYNTHETIC)
+def borderline_rows(spark, sf):
+    return _synthetic_rows(synthetic.borderline_smote(_one_against_rest(spark, sf), "label", "vec", ratio=0.5, k=5, m=10))
+
+
 ADASYN = ctes(c=COUNTS, **NEAR, g="SELECT q, count_if(nl <> 3) AS n_majority FROM r WHERE ql = 3 AND rank <= 5 GROUP BY q",
               a="""SELECT q, round_even(n_majority / (SELECT sum(n_majority) FROM g)::DOUBLE * floor(neg * 0.5 - pos), 0)::INT AS copies
                    FROM g, c""")
@@ -142,6 +176,13 @@ def adasyn_copies(spark, sf):
     return synthetic.adasyn_copies(df, "label", "vec", total, k=5)
 
 
+@query("adasyn_rows", ADASYN + ", " + ctes(
+    **SEED_PARTS, seeds="SELECT k, v, copies::BIGINT AS n_copies FROM m JOIN a ON a.q::VARCHAR = k WHERE copies > 0", **DRAWN_PARTS,
+).removeprefix("WITH ") + SYNTHETIC)
+def adasyn_rows(spark, sf):
+    return _synthetic_rows(synthetic.adasyn(_one_against_rest(spark, sf), "label", "vec", ratio=0.5, k=5))
+
+
 @query("adasyn_class_counts", ADASYN + CLASSES.format(added="(SELECT sum(copies)::BIGINT FROM a)"))
 def adasyn_class_counts(spark, sf):
     made = synthetic.adasyn(_one_against_rest(spark, sf), "label", "vec", ratio=0.5, k=5)

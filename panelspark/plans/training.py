@@ -48,9 +48,10 @@ def tune(spark: SparkSession, gold: DataFrame, experiment_id: str, settings: Pro
     """Runs of a whole search on the train role."""
     rows = training_rows(gold, model)
     numeric, categorical = feature_kinds(rows, model)
-    folds = search.prepare_folds(filters.role(rows, "train", model.role_col), numeric, categorical, model)
+    trials = search.trial_table(spark, model.n_iter, model)
+    folds = search.prepare_folds(
+        filters.role(rows, "train", model.role_col), numeric, categorical, model, search.most_neighbours(trials))
     try:
-        trials = search.trial_table(spark, model.n_iter, model)
         return search.run_search(spark, folds, trials, experiment_id, settings, model)
     finally:
         search.release([part for fold in folds for part in (fold.train, fold.valid)])

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -104,3 +106,16 @@ def test_search_names_of_settings(spark):
     by_name = synthetic.oversample(df, "SMOTE", {"k_neighbors": "4.0"}, "label", "vec", 0.5)
     direct = synthetic.smote(df, "label", "vec", ratio=0.5, k=4)
     assert {r.row_key: tuple(r.vec) for r in made(by_name)} == {r.row_key: tuple(r.vec) for r in made(direct)}
+
+
+@pytest.mark.parametrize("name, params", [
+    ("SMOTE", {"k_neighbors": "3"}), ("BorderlineSMOTE", {"k_neighbors": "4", "m_neighbors": "6"}), ("ADASYN", {"n_neighbors": "5"}),
+    ("SMOTE", {"k_neighbors": "8"})])
+def test_stored_neighbours_change_nothing(spark, name, params):
+    rng = random.Random(4)
+    rows = [(f"r{i:03d}", int(i % 6 == 0), [rng.gauss(i % 6 == 0, 0.8), rng.gauss(0, 1)]) for i in range(120)]
+    rows += [(f"c{i}", 1, [0.5, 0.5]) for i in range(12)]  # copies of one vector name the same few neighbours
+    df = spark.createDataFrame(rows, "row_key string, label int, vec array<double>")
+    near = synthetic.neighbourhoods(df, "label", "vec", 6)
+    plain, shared = (sorted(map(str, synthetic.oversample(df, name, params, "label", "vec", 0.9, ready=r).collect())) for r in (None, near))
+    assert plain == shared and len(plain) > len(rows)
