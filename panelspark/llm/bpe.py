@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from panelspark.llm.store import text_or_empty
 from panelspark.llm.worker import kept
 
-PIECES_KEPT = 300_000
+PIECES_KEPT = 250_000
 
 
 def byte_symbols() -> list[str]:
@@ -66,6 +66,7 @@ class Bpe:
         names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.tokens = [names.get(i, "").encode() for i in range(self.base)]
         self.cache: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[int, bytes, bytes]] = {}
         self.word_ids: dict[str, list[int]] = {}
 
     def merge(self, words: list[str]) -> list[list[int]]:
@@ -131,9 +132,12 @@ class Bpe:
         """Per text: number of ids, decimal ids joined by one space, and the decoded text in UTF-8."""
         cut = [t.split() for t in texts]
         needed = {p for pieces in cut for p in pieces}
-        if len(self.cache.keys() | needed) > PIECES_KEPT:
-            self.cache.clear()
-        self.learn(needed - self.cache.keys())
+        new = needed - self.cache.keys()
+        if len(self.cache) + len(new) > PIECES_KEPT:  # frequent pieces move over to a new half
+            self.older, self.cache, new = self.cache, {}, needed
+        found = {p: self.older[p] for p in new if p in self.older}
+        self.cache.update(found)
+        self.learn(new - found.keys())
         for pieces in cut:
             found = [self.cache[p] for p in pieces]
             yield sum(f[0] for f in found), b"".join([f[1] for f in found])[1:], b"".join([f[2] for f in found])[1:]

@@ -281,10 +281,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     links = stored(confirmed(pairs, texts, width, percent), "links")
     comps = stored(components(links), "components", n_members)
     units = _open_units(members.select("key", "rep"), comps, marks, n_members)
-    units = stored(_with_candidates(units, least), "open_units", n_members)
+    units = stored(_with_candidates(units, least), "open_units", 20 * n_members)
     if not units.isEmpty():
         with_texts = units.join(texts, units["rep"] == texts["doc_id"]).drop("doc_id")
-        more = stored(_links_in_units(with_texts, least, width, percent), "more_links", n_members)
+        more = stored(_links_in_units(with_texts, least, width, percent), "more_links", 20 * n_members)
         joined = more.unionByName(comps.select(F.col("component").alias("a"), F.col("node").alias("b")))
         comps = stored(components(joined), "components", n_members)
 

@@ -6,14 +6,14 @@ import numpy as np
 import pytest
 import zstandard
 
-from panelspark.llm import token_files
+from panelspark.llm import token_files, tokens
 from panelspark.llm.store import new_folder
 from panelspark.llm.tokens import PieceIds, default_tokenizer
 from tests.llm.conftest import AWKWARD
 
 ODD = [
     "It's <|endoftext|> don't <|startoftext|>x", "Σ ΑΣ ß İ ñ", " nbsp\xa0x\x1cy\x85z", "a" * 3000, "12345 $$$###***",
-    "we'll've 're 's", "x'", "<|", "a<|endoftext|>b", "é ﬁ ½", "a.<|endoftext|>.", "日本語テキスト ไทย",
+    "Kelvin \u212a \u1e9e \u0130x \u017fs \u01c5 \u0149", "we'll've 're 's", "x'", "<|", "a<|endoftext|>b", "é ﬁ ½", "a.<|endoftext|>.", "日本語テキスト ไทย",
 ]
 
 
@@ -37,6 +37,14 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer, documents):
         assert np.frombuffer(ids.encode(text.encode()), "<u4").tolist() == whole(tokenizer, text)
 
 
+def test_a_small_cache_changes_nothing(tokenizer, documents, monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 20)
+    ids = PieceIds(default_tokenizer())
+    for _, text in documents[:40]:
+        assert np.frombuffer(ids.encode(text.encode()), "<u4").tolist() == whole(tokenizer, text)
+        assert len(ids) <= 21 and len(ids.older) <= 21
+
+
 def expected(tokenizer, rows, end_id):
     start, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
