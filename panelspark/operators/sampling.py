@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.hashing import row_uniform
@@ -22,12 +22,26 @@ def class_count_table(df: DataFrame, *label_cols: str) -> DataFrame:
     return df.groupBy(*label_cols).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_counts(df: DataFrame, label_col: str) -> dict:
-    """Rows per class. Strata are few; more than a thousand are taken for a mistake."""
+def few_class_counts(df: DataFrame, label_col: str) -> dict | None:
+    """Rows per class, or None for more than ``MAX_STRATA`` classes, which are not for the driver."""
     rows = class_count_table(df, label_col).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"{label_col} has more than {MAX_STRATA} values, too many to stratify by")
-    return {r[label_col]: r["n"] for r in rows if r[label_col] is not None}
+    return {r[label_col]: r["n"] for r in rows if r[label_col] is not None} if len(rows) <= MAX_STRATA else None
+
+
+def class_counts(df: DataFrame, label_col: str) -> dict:
+    """Rows per class of an outcome; more than ``MAX_STRATA`` classes are taken for a mistake."""
+    counts = few_class_counts(df, label_col)
+    if counts is None:
+        raise ValueError(f"{label_col} has more than {MAX_STRATA} values and is no outcome")
+    return counts
+
+
+def _ranked(df: DataFrame, label_col: str, keys: Sequence[str], seed: int) -> DataFrame:
+    """For any number of strata: each row's rank in the hash order of its stratum, and the stratum's rows. Rows of
+    one key have one rank."""
+    whole = Window.partitionBy(label_col)
+    placed = with_position(df, keys, seed)
+    return placed.withColumns({"_rank": F.rank().over(whole.orderBy(*POSITION)), "_n": F.count(F.lit(1)).over(whole)})
 
 
 def class_balance(df: DataFrame, label_col: str) -> DataFrame:
@@ -102,7 +116,9 @@ def stratified_split(df: DataFrame, label_col: str, keys: Sequence[str], share:
     The second part has ceil(share · rows) rows in all, shared out over the classes by largest
     remainder.
     """
-    counts = class_counts(df, label_col)
+    counts = few_class_counts(df, label_col)
+    if counts is None:
+        return _split_many(df, label_col, keys, share, seed, names, out_col)
     total = -(-sum(counts.values()) * share // 1)
     sizes = largest_remainder(counts, int(total))
     cuts = hash_cuts(df, keys, seed, {c: [size] for c, size in sizes.items()}, label_col)
@@ -111,6 +127,22 @@ def stratified_split(df: DataFrame, label_col: str, keys: Sequence[str], share:
     return with_position(df, keys, seed).withColumn(out_col, part).drop(*POSITION)
 
 
+def _split_many(df: DataFrame, label_col: str, keys: Sequence[str], share: float, seed: int, names: tuple[str, str],
+                out_col: str) -> DataFrame:
+    """The same split with the sizes per class as a table."""
+    counts = class_count_table(df.filter(F.col(label_col).isNotNull()), label_col)
+    n_rows = counts.agg(F.sum("n")).first()[0]
+    total = int(-(-n_rows * share // 1))
+    quota = F.lit(float(total)) * F.col("n") / F.lit(float(n_rows))
+    parts = counts.withColumns({"_quota": quota, "_part": F.floor(quota)})
+    left = total - parts.agg(F.sum("_part")).first()[0]
+    order = Window.orderBy(F.col("_part") - F.col("_quota"), F.col(label_col).cast("string"))
+    sizes = parts.withColumn("_size", F.col("_part") + (F.row_number().over(order) <= left).cast("long"))
+    placed = _ranked(df, label_col, keys, seed).join(sizes.select(label_col, "_size"), label_col, "left")
+    part = F.when(F.col("_rank") <= F.col("_size"), names[1]).when(F.col(label_col).isNotNull(), names[0])
+    return placed.select(*df.columns, part.alias(out_col))
+
+
 def fold_ends(n: int, k: int) -> list[int]:
     """Last rank of each fold but the last; the first ``n % k`` folds hold one row more."""
     size, extra = divmod(n, k)
@@ -124,7 +156,13 @@ def fold_ends(n: int, k: int) -> list[int]:
 def stratified_folds(df: DataFrame, label_col: str, keys: Sequence[str], k: int = 2, seed: int = 42,
                      out_col: str = "fold") -> DataFrame:
     """Fold number 0 … k-1 per row; every fold holds each class to within one row."""
-    counts = class_counts(df, label_col)
+    counts = few_class_counts(df, label_col)
+    if counts is None:
+        size, extra = F.floor(F.col("_n") / k), F.col("_n") % k
+        ends = [size * (i + 1) + F.least(F.lit(i + 1), extra) for i in range(k - 1)]
+        number = sum(((F.col("_rank") > end).cast("int") for end in ends), F.lit(0))
+        number = F.when(F.col(label_col).isNotNull(), number)
+        return _ranked(df, label_col, keys, seed).select(*df.columns, number.alias(out_col))
     cuts = hash_cuts(df, keys, seed, {c: fold_ends(n, k) for c, n in counts.items()}, label_col)
 
     def fold(label) -> Column:
@@ -138,7 +176,11 @@ def stratified_folds(df: DataFrame, label_col: str, keys: Sequence[str], k: int
 def nested_samples(df: DataFrame, label_col: str, keys: Sequence[str], shares: Sequence[float],
                    seed: int = 42, out_col: str = "first_share") -> DataFrame:
     """The smallest of the ascending ``shares`` whose sample holds the row; samples are nested."""
-    counts = class_counts(df, label_col)
+    counts = few_class_counts(df, label_col)
+    if counts is None:
+        held = [F.when(F.col("_rank") <= F.rint(F.lit(float(s)) * F.col("_n")), F.lit(float(s))) for s in shares]
+        smallest = F.when(F.col(label_col).isNotNull(), F.coalesce(*held))
+        return _ranked(df, label_col, keys, seed).select(*df.columns, smallest.alias(out_col))
     ends = {c: [int(round(s * n)) for s in shares] for c, n in counts.items()}
     cuts = hash_cuts(df, keys, seed, ends, label_col)
 
