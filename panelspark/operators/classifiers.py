@@ -88,6 +88,7 @@ def _boosted_trees(params, n, d, seed):
         maxDepth=_depth(params, 6), maxIter=int(params.get("n_estimators", 100)),
         stepSize=min(1.0, max(float(params.get("learning_rate", 0.1)), 1e-6)),
         minInfoGain=max(0.0, float(params.get("gamma", 0.0))),
+        minInstancesPerNode=max(1, round(float(params.get("min_child_weight", 1)))),
         subsamplingRate=float(params.get("subsample", 1.0)),
         featureSubsetStrategy=_feature_subset(params.get("colsample_bytree")), seed=seed,
     )
@@ -111,6 +112,25 @@ BUILDERS = {
 }
 MODEL_NAMES = (*BUILDERS, "KNeighborsClassifier")
 
+_BOOSTED = ("max_depth", "n_estimators", "learning_rate", "gamma", "subsample", "colsample_bytree", "min_child_weight")
+# the settings that a builder looks at
+EFFECTIVE = {
+    "GaussianNB": (),
+    "DecisionTreeClassifier": ("criterion", "max_depth", "max_features", "min_samples_split"),
+    "LogisticRegression": ("C", "class_weight"),
+    "RandomForestClassifier": (
+        "criterion", "class_weight", "n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features"),
+    "XGBClassifier": _BOOSTED,
+    "LGBMClassifier": _BOOSTED,
+    "MLPClassifier": ("solver", "max_iter", "tol"),
+    "KNeighborsClassifier": ("n_neighbors",),
+}
+
+
+def without_effect(name: str, params: Mapping) -> list[str]:
+    """Settings that were drawn but have no counterpart here; two trials that differ in these alone are one model."""
+    return sorted(set(params) - set(EFFECTIVE.get(name, params)))
+
 
 @dataclass
 class FittedClassifier:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from panelspark.config import ModelConfig, ProcessingConfig
 from panelspark.functions.hashing import row_uniform
 from panelspark.operators import metrics, sampling, synthetic
-from panelspark.operators.classifiers import fit_classifier
+from panelspark.operators.classifiers import fit_classifier, without_effect
 from panelspark.operators.preprocess import PanelPreprocessor
 from panelspark.operators.ranking import key_text
 from panelspark.operators.registry import RUNS_SCHEMA
@@ -298,6 +298,8 @@ def run_search(spark: SparkSession, folds: list[Fold], trials: DataFrame, experi
             params |= {"sampler": trial["sampler"], **{f"sampler.{k}": v for k, v in trial["sampler_params"].items()}}
         tags = {"classifier_type": trial["classifier"], "use_resampling_in_train_pipeline": str(bool(trial["sampler"])),
                 "random_state": str(model.random_state)}
+        if ignored := without_effect(trial["classifier"], trial["params"] or {}):
+            tags["settings_without_effect"] = ",".join(ignored)
         try:
             found = evaluate(folds, trial["classifier"], parse_params(trial["params"]), trial["sampler"],
                              parse_params(trial["sampler_params"]), settings, model.random_state)

@@ -245,3 +245,13 @@ def test_summary_leaves_extreme_rows_out(spark):
     values = spark.createDataFrame(rows, "k string, feature string, value double")
     found = {r.feature: r.mean_abs for r in explain.summarise(values, "k", 5.0).collect()}
     assert found == pytest.approx({"x": 2.0, "y": 3.45})
+
+
+def test_settings_without_effect_are_named(spark):
+    assert set(classifiers.EFFECTIVE) == set(classifiers.MODEL_NAMES)
+    drawn = search.model_space(search.Draw(1))
+    assert {m: classifiers.without_effect(m, drawn[m]) for m in ("GaussianNB", "KNeighborsClassifier", "RandomForestClassifier")} == {
+        "GaussianNB": [], "KNeighborsClassifier": [], "RandomForestClassifier": []}
+    assert classifiers.without_effect("MLPClassifier", drawn["MLPClassifier"]) == ["activation", "alpha", "learning_rate", "momentum", "power_t"]
+    assert "min_child_weight" not in classifiers.without_effect("XGBClassifier", drawn["XGBClassifier"])
+    assert classifiers._boosted_trees({"min_child_weight": "7.6"}, 10, 2, 1).getMinInstancesPerNode() == 8
