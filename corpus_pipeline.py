@@ -37,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line equals or nearly equals go; every document stays."""
-    return counted(line_dedup.dedup_lines(docs)).select(docs.columns)
+    return counted(line_dedup.dedup_lines(docs, counts=False))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

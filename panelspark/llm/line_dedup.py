@@ -338,17 +338,21 @@ def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     return found.join(judged, ["high", "low"]).select("doc_id", "line_no", copy.alias("copy"), F.coalesce("near", F.lit(False)).alias("near"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``text_col`` rid of the lines that go, and ``n_copy_lines, n_near_lines`` (lines that go because
-    an equal one, or else a near one, is earlier). A null text stays null."""
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
+                counts: bool = True) -> DataFrame:
+    """``docs`` with ``text_col`` rid of the lines that go, and with ``counts`` also ``n_copy_lines, n_near_lines``
+    (lines that go because an equal one, or else a near one, is earlier) in place of columns of these names. A null
+    text stays null."""
     verdicts = line_verdicts(docs, edits, min_chars, id_col, text_col).where("copy or near")
     gone = verdicts.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_set(F.col("line_no").cast("int")).alias("_gone"), F.count_if("copy").alias("n_copy_lines"),
         F.count_if(F.expr("near and not copy")).alias("n_near_lines"))
-    names = [c for c in docs.columns if c.lower() not in ("n_copy_lines", "n_near_lines")]
+    added = ["n_copy_lines", "n_near_lines"] if counts else []
+    names = [c for c in docs.columns if c.lower() not in added]
+    gone = gone.select("_id", "_gone", *added)
     # what goes grows with the corpus, so the same join is asked for at every size
     rows = docs.select(*names).join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains(F.col("_gone"), k))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return rows.withColumn(text_col, text).select(
-        *names, *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_copy_lines", "n_near_lines")))
+        *names, *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in added))

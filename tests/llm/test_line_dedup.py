@@ -131,6 +131,7 @@ def test_columns_stay(frame, texts):
     out = line_dedup.dedup_lines(docs, 1, 8)
     assert out.columns == [c for c in docs.columns if c != "n_copy_lines"] + ["n_copy_lines", "n_near_lines"]
     assert out.count() == len(texts)
+    assert line_dedup.dedup_lines(docs, 1, 8, counts=False).columns == docs.columns
 
 
 def test_edits_are_bounded(frame):
