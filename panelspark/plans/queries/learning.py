@@ -14,7 +14,7 @@ from panelspark.operators.preprocess import PanelPreprocessor
 from panelspark.plans import training
 from panelspark.plans.queries import panel
 from panelspark.plans.queries.book import ctes, query, rounded
-from panelspark.plans.queries.evaluation import scores
+from panelspark.plans.queries.evaluation import SCORES, scores
 from panelspark.plans.standins import load
 from panelspark.session import checkpointed
 
@@ -271,7 +271,18 @@ def sigmoid_calibrated(spark, sf):
     return _calibrated(spark, sf, "sigmoid")
 
 
-@query("isotonic_calibrated")
+# the isotonic fit in closed form: the largest, over starts at or before a point, of the smallest mean from there to
+# an end at or behind it
+@query("isotonic_calibrated", ctes(
+    s=SCORES,
+    n="""SELECT p AS score, sum(y) AS pos, count(*) AS w, row_number() OVER (ORDER BY p) AS i,
+         sum(sum(y)) OVER (ORDER BY p) AS cum_pos, sum(count(*)) OVER (ORDER BY p) AS cum_w FROM s GROUP BY p""",
+    g="""SELECT j.i AS j, k.i AS i, (k.cum_pos - j.cum_pos + j.pos) / (k.cum_w - j.cum_w + j.w)::DOUBLE AS mean
+         FROM n j JOIN n k ON k.i >= j.i""",
+    low="SELECT i, min(mean) OVER (PARTITION BY j ORDER BY i DESC) AS low FROM g",
+    f="SELECT i, max(low) AS fitted FROM low GROUP BY i") + """
+SELECT o_orderkey, score, round(fitted, 4) AS p FROM s JOIN n ON s.p = n.score JOIN f USING (i)
+""")
 def isotonic_calibrated(spark, sf):
     return _calibrated(spark, sf, "isotonic")
 
