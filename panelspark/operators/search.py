@@ -178,8 +178,8 @@ def trial_table(spark: SparkSession, n: int, model: ModelConfig = ModelConfig(),
 
 def most_neighbours(trials: DataFrame) -> int:
     """The largest number of neighbours that a sampler of the trials asks for; 0 without samplers."""
-    asked = trials.select(F.explode(F.map_values("sampler_params")).cast("double").alias("n"))
-    return int(asked.agg(F.coalesce(F.max("n"), F.lit(0.0))).first()[0])
+    asked = trials.select(F.explode(F.map_values("sampler_params")).alias("n"))
+    return int(asked.agg(F.coalesce(F.max(F.col("n").cast("double")), F.lit(0.0))).first()[0])
 
 
 def parse_params(params: dict | None) -> dict:

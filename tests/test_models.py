@@ -255,3 +255,10 @@ def test_settings_without_effect_are_named(spark):
     assert classifiers.without_effect("MLPClassifier", drawn["MLPClassifier"]) == ["activation", "alpha", "learning_rate", "momentum", "power_t"]
     assert "min_child_weight" not in classifiers.without_effect("XGBClassifier", drawn["XGBClassifier"])
     assert classifiers._boosted_trees({"min_child_weight": "7.6"}, 10, 2, 1).getMinInstancesPerNode() == 8
+
+
+def test_most_neighbours_asked_for(spark):
+    trials = search.trial_table(spark, 40, ModelConfig())
+    asked = [int(float(v)) for r in trials.collect() for v in (r["sampler_params"] or {}).values()]
+    assert search.most_neighbours(trials) == max(asked)
+    assert search.most_neighbours(search.trial_table(spark, 5, ModelConfig(use_resampling=False))) == 0
