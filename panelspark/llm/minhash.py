@@ -3,7 +3,8 @@
 Documents are linked when the Jaccard similarity of their shingle sets reaches the threshold. Work per step:
 
 1. Each text gives one row: size and 128-bit hash of its shingle set, band keys, and a signature of many universal
-   hash minima (the low byte of each). Documents of equal sets form a class at once; its smallest id speaks for it.
+   hash minima (the low byte of each). Documents of equal sets form a class at once, named by a hash of the set; its
+   smallest id and a text with it speak for it.
 2. Classes that share a band key are candidates. Every class is compared with the smallest of each of its buckets:
    signatures first, then the full sets of those that may reach the threshold. Linked classes form components.
 3. What remains are buckets whose members are in several components. They are cut into blocks of bounded size, and
@@ -16,9 +17,9 @@ number of rows per band is the largest for which a pair at the threshold is miss
 most ``MISS``; the signature test lets such a pair go with a chance of at most ``MISS_TEST``.
 
 A document without words has an empty set and is linked with nothing. With fewer words than a shingle has, the
-whole sequence is the one shingle. Rows of one id are one document; where their texts differ, the smallest text
-speaks for it. Rows without id belong to the class of an equal set if there is one, and else stand alone. An empty
-table gives an empty result; other columns are not looked at.
+whole sequence is the one shingle. Rows of one id and different texts are told apart by a hash of the text and judged
+each by its own text. Rows without id belong to the class of an equal set if there is one with an id, and else stand
+alone. An empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -99,9 +100,14 @@ def minima(hashes: np.ndarray, factors: np.ndarray, shifts: np.ndarray, step: in
     return lowest >> np.uint64(24)  # the high bits are the good ones
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_mark"), text.alias("text"))
+
+
 def signatures(docs: DataFrame, width: int, percent: int, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, set_hash`` (16 bytes), ``bands`` (a key per band), ``signature`` (a byte per hash);
-    the last three are null for an empty set."""
+    """``doc_id, text_mark`` (a hash of the text), ``n_shingles, set_hash`` (16 bytes), ``bands`` (a key per band),
+    ``signature`` (a byte per hash); the last three are null for an empty set."""
     rows = rows_per_band(percent, hashes)
     bands = hashes // rows
 
@@ -114,21 +120,20 @@ def signatures(docs: DataFrame, width: int, percent: int, hashes: int = HASHES,
         shifts = rng.integers(0, 1 << 63, (hashes, 1), dtype=np.uint64)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary())):
+            for doc_id, mark, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_mark")), batch["text"].cast(pa.binary())):
                 found = shingle_hashes(text.as_py(), width, words)
                 if not len(found):
-                    out.append((doc_id, 0, None, None, None))
+                    out.append((doc_id, mark, 0, None, None, None))
                     continue
                 low = minima(found, factors, shifts)
                 keys = [xxhash.xxh3_64_intdigest(low[b * rows:(b + 1) * rows].tobytes(), b) - (1 << 63) for b in range(bands)]
-                out.append((doc_id, len(found), xxhash.xxh3_128_digest(found.tobytes()), keys, low.astype(np.uint8).tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+                out.append((doc_id, mark, len(found), xxhash.xxh3_128_digest(found.tobytes()), keys, low.astype(np.uint8).tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["doc_id", "n_shingles", "set_hash", "bands", "signature"])
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["doc_id", "text_mark", "n_shingles", "set_hash", "bands", "signature"])
 
-    rows_ = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows_.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_mark long, n_shingles long, set_hash binary, bands array<long>, signature binary")
 
 
 def similar_signatures(pairs: DataFrame, marks: DataFrame, least: int) -> DataFrame:
@@ -255,14 +260,17 @@ def _open_units(members: DataFrame, comps: DataFrame, marks: DataFrame, rows: in
     return units.join(marks.select("rep", "signature", "bands"), "rep")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest id reachable), ``kept``."""
+def _judged(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, text_mark, n_shingles, component_id, kept``."""
     least = least_matches(percent)
     found = stored(signatures(docs, width, percent, id_col=id_col, text_col=text_col), "signatures")
     n_docs = found.count()
-    classes = found.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes.where("rep is not null"), "classes", n_docs)
-    marks = found.join(classes.withColumnRenamed("set_hash", "_set"), (F.col("doc_id") == F.col("rep")) & (F.col("set_hash") == F.col("_set")))
+    speaker = F.min(F.struct("doc_id", "text_mark")).alias("of")
+    classes = found.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(speaker)
+    classes = classes.select("set_hash", F.xxhash64("set_hash").alias("rep"), F.col("of.doc_id").alias("least_id"), F.col("of.text_mark").alias("mark"))
+    classes = stored(classes, "classes", n_docs)
+    speaks = (F.col("doc_id") == F.col("least_id")) & (F.col("text_mark") == F.col("mark")) & (F.col("set_hash") == F.col("_set"))
+    marks = found.join(classes.withColumnRenamed("set_hash", "_set"), speaks)
     marks = stored(marks.dropDuplicates(["rep"]).select("rep", "bands", "signature"), "marks", 10 * n_docs)
 
     keys = marks.select("rep", F.explode("bands").alias("key"))
@@ -274,9 +282,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     pairs = members.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = stored(similar_signatures(pairs, marks, least), "similar_pairs")
     wanted = members.select("rep").unionByName(members.select(F.col("leader").alias("rep"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    texts = texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
-    texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    wanted = wanted.join(classes, "rep").select("rep", "least_id", "mark")
+    texts = _texts(docs, id_col, text_col)
+    texts = texts.join(wanted, (F.col("doc_id") == F.col("least_id")) & (F.col("text_mark") == F.col("mark")))
+    texts = stored(texts.groupBy(F.col("rep").alias("doc_id")).agg(F.min("text").alias("text")), "texts")
 
     links = stored(confirmed(pairs, texts, width, percent), "links")
     comps = stored(components(links), "components", n_members)
@@ -288,12 +297,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         joined = more.unionByName(comps.select(F.col("component").alias("a"), F.col("node").alias("b")))
         comps = stored(components(joined), "components", n_members)
 
-    result = found.join(classes, "set_hash", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    ids = comps.withColumnRenamed("node", "rep").join(classes.select("rep", "least_id"), "rep")
+    ids = ids.join(ids.groupBy("component").agg(F.min("least_id").alias("smallest")), "component").select("rep", "smallest")
+    result = found.join(classes.select("set_hash", "rep", "least_id"), "set_hash", "left").join(ids, "rep", "left")
+    component = F.coalesce("smallest", "least_id", "doc_id")
+    return result.select("doc_id", "text_mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id`` (the smallest id reachable), ``kept``."""
+    return _judged(docs, width, percent, id_col, text_col).drop("text_mark")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component, with all their columns."""
-    gone = near_duplicates(docs, width, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, one document of each component, with all their columns. Rows of one id, and
+    rows without id, are told apart by a hash of their texts."""
+    gone = _judged(docs, width, percent, id_col, text_col).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_mark").alias("_mark")).distinct()
+    same = docs[id_col].eqNullSafe(F.col("_gone")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_mark"))
+    return docs.join(gone, same, "left_anti")

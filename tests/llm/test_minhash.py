@@ -101,6 +101,19 @@ def test_one_of_each_group_stays(frame, families):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(r[0] for r in brute(families, 3, 85) if r[3])
 
 
+def test_rows_without_id_or_of_one_id_go_by_their_texts(frame):
+    base = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(6)]
+    rows = AWKWARD + [
+        (20, base[0]), (None, base[0]), (None, base[1]), (None, base[1] + " more"),  # a copy, and texts that stand alone
+        (21, base[2]), (30, base[2] + " end"), (30, base[3]), (31, base[3] + " end"), (30, base[4]), (None, base[4]), (5, base[5])]
+    want = brute(rows, 3, 85)
+    assert result(minhash.near_duplicates(frame(rows), 3, 85)) == want
+    out = minhash.drop_near_duplicates(frame(rows), 3, 85)
+    left = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    gone = [(None, "a"), (5, "A"), (None, base[0]), (30, base[2] + " end"), (31, base[3] + " end"), (None, base[4])]
+    assert left == sorted((r for r in rows if r not in gone), key=repr)
+
+
 def test_banding_follows_the_threshold():
     for percent in (60, 80, 85, 95):
         t, r = percent / 100, minhash.rows_per_band(percent)
