@@ -1,6 +1,6 @@
 """Line deduplication by a segment-partition edit join.
 
-A line goes when an earlier line (by document id, then line number) of the corpus is equal to it or at most
+A line goes when an earlier line (by document id, hash of the text, then line number) of the corpus is equal to it or at most
 ``edits`` code points inserted, deleted or replaced away. Compared are lines without surrounding ASCII white space of
 ``min_chars`` code points or more; shorter lines stay as they are, and so do the remaining lines of a document.
 
@@ -13,8 +13,9 @@ A line goes when an earlier line (by document id, then line number) of the corpu
    key's lines, and pairs of blocks), where lengths and letter counts exclude most pairs and a banded bit-parallel edit
    distance, many pairs at a time, decides. A unit gives for each line the earliest near one only.
 
-A null text has no lines. A line at the same place of rows with one id is one line: ids name documents. Null ids come
-first. An empty table gives an empty result.
+A null text has no lines. Rows of one id (or without id) are told apart by a hash of the text, and rows of one id and
+text by a number given once: the first keeps what the text keeps, the others lose all compared lines as copies. Null
+ids come first. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.store import stored, text_or_empty
@@ -34,6 +35,7 @@ BLOCK = 512
 CHARS_AT_ONCE = 1 << 20
 FILTER_BITS = 1 << 25
 PAIRS_AT_ONCE = 4096
+FIRST = ("first_id", "first_mark", "first_no")
 SPACE = " \t\r\x0b\x0c"
 STEP = 0x9E3779B97F4A7C15
 STEP_BACK = pow(STEP, -1, 1 << 64)
@@ -164,35 +166,37 @@ def bits_of(lows: DataFrame) -> bytes:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_mark"), text.alias("text"))
 
 
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``doc_id, line_no, high, low`` (the halves of the line's hash)."""
+    """``doc_id, text_mark, line_no, high, low`` (the halves of the line's hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, numbers, lines = [], [], []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+            ids, marks, numbers, lines = [], [], [], []
+            for doc_id, mark, text in zip(batch["doc_id"].to_pylist(), batch["text_mark"].to_pylist(), batch["text"]):
                 found = lines_of(text.as_py(), min_chars)
                 ids += [doc_id] * len(found)
+                marks += [mark] * len(found)
                 numbers += [k for k, _ in found]
                 lines += [line for _, line in found]
             hashes = line_ids(lines)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])],
-                ["doc_id", "line_no", "high", "low"])
+                [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int64()), pa.array(hashes[:, 0]),
+                 pa.array(hashes[:, 1])], ["doc_id", "text_mark", "line_no", "high", "low"])
 
-    return docs.mapInArrow(run, "doc_id long, line_no long, high long, low long")
+    return docs.mapInArrow(run, "doc_id long, text_mark long, line_no long, high long, low long")
 
 
 def _lines_with(docs: DataFrame, bits: bytes, min_chars: int) -> DataFrame:
-    """``doc_id, line_no, high, low, line`` of the lines whose bit is set."""
+    """``doc_id, text_mark, line_no, high, low, line`` of the lines whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(bits, np.uint8)
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+            for doc_id, mark, text in zip(batch["doc_id"].to_pylist(), batch["text_mark"].to_pylist(), batch["text"]):
                 found = lines_of(text.as_py(), min_chars)
                 if not found:
                     continue
@@ -201,11 +205,11 @@ def _lines_with(docs: DataFrame, bits: bytes, min_chars: int) -> DataFrame:
                 hit = np.flatnonzero((marked[place >> 3] >> (place & 7).astype(np.uint8)) & 1).tolist()
                 if hit:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id] * len(hit), pa.int64()), pa.array([found[k][0] for k in hit], pa.int64()),
-                         pa.array(hashes[hit, 0]), pa.array(hashes[hit, 1]), pa.array([found[k][1] for k in hit])],
-                        ["doc_id", "line_no", "high", "low", "line"])
+                        [pa.array([doc_id] * len(hit), pa.int64()), pa.array([mark] * len(hit), pa.int64()),
+                         pa.array([found[k][0] for k in hit], pa.int64()), pa.array(hashes[hit, 0]), pa.array(hashes[hit, 1]),
+                         pa.array([found[k][1] for k in hit])], ["doc_id", "text_mark", "line_no", "high", "low", "line"])
 
-    return docs.mapInArrow(run, "doc_id long, line_no long, high long, low long, line string")
+    return docs.mapInArrow(run, "doc_id long, text_mark long, line_no long, high long, low long, line string")
 
 
 def _keys(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
@@ -234,7 +238,7 @@ def _keys(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
 
 
 def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
-    """``low, near_id, near_no``: lines with an earlier line within the distance, and where that one is first."""
+    """``low, near_id, near_mark, near_no``: lines with an earlier line within the distance, and where that one is first."""
 
     def pairs_in(rows: dict, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (earlier, later) of one unit's lines that lengths and roles allow."""
@@ -256,7 +260,7 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
 
     def near(table: pa.Table) -> pa.RecordBatch | None:
         lines = table["line"].to_pylist()
-        rows = {c: table[c].to_numpy(zero_copy_only=False) for c in ("key", "left", "right", "block", "indexed", "low", "first_no")}
+        rows = {c: table[c].to_numpy(zero_copy_only=False) for c in ("key", "left", "right", "block", "indexed", "low", "first_mark", "first_no")}
         rows |= {"n": np.array([len(x) for x in lines], np.int64), "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
         new = (np.diff(rows["key"]) != 0) | (np.diff(rows["left"]) != 0) | (np.diff(rows["right"]) != 0)
         bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
@@ -273,7 +277,8 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
             return None
         return pa.RecordBatch.from_arrays(
             [pa.array(rows["low"][list(best)]), pa.array([rows["first_id"][i] for i in best.values()], pa.int64()),
-             pa.array(rows["first_no"][list(best.values())])], ["low", "near_id", "near_no"])
+             pa.array(rows["first_mark"][list(best.values())]), pa.array(rows["first_no"][list(best.values())])],
+            ["low", "near_id", "near_mark", "near_no"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -293,13 +298,18 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
             yield found
 
     place = ["key", "left", "right"]
-    ordered = units.repartition(*place).sortWithinPartitions(*place, "first_id", "first_no", "low")
-    return ordered.mapInArrow(run, "low long, near_id long, near_no long")
+    ordered = units.repartition(*place).sortWithinPartitions(*place, "first_id", "first_mark", "first_no", "low")
+    return ordered.mapInArrow(run, "low long, near_id long, near_mark long, near_no long")
+
+
+def _at_first() -> Column:
+    """Whether a line stands at its first place."""
+    return F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_mark") == F.col("first_mark")) & (F.col("line_no") == F.col("first_no"))
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """``high, low`` of the lines with an earlier line within ``edits``, and that line's first place. ``docs`` has
-    ``doc_id, text``; ``firsts`` has each line's hash and first place."""
+    ``doc_id, text_mark, text``; ``firsts`` has each line's hash and first place."""
     keys = stored(_keys(docs, edits, min_chars), "keys")
     shared = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b"), F.max("indexed").alias("any"))
     shared = stored(shared.where("a != b and any").select("key"), "shared_keys")
@@ -307,35 +317,37 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -
     members = stored(members, "key_lines")
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
 
-    wanted = stored(members.select("low").distinct().join(firsts, "low").select("high", "low", "first_id", "first_no"), "wanted")
+    wanted = stored(members.select("low").distinct().join(firsts, "low").select("high", "low", *FIRST), "wanted")
     lines = _lines_with(docs, bits_of(wanted), min_chars).join(wanted, ["high", "low"])
-    lines = lines.where(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("line_no") == F.col("first_no")))
+    lines = lines.where(_at_first())
     # the line at its first place; all copies of it are the same text
-    lines = stored(lines.dropDuplicates(["high", "low"]).select("high", "low", "first_id", "first_no", "line"), "lines")
+    lines = stored(lines.dropDuplicates(["high", "low"]).select("high", "low", *FIRST, "line"), "lines")
 
     rows = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("low"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     units = rows.join(lines, "low").select(
         "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "indexed",
-        "low", "first_id", "first_no", "line")
-    near = _near_in_units(units, edits).groupBy("low").agg(F.min(F.struct("near_id", "near_no")).alias("near"))
-    return near.join(lines.select("high", "low"), "low").select("high", "low", "near.near_id", "near.near_no")
+        "low", *FIRST, "line")
+    near = _near_in_units(units, edits).groupBy("low").agg(F.min(F.struct("near_id", "near_mark", "near_no")).alias("near"))
+    return near.join(lines.select("high", "low"), "low").select("high", "low", "near.near_id", "near.near_mark", "near.near_no")
 
 
 def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per compared line of a document: ``doc_id, line_no, copy`` (an equal line is earlier), ``near`` (a
-    line within the distance of it is earlier)."""
+    """One row per compared line of a document: ``doc_id, text_mark, line_no, copy`` (an equal line is earlier),
+    ``near`` (a line within the distance of it is earlier). Rows of one id and text get the same verdicts."""
     if not 0 <= edits < min(min_chars, 32):
         raise ValueError(f"edits is {edits}; it has to be below 32 and below min_chars, {min_chars}")
     texts = _texts(docs, id_col, text_col)
     found = stored(occurrences(texts, min_chars), "line_places")
-    firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    firsts = stored(firsts.select("high", "low", F.col("first.doc_id").alias("first_id"), F.col("first.line_no").alias("first_no")), "first_places")
+    firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "text_mark", "line_no")).alias("first"))
+    firsts = firsts.select(
+        "high", "low", F.col("first.doc_id").alias("first_id"), F.col("first.text_mark").alias("first_mark"), F.col("first.line_no").alias("first_no"))
+    firsts = stored(firsts, "first_places")
     near = stored(near_lines(texts, firsts, edits, min_chars), "near_lines")
     judged = firsts.join(near.select("high", "low", F.lit(True).alias("near")), ["high", "low"], "left")
     judged = stored(judged, "judged_lines")
-    copy = ~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("line_no") == F.col("first_no")))
-    return found.join(judged, ["high", "low"]).select("doc_id", "line_no", copy.alias("copy"), F.coalesce("near", F.lit(False)).alias("near"))
+    return found.join(judged, ["high", "low"]).select(
+        "doc_id", "text_mark", "line_no", (~_at_first()).alias("copy"), F.coalesce("near", F.lit(False)).alias("near"))
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
@@ -344,15 +356,36 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     (lines that go because an equal one, or else a near one, is earlier) in place of columns of these names. A null
     text stays null."""
     verdicts = line_verdicts(docs, edits, min_chars, id_col, text_col).where("copy or near")
-    gone = verdicts.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_set(F.col("line_no").cast("int")).alias("_gone"), F.count_if("copy").alias("n_copy_lines"),
-        F.count_if(F.expr("near and not copy")).alias("n_near_lines"))
+    line_no = F.col("line_no").cast("int")
+    # sets, as rows of one id and text give each verdict more than once
+    gone = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).agg(
+        F.collect_set(line_no).alias("_gone"), F.size(F.collect_set(F.when(F.col("copy"), line_no))).cast("long").alias("n_copy_lines"))
+    gone = gone.withColumn("n_near_lines", F.size("_gone") - F.col("n_copy_lines"))
     added = ["n_copy_lines", "n_near_lines"] if counts else []
     names = [c for c in docs.columns if c.lower() not in added]
-    gone = gone.select("_id", "_gone", *added)
-    # what goes grows with the corpus, so the same join is asked for at every size
-    rows = docs.select(*names).join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains(F.col("_gone"), k))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return rows.withColumn(text_col, text).select(
-        *names, *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in added))
+    gone = gone.select("_id", "_mark", "_gone", *added)
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_mark"))
+    lines = F.split(F.col(text_col), "\n")
+
+    def kept_of(rows: DataFrame) -> DataFrame:
+        # what goes grows with the corpus, so the same join is asked for at every size
+        rows = rows.select(*names).join(gone.hint("merge"), same, "left")
+        kept = F.filter(lines, lambda line, k: ~F.array_contains(F.col("_gone"), k))
+        text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+        return rows.withColumn(text_col, text).select(*names, *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in added))
+
+    repeated = _texts(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).count()
+    repeated = stored(repeated.where("count > 1").select("_id", "_mark"), "repeated")
+    if repeated.isEmpty():
+        return kept_of(docs)
+    numbered = docs.join(repeated, same, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+    numbered = stored(numbered, "repeated_rows")
+    firsts = numbered.groupBy(F.col(id_col), F.xxhash64(text_or_empty(text_col))).agg(F.min("_row").alias("_row")).select("_row")
+    later = numbered.join(firsts, "_row", "left_anti").select(*names)
+    short = F.filter(lines, lambda line: F.char_length(F.btrim(line, F.lit(SPACE))) < min_chars)
+    n_copies = F.coalesce(F.size(lines) - F.size(short), F.lit(0)).cast("long")
+    found = {"n_copy_lines": n_copies, "n_near_lines": F.lit(0).cast("long")}
+    later = later.select(
+        *(F.array_join(short, "\n").alias(c) if c == text_col else F.col(c) for c in names), *(found[c].alias(c) for c in added))
+    single = docs.join(repeated, same, "left_anti").unionByName(numbered.join(firsts, "_row", "left_semi").drop("_row"))
+    return kept_of(single).unionByName(later)

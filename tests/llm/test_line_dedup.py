@@ -126,6 +126,21 @@ def test_awkward_rows(frame):
     assert result(line_dedup.dedup_lines(frame(rows), 1, 3)) == brute(rows, 1, 3)
 
 
+def test_rows_without_id_or_of_one_id_keep_their_own_lines(frame):
+    line = lambda k: f"{k * 7919:06d} a line that is like no other {k * 104729:08d}"
+    text = lambda *ks: "\n".join(map(line, ks))
+    rows = [(None, text(1, 2)), (None, text(3, 4)), (5, text(5, 6)), (5, text(7, 8)), (6, text(9, 2, 10)), (6, text(11, 12, 13)), (7, text(14, 8, 3))]
+    rows += [(None, text(20) + "\nshort"), (None, text(20) + "\nshort"), (8, text(21)), (8, text(21)), (8, text(21)), (9, text(22)), (9, None), (9, "")]
+    out = sorted(((r["doc_id"], r["text"], r["n_copy_lines"], r["n_near_lines"]) for r in line_dedup.dedup_lines(frame(rows)).collect()), key=repr)
+    want = [(None, text(1, 2), 0, 0), (None, text(3, 4), 0, 0), (5, text(5, 6), 0, 0), (5, text(7, 8), 0, 0), (6, text(9, 10), 1, 0)]
+    want += [(6, text(11, 12, 13), 0, 0), (7, text(14), 2, 0), (None, text(20) + "\nshort", 0, 0), (None, "short", 1, 0)]
+    want += [(8, text(21), 0, 0), (8, "", 1, 0), (8, "", 1, 0), (9, text(22), 0, 0), (9, None, 0, 0), (9, "", 0, 0)]
+    assert out == sorted(want, key=repr)
+    # a line at the same place of texts without id is a copy in all but one of them
+    twice = line_dedup.dedup_lines(frame([(None, text(1, 2)), (None, text(1, 3))])).collect()
+    assert sorted(r["n_copy_lines"] for r in twice) == [0, 1]
+
+
 def test_columns_stay(frame, texts):
     docs = frame(texts).withColumnRenamed("lang", "near").withColumnRenamed("source", "n_copy_lines")
     out = line_dedup.dedup_lines(docs, 1, 8)
