@@ -4,8 +4,8 @@ Base spans come from regular expressions and checks per kind (``KINDS``). They a
 is a lexical pattern, alone and with the word after it. The same patterns are read off all other tokens with a digit
 or an at sign, which are the candidates. Patterns and instances make a graph whose edges are counted over all
 documents; in each round a pattern scores the mean of its instances' scores (of any kind, so that mixed contexts stay
-low), and an instance the chance that not all of its patterns are wrong. A candidate that looks like a base kind but
-failed its check is a known negative. Other candidates that a high-confidence pattern finds with a high score are
+low), and an instance the chance that not all of its patterns are wrong. A candidate that looks like a kind but fails
+its check is a known negative of that kind alone, and a number one of ``email``. Other candidates that a high-confidence pattern finds with a high score are
 added as spans of that kind; base spans always stay.
 
 Spans count in code points and their end is exclusive. A null text is empty. Rows of one id and text get the same
@@ -108,8 +108,17 @@ def candidates(text: Column, spans: Column) -> Column:
 
 
 def refuted(match: Column) -> Column:
-    """Whether a candidate looks like a base kind whose check it must have failed, as it is no base span."""
-    return match.rlike(r"^(?:[0-9]+(?:\.[0-9]+){3}|[0-9](?:[\x20-]?[0-9])*+|\+[0-9][\x20().0-9-]+[0-9])$")
+    """The kinds that a candidate cannot be, as an array: those whose form and length it has while its check fails, and
+    ``email`` for a number. Numbers of other lengths are left to their context."""
+    digits = F.char_length(F.regexp_replace(match, "[^0-9]", ""))
+    card = F.when(match.rlike(r"^[0-9](?:[\x20-]?[0-9])*+$") & digits.between(12, 19), ~valid("card", match))
+    tests = {
+        "email": match.rlike(r"^\+?[0-9][\x20().0-9-]*+$"),
+        "ip": F.when(match.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"), ~valid("ip", match)),
+        "card": card,
+        "phone": match.rlike(r"^\+[0-9][\x20().0-9-]+[0-9]$") & ~valid("phone", match),
+    }
+    return F.array_compact(F.array(*(F.when(tests[kind], F.lit(kind)) for kind in KINDS)))
 
 
 def context(text: Column, span: Column) -> tuple[Column, Column]:
@@ -132,11 +141,11 @@ def found_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         patterns = F.array(left, F.concat_ws("\t", left, right))
         return F.struct(
             span["start"].alias("start"), span["stop"].alias("stop"), F.lower(span["match"]).alias("instance"),
-            F.lit(None).cast("string").alias("kind"), refuted(span["match"]).alias("refuted"),
+            F.lit(None).cast("string").alias("kind"),
             F.when(left != "", patterns).otherwise(F.array().cast("array<string>")).alias("patterns"))
 
     def seeded(span: Column) -> Column:
-        return with_patterns(span).withField("kind", span["kind"]).withField("refuted", F.lit(False))
+        return with_patterns(span).withField("kind", span["kind"])
 
     both = let(base_spans(text), lambda spans: F.struct(
         F.transform(spans, seeded).alias("spans"), F.transform(candidates(text, spans), with_patterns).alias("others")))
@@ -146,22 +155,23 @@ def found_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def learn(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """Scored patterns ``pattern, kind, confidence`` and instances ``instance, kind, score``, both above the limit."""
     seen = found.select(F.explode(F.concat("spans", "others")).alias("s")).select(
-        "s.kind", "s.instance", "s.refuted", F.explode("s.patterns").alias("pattern"))
+        "s.kind", "s.instance", F.explode("s.patterns").alias("pattern"))
     n = found.agg(F.coalesce(F.sum(F.size("spans") + F.size("others")), F.lit(0))).first()[0]
-    edges = stored(seen.groupBy("pattern", "instance").agg(
-        F.max(F.col("kind").isNotNull()).alias("seed"), F.max("refuted").alias("refuted")), "edges", 2 * n)
+    edges = stored(seen.groupBy("pattern", "instance").agg(F.max(F.col("kind").isNotNull()).alias("seed")), "edges", 2 * n)
     seeds = stored(seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds", n)
     sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("n_seeds"))
                    .where(F.col("n_seeds") >= min_seeds), "sizes", n)
     # only patterns that could be trusted take part, and their instances
-    edges = stored(edges.join(sizes, "pattern", "left_semi"), "edges_in_use", 2 * n)
+    edges = edges.join(sizes, "pattern", "left_semi").withColumn("refuted", refuted(F.col("instance")))
+    edges = stored(edges, "edges_in_use", 2 * n)
     scores = seeds
     for _ in range(rounds):
         hits = edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("hits"))
         patterns = hits.join(sizes, "pattern").select("pattern", "kind", F.round(F.col("hits") / (F.col("n") + 1), 6).alias("confidence"))
         patterns = stored(patterns, "patterns", n)
         wrong = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        found_by = edges.where("not seed and not refuted").join(patterns.where("confidence >= 0.5"), "pattern").groupBy("instance", "kind")
+        found_by = edges.where("not seed").join(patterns.where("confidence >= 0.5"), "pattern")
+        found_by = found_by.where("not array_contains(refuted, kind)").groupBy("instance", "kind")
         scores = stored(seeds.unionByName(found_by.agg(F.round(1 - F.exp(wrong), 6).alias("score"))), "scores", n)
     return patterns.where(F.col("confidence") >= min_confidence), scores.where(F.col("score") >= min_confidence)
 

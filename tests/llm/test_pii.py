@@ -69,6 +69,27 @@ def test_patterns_find_unseen_identifiers(frame, hinted):
     assert all(b == e for k, (b, e) in every.items() if k != 200)
 
 
+def test_numbers_are_found_by_their_context(frame):
+    rows = [(k, f"please call +1 988 555 {2000 + k} today") for k in range(30)]
+    rows += [(100 + k, f"pay by card 41111111111111{k:02d} now") for k in range(100)]
+    unseen = {300: "555-0123", 301: "555-123-4567", 302: "1234567890", 303: "555.123.4567"}
+    rows += [(i, f"please call {number} today") for i, number in unseen.items()]
+    rows += [(400, "please call +1234567 today"), (401, "pay by card 4111111111111112 now"), (402, "see 555-0123 there")]
+    every = {i: e for i, _, e in listed(pii.spans_of(frame(rows)))}
+    for i, number in unseen.items():
+        assert every[i] == f"phone:12:{12 + len(number)}"
+    assert every[400] == every[401] == every[402] == ""
+
+
+def test_refuted_kinds(spark):
+    want = {
+        "555-0123": ["email"], "1234567890": ["email"], "078-05-1120": ["email"], "4111111111111112": ["email", "card"],
+        "4111111111111111": ["email"], "1.2.3.999": ["email", "ip"], "1.2.3.4": ["email"], "+1234567": ["email", "phone"],
+        "admin@localhost": [], "b2": [], "2021": ["email"]}
+    rows = spark.createDataFrame([(m,) for m in want], "m string").select("m", pii.refuted(pii.F.col("m"))).collect()
+    assert {m: list(kinds) for m, kinds in rows} == want
+
+
 def test_mixed_contexts_are_not_trusted(frame):
     rows = [(k, f"use x: user{k}@host.org now") for k in range(10)] + [(50 + k, f"use x: item{k}b now") for k in range(10)]
     assert all(b == e for _, b, e in listed(pii.spans_of(frame(rows))))
