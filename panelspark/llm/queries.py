@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, chat, exact_dedup, line_dedup, minhash, packing, pii, quality_rules, sharding, token_files
-from panelspark.llm.store import new_folder, stored, text_or_empty
+from panelspark.llm import (
+    alignment, bpe, chat, exact_dedup, line_dedup, minhash, packing, periodic_runs, pii, quality_rules, sharding, token_files, toxicity,
+)
+from panelspark.llm.store import let, new_folder, stored, text_or_empty
 from panelspark.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +113,51 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", *map(count, pii.KINDS), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(pii.all_spans()).alias("spans"))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def made_periodic(doc_id: Column, text: Column) -> Column:
+    """The text with its words from a given one on repeated, where a hash of the id asks for it."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+        rest = F.transform(F.sequence(F.lit(0), n - first - 1), lambda i: F.get(words, first + i % period))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), first), rest), " ")).otherwise("")
+
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return F.when(h % 10 == 0, let(words, repeated)).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", made_periodic(F.col("doc_id"), text_or_empty()).alias("text"))
+    rows = periodic_runs.periodic_runs(docs)
+    longest = F.array_sort("runs", lambda x, y: (
+        F.when(x["length"] != y["length"], F.signum(y["length"] - x["length"]))
+        .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]))
+        .otherwise(F.signum(x["period"] - y["period"]))).cast("int"))
+    best = F.get(longest, F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        digest=True)
