@@ -73,7 +73,7 @@ class Grams:
             self.keys, power, whole = [np.zeros(n, np.uint64)], np.uint64(1), np.zeros(n, np.uint64)
             for k in range(1, order + 1):
                 whole = whole.copy()
-                whole[k - 1:] += flat[:n - k + 1] * power
+                whole[k - 1:] += flat[:max(0, n - k + 1)] * power
                 power = power * np.uint64(FACTOR)
                 self.keys.append(whole + np.uint64(k * LENGTH_FACTOR % (1 << 64)))
         self.position = np.flatnonzero(place > 0)  # a start has no context
