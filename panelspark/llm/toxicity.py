@@ -60,6 +60,14 @@ def words_of(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
 
 
+def gram_key(gram: str) -> int:
+    """The key of one gram."""
+    key = len(gram) * LENGTH_FACTOR
+    for k, letter in enumerate(reversed(gram)):
+        key += (ord(letter) + 1) * FACTOR ** k
+    return key % (1 << 64)
+
+
 class Grams:
     """Hashed grams of many words at once: ``keys[k]`` holds the gram of k characters that ends at a position."""
 
@@ -101,9 +109,9 @@ class Grams:
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``words, toxic`` of the documents that are counted."""
     known = class_of(labels, id_col).filter(~part_of("label_id").isin(HELD_OUT, CALIBRATES))
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), words_of(text_or_empty(text_col)).alias("words"))
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text"))
     rows = rows.filter(~part_of("id").isin(HELD_OUT, CALIBRATES))
-    return rows.join(known, rows["id"] == known["label_id"]).select("words", "toxic")
+    return rows.join(known, rows["id"] == known["label_id"]).select(words_of(F.col("text")).alias("words"), "toxic")
 
 
 def class_of(labels: DataFrame, id_col: str) -> DataFrame:
@@ -112,26 +120,18 @@ def class_of(labels: DataFrame, id_col: str) -> DataFrame:
 
 
 def grams_of(words: DataFrame, order: int) -> DataFrame:
-    """Per position of each word (``word, n_toxic, n_ordinary``): the gram and its shorter and shorter ends, their
-    contexts, and the counts."""
+    """``gram, n_toxic, n_ordinary``: for each character of a word and its end mark, the up to ``order`` characters that
+    end with it."""
+    marked = F.concat(F.lit(WORD_START), "word", F.lit(WORD_END))
+    ends = F.explode(F.sequence(F.lit(2), F.char_length("marked"))).alias("i")
+    rows = words.select(marked.alias("marked"), "n_toxic", "n_ordinary").select("marked", "n_toxic", "n_ordinary", ends)
+    first = F.greatest(F.lit(1), F.col("i") - order + 1)
+    gram = F.col("marked").substr(first, F.col("i") - first + 1)
+    return rows.groupBy(gram.alias("gram")).agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = Grams(batch["word"].to_pylist(), order)
-            orders = np.arange(order, 0, -1)
-            inside = orders <= found.top[:, None]
-            keys = np.stack([found.gram(k) for k in orders], 1)[inside]
-            contexts = np.stack([found.context(k) for k in orders], 1)[inside]
-            ends = pa.array(np.append(0, np.cumsum(found.top)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(ends, pa.array(keys)), pa.ListArray.from_arrays(ends, pa.array(contexts)),
-                 batch["n_toxic"].take(pa.array(found.word)), batch["n_ordinary"].take(pa.array(found.word))],
-                ["keys", "contexts", "n_toxic", "n_ordinary"])
 
-    return words.select("word", "n_toxic", "n_ordinary").mapInArrow(
-        run, "keys array<long>, contexts array<long>, n_toxic long, n_ordinary long")
+def without_last(gram: str) -> Column:
+    return F.col(gram).substr(F.lit(1), F.char_length(gram) - 1)
 
 
 def discounts(counts: list[int]) -> list[float]:
@@ -153,22 +153,34 @@ def taken(column: str, row) -> Column:
 
 
 def shared_backoff(grams: DataFrame) -> DataFrame:
-    """``key, shared``: the probability of each gram's last character by the continuation counts of its shorter ends."""
-    ends = grams.select("keys", "contexts", F.explode(F.sequence(F.lit(2), F.size("keys"))).alias("i")).select(
-        F.element_at("keys", F.col("i")).alias("end"), F.element_at("contexts", F.col("i")).alias("context"),
-        F.element_at("keys", F.col("i") - 1).alias("longer"), (F.size("keys") - F.col("i")).alias("above"))
-    counted = stored(
-        ends.distinct().groupBy("end", "context", "above").agg(F.count(F.lit(1)).alias("n")), "toxic_continuations")
-    row = counted.agg(*seen("n"), F.count_if(F.col("above") == 0).alias("letters")).first()
+    """``gram, shared``: the probability of each gram's last character by the continuation counts of its shorter ends."""
+    rest = F.char_length("gram")
+    parts = grams.select("gram", F.explode(F.sequence(F.lit(2), rest)).alias("i")).select(
+        "gram", "i", F.col("gram").substr(F.col("i"), rest).alias("end"), F.col("gram").substr(F.col("i") - 1, rest).alias("longer"))
+    counted = parts.select("end", "longer").distinct().groupBy("end").agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(counted.withColumn("context", without_last("end")), "toxic_continuations")
+    row = counted.agg(*seen("n"), F.count_if(F.col("context") == "").alias("letters")).first()
     counted = counted.withColumn("off", taken("n", row))
     totals = counted.groupBy("context").agg(F.sum("n").alias("total"), F.sum("off").alias("off_total"))
     terms = counted.join(totals, "context").select(
         "end", ((F.col("n") - F.col("off")) / F.col("total")).alias("own"), (F.col("off_total") / F.col("total")).alias("rest"))
-    chain = grams.select(F.element_at("keys", 1).alias("key"), F.posexplode("keys").alias("i", "end")).filter("i > 0")
-    steps = chain.join(terms, "end").groupBy("key").agg(
+    steps = parts.select("gram", "i", "end").join(terms, "end").groupBy("gram").agg(
         F.sort_array(F.collect_list(F.struct("i", "own", "rest")), asc=False).alias("steps"))  # at most ORDER - 1
     shared = F.aggregate("steps", F.lit(1.0 / max(1, row["letters"])), lambda p, s: s["own"] + s["rest"] * p)
-    return steps.select("key", shared.alias("shared"))
+    return steps.select("gram", shared.alias("shared"))
+
+
+def hashed(model: DataFrame) -> DataFrame:
+    """``key, ratio`` of ``gram, is_context, ratio``, with the keys that :class:`Grams` gives to words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [gram_key(g) for g in batch["gram"].to_pylist()]
+            mark = np.where(batch["is_context"].to_numpy(zero_copy_only=False), np.uint64(CONTEXT_MARK), np.uint64(0))
+            keys = (np.array(keys, np.uint64) ^ mark).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch["ratio"]], ["key", "ratio"])
+
+    return model.select("gram", "is_context", "ratio").mapInArrow(run, "key long, ratio double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
@@ -178,17 +190,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = labelled(docs, labels, id_col, text_col).select(F.explode("words").alias("word"), "toxic")
     words = rows.groupBy("word").agg(
         F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).cast("long").alias("n_ordinary"))
-    grams = stored(
-        grams_of(words, order).withColumn("key", F.element_at("keys", 1)).groupBy("key").agg(
-            F.any_value("keys").alias("keys"), F.any_value("contexts").alias("contexts"),
-            F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"),
-            F.sum(F.col("n_toxic") + F.col("n_ordinary")).alias("n_both")), "toxic_grams")
+    grams = grams_of(words, order).withColumns(
+        {"n_both": F.col("n_toxic") + F.col("n_ordinary"), "context": without_last("gram")})
+    grams = stored(grams, "toxic_grams")
     kinds = ("toxic", "ordinary", "both")
     row = grams.agg(*[c for k in kinds for c in seen(f"n_{k}")]).first()
-    counts = grams.select("key", F.element_at("contexts", 1).alias("context"), *[f"n_{k}" for k in kinds])
-    counts = counts.withColumns({f"off_{k}": taken(f"n_{k}", row) for k in kinds})
+    counts = grams.withColumns({f"off_{k}": taken(f"n_{k}", row) for k in kinds})
     contexts = counts.groupBy("context").agg(*[F.sum(f"{m}_{k}").alias(f"{m}_total_{k}") for m in ("n", "off") for k in kinds])
-    joined = counts.join(contexts, "context").join(shared_backoff(grams), "key")
+    joined = counts.join(contexts, "context").join(shared_backoff(grams), "gram")
     both = ((F.col("n_both") - F.col("off_both")) + F.col("off_total_both") * F.col("shared")) / F.col("n_total_both")
 
     def probability(kind: str, backoff: Column) -> Column:
@@ -198,10 +207,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def set_aside(kind: str) -> Column:
         return (F.col(f"off_total_{kind}") + strength) / (F.col(f"n_total_{kind}") + strength)
 
-    by_gram = joined.select("key", F.log(probability("toxic", both) / probability("ordinary", both)).alias("ratio"))
+    by_gram = joined.select(
+        "gram", F.lit(False).alias("is_context"), F.log(probability("toxic", both) / probability("ordinary", both)).alias("ratio"))
     by_context = contexts.select(
-        F.col("context").alias("key"), F.log(set_aside("toxic") / set_aside("ordinary")).alias("ratio"))
-    return stored(by_gram.unionByName(by_context), "toxic_model")
+        F.col("context").alias("gram"), F.lit(True).alias("is_context"),
+        F.log(set_aside("toxic") / set_aside("ordinary")).alias("ratio"))
+    return stored(hashed(by_gram.unionByName(by_context)), "toxic_model")
 
 
 # -- scoring ------------------------------------------------------------------------------------
