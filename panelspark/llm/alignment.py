@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -83,37 +84,45 @@ class Aligner:
             raise ValueError("a token without bytes has no end of its own")
         if any(SPACE in t.lstrip(SPACE) for t in pieces.values()):
             raise ValueError("a token that spans words; pieces could not be encoded on their own")
+        most = 1 + max(max(self.bytes_a), max(self.bytes_b))
+        self.sizes_a, self.sizes_b = (np.array([len(x.get(i, b"")) for i in range(most)]) for x in (self.bytes_a, self.bytes_b))
+        self.decimals = list(map(str, range(most)))
+        self.digits = np.array(list(map(len, self.decimals)))
         self.known: dict[str, tuple | None] = {}
 
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        size_a, size_b = [len(self.bytes_a[i]) for i in a], [len(self.bytes_b[i]) for i in b]
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return None
-        groups, links = [], []
-        i = j = begin_a = begin_b = 0
-        end_a, end_b = size_a[0], size_b[0]
-        while True:
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[begin_a:i]))}|{','.join(map(str, b[begin_b:j]))}")
-                links.append(a[i - 1] << 32 | b[j - 1])
-                if i == len(a):
-                    break
-                begin_a, begin_b = i, j
-                end_a, end_b = end_a + size_a[i], end_b + size_b[j]
-            elif end_a < end_b:
-                i += 1
-                end_a += size_a[i]
-            else:
-                j += 1
-                end_b += size_b[j]
-        return len(a), len(b), len(links), ";".join(groups), np.array(links, np.int64).tobytes()
+    def same(self, raws: list[bytes], ids: list[list[int]], tokens: dict[int, bytes]) -> list[bool]:
+        """Which pieces the tokens give back; most often all do, and together."""
+        found = [b"".join([tokens[i] for i in part]) for part in ids]
+        return [x == y for x, y in zip(raws, found)]
 
     def learn(self, pieces: list[str], found: dict) -> None:
-        in_a = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        in_b = self.b.encode(pieces, num_threads=1)
-        for piece, a, b in zip(pieces, in_a, in_b):
-            found[piece] = self.align(b" " + piece.encode(), a.ids, b)
+        """Encode pieces and cut them into groups, all in one flat array."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        ids_b = self.b.encode(pieces, num_threads=1)
+        raws = [b" " + p.encode() for p in pieces]
+        good = [x and y for x, y in zip(self.same(raws, ids_a, self.bytes_a), self.same(raws, ids_b, self.bytes_b))]
+        if not all(good):
+            found.update((p, None) for p, ok in zip(pieces, good) if not ok)
+            pieces, raws, ids_a, ids_b = (list(compress(x, good)) for x in (pieces, raws, ids_a, ids_b))
+        if not pieces:
+            return
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+        _, last_a, last_b = np.intersect1d(
+            np.cumsum(self.sizes_a[a]), ends_b := np.cumsum(self.sizes_b[b]), assume_unique=True, return_indices=True)
+        links = (a[last_a] << 32 | b[last_b]).tobytes()
+        ends = np.cumsum([len(r) for r in raws])
+        bounds = [0, *np.searchsorted(ends_b[last_b], ends, "right").tolist()]  # groups before the end of each piece
+        text_a, cut_a = self.decimal(a, last_a)
+        text_b, cut_b = self.decimal(b, last_b)
+        groups = [f"{text_a[i:j - 1]}|{text_b[k:m - 1]}" for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        for piece, part_a, part_b, first, last in zip(pieces, ids_a, ids_b, bounds, bounds[1:]):
+            found[piece] = (len(part_a), len(part_b), last - first, ";".join(groups[first:last]), links[8 * first:8 * last])
+
+    def decimal(self, ids: np.ndarray, last: np.ndarray) -> tuple[str, list[int]]:
+        """Ids joined by commas, and where the groups begin in that."""
+        texts = [self.decimals[i] for i in ids.tolist()]
+        ends = np.cumsum(self.digits[ids] + 1)
+        return ",".join(texts) + ",", [0, *ends[last].tolist()]
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, bytes]]:
         cut = [pieces_of(t) if t else [] for t in texts]
@@ -123,7 +132,9 @@ class Aligner:
         if len(self.known) + len(new) > PIECES_KEPT:
             new = {p for pieces in cut for p in pieces}
             self.known.clear()
-        self.learn([p for p in new if len(p) <= LONGEST_KEPT], self.known)
+        short = [p for p in new if len(p) <= LONGEST_KEPT]
+        if short:
+            self.learn(short, self.known)
         for piece in long:
             self.learn([piece], held)
         for pieces in cut:
