@@ -1,17 +1,22 @@
 """Exact k-nearest-neighbour join of two vector tables.
 
-Points are assigned to the nearest of a bounded number of pivots. A query first searches its own
-cell, which bounds how far its neighbours can be; it then visits only those cells that the
-triangle inequality cannot rule out. Cells are searched in blocks of bounded size, so neither a
-dense cell nor one that many queries visit ends up in one task, and only the best candidates of
-a block leave it.
-
-Copies of a vector need no search of their own: equal queries are searched once, and of equal
-points only the k + 1 with the smallest ids can be among anybody's k nearest.
+Few points (a checked number) are sent to the tasks, which search them without any shuffle. More points go into a tree of
+two levels: the nearest of about the square root of all cells as top pivots, and below each the nearest of its own pivots.
+The number of cells follows the number of points; only the top pivots and their extents are known to the driver. How far
+a query's k nearest can be is known from the extents alone, then better from its own cell. It visits only those tops
+and then those cells that the triangle inequality cannot rule out: no point is nearer than its distance to the pivot
+allows, or than the plane half way to a nearer pivot. A cell is searched in blocks of bounded size, and of two sides
+only one that fits in a block is copied, unless both are larger; only the best candidates of a block leave it.
+
+Copies of a vector need no search of their own in the tree: equal queries are searched once, and of equal points only the
+k + 1 with the smallest ids can be among anybody's k nearest.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,14 +26,15 @@ from panelspark.functions.hashing import row_hash
 from panelspark.operators import joins
 from panelspark.session import checkpointed
 
-MAX_PIVOTS = 2048
-POINTS_PER_PIVOT = 5_000
-POINTS_PER_BLOCK = 20_000
-QUERIES_PER_BLOCK = 2_000
+SHIPPED_NUMBERS = 4_000_000
+POINTS_PER_CELL = 5_000
+ROWS_PER_BLOCK = 20_000
+SALTS = 16
 QUERIES_AT_ONCE = 128
 HOT_VECTOR_ROWS = 10_000
 
 FOUND = "vec_key string, neighbor string, d2 double"
+RANKED = "query_id string, neighbor_id string, distance double, rank int"
 
 
 def vector_key(vec: Column) -> Column:
@@ -79,129 +85,242 @@ def best_in_block(queries: np.ndarray, limits: np.ndarray, points: np.ndarray, i
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(found)
 
 
-def _search_blocks(queries: DataFrame, points: DataFrame, sizes: dict[int, tuple[int, int]], n_cells: int,
-                   k: int) -> DataFrame:
-    """Candidates of routed queries (vec_key, vec, ub, cell) among points (id, vec, cell).
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k best candidates per vector. Each task drops the rest before the shuffle."""
+    order = Window.partitionBy("vec_key").orderBy("d2", "neighbor")
+    return found.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k).drop("_rn")
 
-    ``sizes`` holds the numbers of points and of queries per cell and decides into how many
-    blocks each side is cut.
-    """
-    def blocks(side: int, rows: int) -> Column:
-        counts = [max(1, -(-sizes.get(c, (0, 0))[side] // rows)) for c in range(n_cells)]
-        return F.array(*map(F.lit, counts))[F.col("cell")].cast("long")
 
-    point_blocks, query_blocks = blocks(0, POINTS_PER_BLOCK), blocks(1, QUERIES_PER_BLOCK)
+# -- few points ---------------------------------------------------------------------------------
 
-    def every(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
 
-    q = queries.withColumn("qb", F.pmod(F.xxhash64("vec_key"), query_blocks)).withColumn("pb", every(point_blocks))
-    p = points.withColumn("pb", F.pmod(F.xxhash64("id"), point_blocks)).withColumn("qb", every(query_blocks))
-    keys = ["cell", "pb", "qb"]
+def _search_shipped(asked: DataFrame, known: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """The points, at most ``SHIPPED_NUMBERS`` numbers, go to every task."""
+    table = known.select("id", "vec").toPandas()
+    shipped = asked.sparkSession.sparkContext.broadcast((table["id"].to_numpy(dtype=str), _matrix(table["vec"])))
+    wanted = k + 1 if exclude_self else k
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            none = np.array([], dtype=object)
-            return pd.DataFrame({"vec_key": none, "neighbor": none, "d2": none.astype(float)})
-        ids = right["id"].to_numpy(dtype=str)
-        r, c, d2 = best_in_block(_matrix(left["vec"]), left["ub"].to_numpy(), _matrix(right["vec"]), ids, k)
-        return pd.DataFrame({"vec_key": left["vec_key"].to_numpy()[r], "neighbor": ids[c], "d2": d2})
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, points = shipped.value
+        for rows in batches:
+            if rows.empty:
+                continue
+            own = rows["id"].to_numpy(dtype=str)
+            r, c, d2 = best_in_block(_matrix(rows["vec"]), np.full(len(own), np.inf), points, ids, wanted)
+            if exclude_self:
+                other = own[r] != ids[c]
+                r, c, d2 = r[other], c[other], d2[other]
+            rank = np.arange(len(r)) - np.searchsorted(r, r, side="left") + 1
+            near = rank <= k
+            yield pd.DataFrame({"query_id": own[r[near]], "neighbor_id": ids[c[near]], "distance": np.sqrt(d2[near]),
+                                "rank": rank[near].astype(np.int32)})
 
-    return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(search, FOUND)
+    return asked.select("id", "vec").mapInPandas(search, RANKED)
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k best candidates per vector. Each task drops the rest before the shuffle."""
-    order = Window.partitionBy("vec_key").orderBy("d2", "neighbor")
-    return found.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k).drop("_rn")
+# -- the tree -----------------------------------------------------------------------------------
 
 
-def _counts(df: DataFrame) -> dict[int, int]:
-    """Rows per cell, at most one entry per pivot."""
-    return {r["cell"]: r["n"] for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _upper_bound(distances: np.ndarray, high: np.ndarray, n: np.ndarray, wanted: int) -> np.ndarray:
+    """How far the ``wanted`` nearest of each row can be, given how far the points of each cell are from its pivot."""
+    reach = np.where(n > 0, distances + high, np.inf)
+    order = np.argsort(reach, axis=1)
+    enough = np.cumsum(n[order], axis=1) >= wanted
+    first = enough.argmax(1)
+    rows = np.arange(len(distances))
+    return np.where(enough.any(1), reach[rows, order[rows, first]], np.inf)
 
 
-def _widen(found: DataFrame, home: DataFrame, celled: DataFrame, pivots: np.ndarray, low: np.ndarray,
-           high: np.ndarray, n_in: dict[int, int], k: int) -> DataFrame:
-    """Candidates of the home cells and of every other cell a query cannot rule out.
+def _not_ruled_out(distances: np.ndarray, between: np.ndarray, low: np.ndarray, high: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Which cells of one level may hold a point within ``reach`` of each row."""
+    nearest_pivot, rows = distances.argmin(1), np.arange(len(distances))
+    apart = np.where(between[nearest_pivot] > 0, between[nearest_pivot], np.inf)
+    behind_plane = (distances**2 - (distances[rows, nearest_pivot] ** 2)[:, None]) / (2.0 * apart)
+    least = np.maximum(np.maximum(distances - high, low - distances), behind_plane)
+    slack = _tolerance(float(distances.max(initial=0.0)), float(between.max(initial=0.0)))
+    return (least <= reach[:, None] + slack) & np.isfinite(high)[None, :]
 
-    A point of a cell is no nearer than its distance to the pivot allows, and no nearer than the
-    plane half way between that pivot and the query's own.
-    """
-    n_cells, between = len(pivots), _pivot_distances(pivots, pivots)
-    first = checkpointed(_best(found, k))
-    reached = first.groupBy("vec_key").agg(F.when(F.count(F.lit(1)) >= k, F.sqrt(F.max("d2"))).alias("reach"))
-    bounded = home.join(reached, "vec_key", "left").withColumn("ub", F.coalesce("reach", "ub"))
-
-    @F.pandas_udf("array<int>")
-    def other_cells(vectors: pd.Series, own: pd.Series, reach: pd.Series) -> pd.Series:
-        distances = _pivot_distances(_matrix(vectors), pivots)
-        mine, rows = own.to_numpy(), np.arange(len(own))
-        apart = np.where(between[mine] > 0, between[mine], np.inf)
-        behind_plane = (distances**2 - (distances[rows, mine] ** 2)[:, None]) / (2.0 * apart)
-        least = np.maximum(np.maximum(distances - high, low - distances), behind_plane)
-        slack = _tolerance(float(distances.max()), float(between.max()))
-        visit = (least <= reach.to_numpy()[:, None] + slack) & np.isfinite(high)[None, :]
-        visit[rows, mine] = False
-        return pd.Series([np.nonzero(v)[0].astype(np.int32) for v in visit])
-
-    routed = bounded.select("vec_key", "vec", "ub", F.explode(other_cells("vec", "cell", "ub")).alias("cell"))
-    n_routed = _counts(routed)
-    if not n_routed:
-        return first
-    sizes = {c: (n_in.get(c, 0), n_routed.get(c, 0)) for c in range(n_cells)}
-    visited = celled.drop("dist").filter(F.col("cell").isin(*n_routed))
-    return first.unionByName(_search_blocks(routed, visited, sizes, n_cells, k))
 
+class Tops:
+    """The top pivots and the extents of their parts, as the driver knows them."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots, self.between = pivots, _pivot_distances(pivots, pivots)
+        self.n, self.low, self.high = np.zeros(len(pivots), int), np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
 
-def nearest(queries: DataFrame, points: DataFrame, k: int, id_col: str, vec_col: str,
-            exclude_self: bool = True, n_pivots: int | None = None, seed: int = 42) -> DataFrame:
-    """(query_id, neighbor_id, distance, rank): the k nearest points of every query.
+    def measure(self, points: DataFrame) -> None:
+        for row in points.groupBy("top").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect():
+            self.n[row["top"]], self.low[row["top"]], self.high[row["top"]] = row["n"], row["low"], row["high"]
 
-    Ids are compared as text; equal distances go to the smaller id. With ``exclude_self`` a point
-    with the query's own id is no neighbour.
-    """
+    def assign(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the nearest top and the distance to it."""
+        pivots = self.pivots
+
+        @F.pandas_udf("struct<top int, dist double>")
+        def to_top(vectors: pd.Series) -> pd.DataFrame:
+            distances = _pivot_distances(_matrix(vectors), pivots)
+            top = distances.argmin(1)
+            return pd.DataFrame({"top": top.astype(np.int32), "dist": distances[np.arange(len(top)), top]})
+
+        return rows.withColumn("_at", to_top("vec")).select(*rows.columns, "_at.top", "_at.dist")
+
+    def routed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` once for each top that their bound ``ub`` cannot rule out."""
+        pivots, between, low, high = self.pivots, self.between, self.low, self.high
+
+        @F.pandas_udf("array<int>")
+        def reached(vectors: pd.Series, bounds: pd.Series) -> pd.Series:
+            visit = _not_ruled_out(_pivot_distances(_matrix(vectors), pivots), between, low, high, bounds.to_numpy())
+            return pd.Series([np.nonzero(v)[0].astype(np.int32) for v in visit])
+
+        return rows.withColumn("top", F.explode(reached("vec", "ub")))
+
+
+def _below_tops(rows: DataFrame, key: str, tree: DataFrame, n_tops: int, apply, schema: str) -> DataFrame:
+    """``apply(rows, row of the tree)`` for blocks of bounded size of the rows of each top."""
+    counts = {r["top"]: r["n"] for r in rows.groupBy("top").agg(F.count(F.lit(1)).alias("n")).collect()}  # n_tops rows at most
+    listed = F.array(*[F.lit(max(1, -(-counts.get(t, 0) // ROWS_PER_BLOCK))) for t in range(n_tops)])
+    blocks = listed[F.col("top")].cast("long")
+    cut = rows.withColumn("block", F.pmod(F.xxhash64(key), blocks))
+    beside = tree.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+
+    def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return apply(left, right.iloc[0]) if len(left) and len(right) else apply(left.iloc[:0], None)
+
+    return cut.groupBy("top", "block").cogroup(beside.groupBy("top", "block")).applyInPandas(work, schema)
+
+
+def _nothing(*names: str) -> pd.DataFrame:
+    return pd.DataFrame({c: np.array([], dtype=object) for c in names})
+
+
+def _pivots_of(row) -> np.ndarray:
+    return np.stack([np.asarray(v, float) for v in row["pivots"]])
+
+
+def _tree(points: DataFrame, n_tops: int, n_below: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(id, vec, cell) of all points, and per top its pivots with the number and extent of each one's points."""
+    order = Window.partitionBy("top").orderBy(row_hash(["vec_key"], seed), "vec_key")
+    chosen = points.filter("_rn = 1").withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n_below)
+    pivots = checkpointed(chosen.groupBy("top").agg(F.sort_array(F.collect_list(F.struct("_place", "vec"))).alias("_p")).select(
+        "top", F.col("_p.vec").alias("pivots")))
+
+    def assign(rows: pd.DataFrame, node) -> pd.DataFrame:
+        if node is None:
+            return _nothing("id", "vec", "cell", "dist")
+        distances = _pivot_distances(_matrix(rows["vec"]), _pivots_of(node))
+        own = distances.argmin(1)
+        return pd.DataFrame({"id": rows["id"], "vec": rows["vec"], "cell": node["top"] * n_below + own,
+                             "dist": distances[np.arange(len(own)), own]})
+
+    placed = checkpointed(_below_tops(points.select("id", "vec", "top"), "id", pivots, n_tops, assign,
+                                      "id string, vec array<double>, cell long, dist double"))
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high"))
+    extents = cells.groupBy(F.floor(F.col("cell") / n_below).cast("int").alias("top")).agg(
+        F.collect_list(F.struct((F.col("cell") % n_below).cast("int").alias("place"), "n", "low", "high")).alias("cells"))
+    return placed.select("id", "vec", "cell"), checkpointed(pivots.join(extents, "top"))
+
+
+def _extents(node, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, low, high = np.zeros(width, int), np.full(width, np.inf), np.full(width, -np.inf)
+    for cell in node["cells"]:
+        n[cell["place"]], low[cell["place"]], high[cell["place"]] = cell["n"], cell["low"], cell["high"]
+    return n, low, high
+
+
+def _at_home(queries: DataFrame, tops: Tops, tree: DataFrame, n_below: int, wanted: int) -> DataFrame:
+    """(vec_key, vec, ub, cell): the cell of each query, and how far its nearest can be by the extents of all tops and of
+    the cells of its own."""
+    pivots, high, n = tops.pivots, tops.high, tops.n
+
+    def assign(rows: pd.DataFrame, node) -> pd.DataFrame:
+        if node is None:
+            return _nothing("vec_key", "vec", "ub", "cell")
+        vectors, below = _matrix(rows["vec"]), _pivots_of(node)
+        distances = _pivot_distances(vectors, below)
+        n_here, _, high_here = _extents(node, len(below))
+        bound = np.minimum(_upper_bound(_pivot_distances(vectors, pivots), high, n, wanted),
+                           _upper_bound(distances, high_here, n_here, wanted))
+        return pd.DataFrame({"vec_key": rows["vec_key"], "vec": rows["vec"],
+                             "ub": bound + _tolerance(float(distances.max(initial=0.0))),
+                             "cell": node["top"] * n_below + distances.argmin(1)})
+
+    rows = tops.assign(queries).drop("dist")
+    return _below_tops(rows, "vec_key", tree, len(pivots), assign, "vec_key string, vec array<double>, ub double, cell long")
+
+
+def _visits(queries: DataFrame, tops: Tops, tree: DataFrame, n_below: int) -> DataFrame:
+    """(vec_key, vec, ub, cell): every cell but its own that a query cannot rule out."""
+
+    def cells(rows: pd.DataFrame, node) -> pd.DataFrame:
+        if node is None:
+            return _nothing("vec_key", "vec", "ub", "cell")
+        below = _pivots_of(node)
+        _, low, high = _extents(node, len(below))
+        visit = _not_ruled_out(_pivot_distances(_matrix(rows["vec"]), below), _pivot_distances(below, below), low, high, rows["ub"].to_numpy())
+        r, place = np.nonzero(visit)
+        cell = node["top"] * n_below + place
+        other = cell != rows["cell"].to_numpy()[r]
+        found = rows[["vec_key", "vec", "ub"]].iloc[r[other]]
+        return found.assign(cell=cell[other])
+
+    return _below_tops(tops.routed(queries), "vec_key", tree, len(tops.pivots), cells,
+                       "vec_key string, vec array<double>, ub double, cell long")
+
+
+def _search_cells(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """Candidates of (vec_key, vec, ub, cell) among the points (id, vec, cell) of the same cell."""
+    sizes = points.groupBy("cell").agg(F.count(F.lit(1)).alias("np")).join(
+        queries.groupBy("cell").agg(F.count(F.lit(1)).alias("nq")), "cell")
+    sizes = sizes.select("cell", *[F.ceil(F.col(n) / ROWS_PER_BLOCK).alias(b) for n, b in (("np", "pbs"), ("nq", "qbs"))])
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    def sized(rows: DataFrame, key: str) -> DataFrame:
+        return rows.withColumn("salt", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(SALTS))).join(salted, ["cell", "salt"])
+
+    q = sized(queries, "vec_key").withColumn("qb", F.pmod(F.xxhash64("vec_key"), F.col("qbs"))).withColumn("pb", every("pbs"))
+    p = sized(points, "id").withColumn("pb", F.pmod(F.xxhash64("id"), F.col("pbs"))).withColumn("qb", every("qbs"))
+    keys = ["cell", "pb", "qb"]
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            none = np.array([], dtype=object)
+            return pd.DataFrame({"vec_key": none, "neighbor": none, "d2": none.astype(float)})
+        ids = right["id"].to_numpy(dtype=str)
+        r, c, d2 = best_in_block(_matrix(left["vec"]), left["ub"].to_numpy(), _matrix(right["vec"]), ids, k)
+        return pd.DataFrame({"vec_key": left["vec_key"].to_numpy()[r], "neighbor": ids[c], "d2": d2})
+
+    left = q.select(*keys, "vec_key", "vec", "ub").groupBy(*keys)
+    return left.cogroup(p.select(*keys, "id", "vec").groupBy(*keys)).applyInPandas(search, FOUND)
+
+
+def _search_tree(asked: DataFrame, known: DataFrame, k: int, exclude_self: bool, n_cells: int, seed: int) -> DataFrame:
     wanted = k + 1 if exclude_self else k
-    vec = F.col(vec_col).cast("array<double>")
-    asked = queries.select(F.col(id_col).cast("string").alias("id"), vec.alias("vec"), vector_key(vec).alias("vec_key"))
-    known = points.select(F.col(id_col).cast("string").alias("id"), vec.alias("vec"), vector_key(vec).alias("vec_key"))
+    asked, known = (rows.withColumn("vec_key", vector_key(F.col("vec"))) for rows in (asked, known))
     copies = Window.partitionBy("vec_key").orderBy("id")
-    n_points = known.count()
-    known = known.withColumn("_rn", F.row_number().over(copies)).filter(F.col("_rn") <= wanted).drop("_rn")
-    distinct = asked.groupBy("vec_key").agg(F.any_value("vec").alias("vec"))
-    if n_points == 0:
-        return asked.select(
-            F.col("id").alias("query_id"), F.lit("").alias("neighbor_id"), F.lit(0.0).alias("distance"),
-            F.lit(0).alias("rank")).filter(F.lit(False))
-    n_pivots = n_pivots or max(1, min(MAX_PIVOTS, n_points // POINTS_PER_PIVOT))
-    if n_pivots > 1:  # read several times below
-        known, distinct = checkpointed(known), checkpointed(distinct)
-    chosen = known.groupBy("vec_key").agg(F.any_value("vec").alias("vec"))
-    chosen = chosen.orderBy(row_hash(["vec_key"], seed), "vec_key").limit(n_pivots)
-    pivots = np.array([row["vec"] for row in chosen.select("vec").collect()], dtype=np.float64)
-    n_cells = len(pivots)
-
-    @F.pandas_udf("struct<cell int, dist double>")
-    def assign(vectors: pd.Series) -> pd.DataFrame:
-        distances = _pivot_distances(_matrix(vectors), pivots)
-        cell = distances.argmin(1)
-        return pd.DataFrame({"cell": cell.astype(np.int32), "dist": distances[np.arange(len(cell)), cell]})
-
-    celled = known.withColumn("at", assign("vec")).select("id", "vec", "at.cell", "at.dist")
-    extent = celled.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect()
-    n_in, low, high = {}, np.full(n_cells, np.inf), np.full(n_cells, -np.inf)
-    for row in extent:
-        n_in[row["cell"]], low[row["cell"]], high[row["cell"]] = row["n"], row["low"], row["high"]
-
-    home = distinct.withColumn("cell", assign("vec")["cell"]).withColumn("ub", F.lit(float("inf")))
-    n_home = _counts(home)
-    sizes = {c: (n_in.get(c, 0), n_home.get(c, 0)) for c in range(n_cells)}
-    found = _search_blocks(home, celled.drop("dist"), sizes, n_cells, wanted)
-    if n_cells > 1:
-        found = _widen(found, home, celled, pivots, low, high, n_in, wanted)
-    lists = _best(found, wanted).groupBy("vec_key").agg(
-        F.sort_array(F.collect_list(F.struct("d2", "neighbor"))).alias("near"))
+    known = checkpointed(known.withColumn("_rn", F.row_number().over(copies)).filter(F.col("_rn") <= wanted))
+    distinct = checkpointed(asked.groupBy("vec_key").agg(F.any_value("vec").alias("vec")))
+    n_tops = math.ceil(math.sqrt(n_cells))
+    n_below = math.ceil(n_cells / n_tops)
+    chosen = known.filter("_rn = 1").orderBy(row_hash(["vec_key"], seed + 1), "vec_key").limit(n_tops)
+    tops = Tops(np.array([row["vec"] for row in chosen.select("vec").collect()], dtype=np.float64))
+    points = checkpointed(tops.assign(known))
+    tops.measure(points)
+    while not tops.n.all():  # of nearly equal pivots, rounding may leave one without points
+        tops = Tops(tops.pivots[tops.n > 0])
+        points = checkpointed(tops.assign(known))
+        tops.measure(points)
+    placed, tree = _tree(points, len(tops.pivots), n_below, seed)
+    home = checkpointed(_at_home(distinct, tops, tree, n_below, wanted))
+    first = checkpointed(_best(_search_cells(home, placed, wanted), wanted))
+    reached = first.groupBy("vec_key").agg(F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).alias("reach"))
+    bounded = home.join(reached, "vec_key", "left").withColumn("ub", F.least(F.coalesce("reach", "ub"), "ub")).drop("reach")
+    visits = checkpointed(_visits(checkpointed(bounded), tops, tree, n_below))
+    found = first.unionByName(_search_cells(visits, placed, wanted))
+    lists = _best(found, wanted).groupBy("vec_key").agg(F.sort_array(F.collect_list(F.struct("d2", "neighbor"))).alias("near"))
     back = joins.keyed_join(asked.select("id", "vec_key"), [(lists, "inner")], ["vec_key"],
                             joins.find_hot(asked, ["vec_key"], min_rows=HOT_VECTOR_ROWS))
     near = F.filter("near", lambda s: s["neighbor"] != F.col("id")) if exclude_self else F.col("near")
@@ -211,6 +330,23 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, id_col: str, vec_col:
         (F.col("pos") + 1).alias("rank"))
 
 
+def nearest(queries: DataFrame, points: DataFrame, k: int, id_col: str, vec_col: str,
+            exclude_self: bool = True, n_cells: int | None = None, seed: int = 42) -> DataFrame:
+    """(query_id, neighbor_id, distance, rank): the k nearest points of every query.
+
+    Ids are compared as text; equal distances go to the smaller id. With ``exclude_self`` a point
+    with the query's own id is no neighbour. ``n_cells`` asks for a tree whatever the number of points.
+    """
+    vec = F.col(vec_col).cast("array<double>")
+    asked, known = (rows.select(F.col(id_col).cast("string").alias("id"), vec.alias("vec")) for rows in (queries, points))
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec")).alias("numbers")).first()
+    if not size["n"]:
+        return asked.sparkSession.createDataFrame([], RANKED)
+    if n_cells is None and size["numbers"] <= SHIPPED_NUMBERS:
+        return _search_shipped(asked, known, k, exclude_self)
+    return _search_tree(asked, known, k, exclude_self, n_cells or max(1, size["n"] // POINTS_PER_CELL), seed)
+
+
 def vote(neighbours: DataFrame, labels: DataFrame, id_col: str, label_col: str, k: int) -> DataFrame:
     """(query_id, p): share of label 1 among the neighbours."""
     known = labels.select(F.col(id_col).cast("string").alias("neighbor_id"), F.col(label_col).alias("_y"))

@@ -23,6 +23,7 @@ from panelspark.session import checkpointed
 KEY = "row_key"
 COPIES_PER_BLOCK = 10_000
 HOT_NEIGHBOUR_ROWS = 10_000
+FEW_SEEDS = 50_000
 
 
 @dataclass(frozen=True)
@@ -49,13 +50,16 @@ def rows_to_add(counts: dict, ratio: float) -> int:
 def _even_copies(seeds: DataFrame, n_seeds: int, total: int, seed: int) -> DataFrame:
     """``copies`` per seed: as equal as can be, the remainder to the first seeds in hash order."""
     each, extra = divmod(total, n_seeds)
-    cut = hash_cuts(seeds.withColumn("_all", F.lit(1)), [KEY], seed, {1: [extra]}, "_all")[1][0]
+    if extra and n_seeds <= FEW_SEEDS:
+        cut = tuple(with_position(seeds, [KEY], seed).select(*POSITION).orderBy(*POSITION).offset(extra - 1).limit(1).first())
+    else:
+        cut = hash_cuts(seeds.withColumn("_all", F.lit(1)), [KEY], seed, {1: [extra]}, "_all")[1][0] if extra else None
     copies = F.lit(each) + at_or_before(cut).cast("int")
     return with_position(seeds, [KEY], seed).withColumn("copies", copies).drop(*POSITION)
 
 
 def _interpolate(seeds: DataFrame, minority: DataFrame, neighbours: DataFrame, k: int, label, label_col: str,
-                 vec_col: str, seed: int, most_copies: int) -> DataFrame:
+                 vec_col: str, seed: int, most_copies: int, n_minority: int) -> DataFrame:
     """One row per copy: seed + u · (neighbour - seed) with u in [0, 1).
 
     The k neighbour vectors are put beside each seed before copies are made, so copies of one
@@ -63,7 +67,7 @@ def _interpolate(seeds: DataFrame, minority: DataFrame, neighbours: DataFrame, k
     """
     vectors = minority.select(F.col(KEY).alias("neighbor_id"), F.col(vec_col).alias("_nvec"))
     beside = (
-        _beside_neighbour(neighbours.filter(F.col("rank") <= k), vectors)
+        _beside_neighbour(neighbours.filter(F.col("rank") <= k), vectors, n_minority * k)
         .groupBy(F.col("query_id").alias(KEY))
         .agg(F.sort_array(F.collect_list(F.struct("rank", "_nvec"))).alias("_near"))
     )
@@ -91,10 +95,10 @@ def _original(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
     return df.select(KEY, label_col, vec_col, F.lit(False).alias("synthetic"))
 
 
-def _beside_neighbour(neighbours: DataFrame, values: DataFrame) -> DataFrame:
+def _beside_neighbour(neighbours: DataFrame, values: DataFrame, most_rows: int) -> DataFrame:
     """Values of a neighbour beside each row of a stored neighbour table. All copies of a vector name the same few
-    ids, and some vectors are near very many; such ids are salted."""
-    hot = find_hot(neighbours, ["neighbor_id"], min_rows=HOT_NEIGHBOUR_ROWS)
+    ids, and some vectors are near very many; such ids are salted. A table of few rows (``most_rows``) has none."""
+    hot = find_hot(neighbours, ["neighbor_id"], min_rows=HOT_NEIGHBOUR_ROWS) if most_rows >= HOT_NEIGHBOUR_ROWS else []
     return keyed_join(neighbours, [(values, "inner")], ["neighbor_id"], hot)
 
 
@@ -118,10 +122,10 @@ def _among_all(minority: DataFrame, df: DataFrame, vec_col: str, k: int, ready:
     return ready.every.filter(F.col("rank") <= k)
 
 
-def _majority_among(neighbours: DataFrame, df: DataFrame, majority, label_col: str) -> DataFrame:
+def _majority_among(neighbours: DataFrame, df: DataFrame, majority, label_col: str, most_rows: int) -> DataFrame:
     """(row_key, n_majority): majority rows among each query's neighbours."""
     labels = df.select(F.col(KEY).alias("neighbor_id"), (F.col(label_col) == F.lit(majority)).alias("_maj"))
-    joined = _beside_neighbour(neighbours, labels)
+    joined = _beside_neighbour(neighbours, labels, most_rows)
     return joined.groupBy(F.col("query_id").alias(KEY)).agg(F.count_if("_maj").alias("n_majority"))
 
 
@@ -146,15 +150,18 @@ def smote(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: in
     neighbours = ready.minority if ready and ready.k >= k else checkpointed(nearest(minority, minority, k, KEY, vec_col))
     seeds = _even_copies(minority, counts[label], total, seed)
     most = -(-total // counts[label])
-    made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, most)
+    made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, most, counts[label])
     return _original(df, label_col, vec_col).unionByName(made)
 
 
-def in_danger(df: DataFrame, label_col: str, vec_col: str, m: int = 10, ready: Neighbourhoods | None = None) -> DataFrame:
-    """(row_key, n_majority) of minority rows with half or more, but not all, of m neighbours majority."""
-    label, majority = minority_and_majority(class_counts(df, label_col))
+def in_danger(df: DataFrame, label_col: str, vec_col: str, m: int = 10, ready: Neighbourhoods | None = None,
+              counts: dict | None = None) -> DataFrame:
+    """(row_key, n_majority) of minority rows with half or more, but not all, of m neighbours majority. ``counts`` are the
+    rows per class where they are known, here and below."""
+    counts = counts or class_counts(df, label_col)
+    label, majority = minority_and_majority(counts)
     minority = df.filter(F.col(label_col) == F.lit(label))
-    near = _majority_among(_among_all(minority, df, vec_col, m, ready), df, majority, label_col)
+    near = _majority_among(_among_all(minority, df, vec_col, m, ready), df, majority, label_col, counts[label] * m)
     return near.filter((F.col("n_majority") >= m / 2) & (F.col("n_majority") < m))
 
 
@@ -168,23 +175,25 @@ def borderline_smote(df: DataFrame, label_col: str, vec_col: str, ratio: float =
     label, _ = minority_and_majority(counts)
     _check_k(k, counts[label])
     minority = df.filter(F.col(label_col) == F.lit(label))
-    danger = in_danger(df, label_col, vec_col, m, ready).select(KEY)
+    danger = in_danger(df, label_col, vec_col, m, ready, counts).select(KEY)
     seeds = checkpointed(minority.join(danger, KEY, "left_semi"))
     n_seeds = seeds.count()
     if n_seeds == 0:
         return _original(df, label_col, vec_col)
     copied = _even_copies(seeds, n_seeds, total, seed)
     neighbours = _among_minority(minority, seeds, vec_col, k, ready)
-    made = _interpolate(copied, minority, neighbours, k, label, label_col, vec_col, seed, -(-total // n_seeds))
+    made = _interpolate(copied, minority, neighbours, k, label, label_col, vec_col, seed, -(-total // n_seeds), n_seeds)
     return _original(df, label_col, vec_col).unionByName(made)
 
 
 def adasyn_copies(df: DataFrame, label_col: str, vec_col: str, total: int, k: int = 5,
-                  ready: Neighbourhoods | None = None) -> DataFrame:
+                  ready: Neighbourhoods | None = None, counts: dict | None = None) -> DataFrame:
     """(row_key, copies): shares of ``total`` by how many of k neighbours are majority rows."""
-    label, majority = minority_and_majority(class_counts(df, label_col))
+    counts = counts or class_counts(df, label_col)
+    label, majority = minority_and_majority(counts)
     minority = df.filter(F.col(label_col) == F.lit(label))
-    near = checkpointed(_majority_among(_among_all(minority, df, vec_col, k, ready), df, majority, label_col))
+    near = _majority_among(_among_all(minority, df, vec_col, k, ready), df, majority, label_col, counts[label] * k)
+    near = checkpointed(near)
     n_hard = near.agg(F.sum("n_majority").alias("n")).first()["n"]
     if not n_hard:
         raise ValueError("no minority row has a majority neighbour; use plain SMOTE instead")
@@ -202,10 +211,10 @@ def adasyn(df: DataFrame, label_col: str, vec_col: str, ratio: float = 0.1, k: i
     label, _ = minority_and_majority(counts)
     _check_k(k, counts[label])
     minority = df.filter(F.col(label_col) == F.lit(label))
-    seeds = minority.join(adasyn_copies(df, label_col, vec_col, total, k, ready), KEY)
+    seeds = minority.join(adasyn_copies(df, label_col, vec_col, total, k, ready, counts), KEY)
     neighbours = _among_minority(minority, minority, vec_col, k, ready)
     # a seed can get no more than k times the average share
-    made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, total)
+    made = _interpolate(seeds, minority, neighbours, k, label, label_col, vec_col, seed, total, counts[label])
     return _original(df, label_col, vec_col).unionByName(made)
 
 

@@ -31,35 +31,68 @@ def listed(x, start=0):
     return [(str(start + i), row) for i, row in enumerate(x)]
 
 
-@pytest.mark.parametrize("n_pivots", [1, 7, 40])
+@pytest.mark.parametrize("n_cells", [None, 1, 7, 40])
 @pytest.mark.parametrize("k", [1, 6])
-def test_equals_all_pairs(spark, n_pivots, k):
+def test_equals_all_pairs(spark, n_cells, k):
     x = clustered()
     df = frame(spark, x)
-    found = neighbors.nearest(df, df, k, "id", "vec", n_pivots=n_pivots)
+    found = neighbors.nearest(df, df, k, "id", "vec", n_cells=n_cells)
     assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x), listed(x), k)
 
 
 def test_two_tables_and_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(neighbors, "POINTS_PER_BLOCK", 10)
-    monkeypatch.setattr(neighbors, "QUERIES_PER_BLOCK", 4)
+    monkeypatch.setattr(neighbors, "ROWS_PER_BLOCK", 7)
     monkeypatch.setattr(neighbors, "QUERIES_AT_ONCE", 3)
     monkeypatch.setattr(neighbors, "HOT_VECTOR_ROWS", 1)
     x, y = clustered(60, 2, 1), clustered(90, 2, 2)
-    found = neighbors.nearest(frame(spark, x), frame(spark, y, 1000), 4, "id", "vec", exclude_self=False, n_pivots=6)
+    found = neighbors.nearest(frame(spark, x), frame(spark, y, 1000), 4, "id", "vec", exclude_self=False, n_cells=6)
     assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x), listed(y, 1000), 4, False)
 
 
 def test_far_cells_are_not_visited(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(neighbors, "_counts", lambda df, plain=neighbors._counts: seen.append(plain(df)) or seen[-1])
+    plain = neighbors._search_cells
+    monkeypatch.setattr(neighbors, "_search_cells", lambda q, p, k: seen.append(q.count()) or plain(q, p, k))
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 2)) + np.repeat(np.arange(10) * 1000, 30)[:, None]
     df = frame(spark, x)
-    found = neighbors.nearest(df, df, 3, "id", "vec", n_pivots=40).collect()
+    found = neighbors.nearest(df, df, 3, "id", "vec", n_cells=40).collect()
     assert len(found) == 900
-    home, routed = seen
-    assert sum(routed.values()) < 300 * 40 / 4
+    home, visited = seen
+    assert home == 300 and visited < 300 * 40 / 4
+
+
+def test_cells_follow_the_points(spark, monkeypatch):
+    """Beyond what is shipped a tree is built whose cells are as many as the points ask for."""
+    asked = []
+    plain = neighbors._search_tree
+    monkeypatch.setattr(neighbors, "_search_tree", lambda *a: asked.append(a[4]) or plain(*a))
+    monkeypatch.setattr(neighbors, "SHIPPED_NUMBERS", 100)
+    monkeypatch.setattr(neighbors, "POINTS_PER_CELL", 20)
+    x, y = clustered(30, 2, 3), clustered(600, 2, 4)
+    found = neighbors.nearest(frame(spark, x, 5000), frame(spark, y), 3, "id", "vec")
+    assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x, 5000), listed(y), 3)
+    assert asked == [30]
+
+
+def test_bounds_hold():
+    """The bound from extents is never below the true distance, and no cell with a nearer point is ruled out."""
+    rng = np.random.default_rng(8)
+    points, pivots, queries = rng.normal(size=(200, 3)), rng.normal(size=(9, 3)), rng.normal(size=(50, 3)) * 2
+    to_pivot = neighbors._pivot_distances(points, pivots)
+    own = to_pivot.argmin(1)
+    parts = [to_pivot[own == c, c] for c in range(9)]
+    n = np.array(list(map(len, parts)))
+    low, high = (np.array([f(p) if len(p) else e for p in parts]) for f, e in ((np.min, np.inf), (np.max, -np.inf)))
+    distances = np.sqrt(((queries[:, None] - points[None]) ** 2).sum(2))
+    kth = np.sort(distances, 1)[:, 4]
+    to_query = neighbors._pivot_distances(queries, pivots)
+    assert (neighbors._upper_bound(to_query, high, n, 5) >= kth - 1e-9).all()
+    visit = neighbors._not_ruled_out(to_query, neighbors._pivot_distances(pivots, pivots), low, high, kth)
+    needed = np.zeros_like(visit)
+    q, p = np.nonzero(distances <= kth[:, None])
+    needed[q, own[p]] = True
+    assert (visit | ~needed).all() and not visit.all()
 
 
 def test_fewer_points_than_k(spark):

@@ -119,3 +119,10 @@ def test_stored_neighbours_change_nothing(spark, name, params):
     near = synthetic.neighbourhoods(df, "label", "vec", 6)
     plain, shared = (sorted(map(str, synthetic.oversample(df, name, params, "label", "vec", 0.9, ready=r).collect())) for r in (None, near))
     assert plain == shared and len(plain) > len(rows)
+
+
+def test_cuts_of_few_and_many_seeds(spark, monkeypatch):
+    df, _, _ = frame(spark)
+    few = {r.row_key for r in made(synthetic.smote(df, "label", "vec", ratio=0.5, k=4))}
+    monkeypatch.setattr(synthetic, "FEW_SEEDS", 0)
+    assert {r.row_key for r in made(synthetic.smote(df, "label", "vec", ratio=0.5, k=4))} == few
