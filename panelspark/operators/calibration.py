@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators import isotonic
+
 METHODS = ("sigmoid", "isotonic")
 
 
@@ -27,11 +28,16 @@ class SigmoidCalibrator:
 
 @dataclass(frozen=True)
 class IsotonicCalibrator:
-    model: IsotonicRegressionModel
+    """Rising steps as a stored table, the cut values of its ranges, and the number of steps."""
+
+    steps: DataFrame
+    edges: list[float]
+    n_steps: int
 
     def apply(self, df: DataFrame, score_col: str, out_col: str = "p") -> DataFrame:
-        scored = self.model.transform(df.withColumn("_score", array_to_vector(F.array(score_col))))
-        return scored.drop("_score").withColumnRenamed(self.model.getPredictionCol(), out_col)
+        if self.n_steps <= isotonic.STEPS_SHIPPED:
+            return isotonic.read_by_shipping(df, self.steps, score_col, out_col)
+        return isotonic.read_by_ranges(df, self.steps, self.edges, score_col, out_col)
 
 
 def smoothed_targets(n_positive: int, n_negative: int) -> tuple[float, float]:
@@ -63,15 +69,15 @@ def fit_sigmoid(df: DataFrame, score_col: str, label_col: str) -> SigmoidCalibra
 
 
 def fit_isotonic(df: DataFrame, score_col: str, label_col: str) -> IsotonicCalibrator:
-    """Non-decreasing fit over the distinct scores, each with its mean outcome and weight."""
+    """Non-decreasing fit over the distinct scores, each with its outcomes and weight. Rows without label or score are
+    left out."""
     points = (
-        df.filter(F.col(label_col).isNotNull())
+        df.filter(F.col(label_col).isNotNull() & F.col(score_col).isNotNull())
         .groupBy(F.col(score_col).cast("double").alias("score"))
-        .agg(F.avg(F.col(label_col).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-        .withColumn("_score", array_to_vector(F.array("score")))
+        .agg(F.count(F.lit(1)).cast("double").alias("weight"), F.sum(F.col(label_col).cast("double")).alias("total"))
     )
-    estimator = IsotonicRegression(featuresCol="_score", labelCol="label", weightCol="weight", predictionCol="_calibrated")
-    return IsotonicCalibrator(estimator.fit(points))
+    steps, edges = isotonic.fit_steps(points)
+    return IsotonicCalibrator(steps, edges, steps.count())
 
 
 def fit_calibrator(df: DataFrame, score_col: str, label_col: str, method: str = "sigmoid"):

@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,8 +82,8 @@ class PropensityModel:
         if isinstance(self.calibrator, SigmoidCalibrator):
             meta["sigmoid"] = [self.calibrator.slope, self.calibrator.intercept]
         elif isinstance(self.calibrator, IsotonicCalibrator):
-            meta["isotonic"] = True
-            self.calibrator.model.write().overwrite().save(f"{path}/calibrator")
+            meta["isotonic"] = {"edges": self.calibrator.edges, "n_steps": self.calibrator.n_steps}
+            self.calibrator.steps.write.mode("overwrite").parquet(f"{path}/calibrator")
         one_row = spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1)
         one_row.write.mode("overwrite").text(f"{path}/meta")
 
@@ -102,5 +101,5 @@ class PropensityModel:
         if "sigmoid" in meta:
             calibrator = SigmoidCalibrator(*meta["sigmoid"])
         elif meta.get("isotonic"):
-            calibrator = IsotonicCalibrator(IsotonicRegressionModel.load(f"{path}/calibrator"))
+            calibrator = IsotonicCalibrator(spark.read.parquet(f"{path}/calibrator"), **meta["isotonic"])
         return cls(preprocessor, classifier, calibrator, meta["signature"], tuple(meta["keys"]))
