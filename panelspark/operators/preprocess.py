@@ -1,7 +1,9 @@
 """Model matrix: median and mode imputation, scaling by population deviation, one-hot levels.
 
 ``PanelPreprocessor`` is fitted once on training rows and then is one projection of plain column
-expressions, so applying it needs no pass of its own and no Python worker.
+expressions, so applying it needs no pass of its own and no Python worker. Beyond ``LITERAL_LEVELS`` levels these
+are a table instead, numbered per column by range-partitioned positions: rows look their level up in it by a join whose
+hot levels are salted, and get sparse vectors.
 """
 
 from __future__ import annotations
@@ -11,17 +13,23 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.features import clean_level
+from panelspark.operators import joins
 from panelspark.operators.ranking import exact_medians
+from panelspark.session import checkpointed
 
-
-MAX_LEVELS = 10_000
+LITERAL_LEVELS = 1_000
+HOT_LEVEL_SHARE = 0.01
 
 
 def numeric_moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, tuple]]:
@@ -74,12 +82,20 @@ def column_modes(df: DataFrame, cols: Sequence[str], cleaned: bool = False) -> D
     return found.select("column_name", F.col("best.level").alias("level"), (-F.col("best.less")).alias("n"))
 
 
-def _bounded_levels(df: DataFrame, cols: Sequence[str]) -> list:
-    """The counted levels; every one becomes a column, so a table of ids is refused."""
-    rows = level_counts(df, cols, cleaned=True).limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"columns {list(cols)} have more than {MAX_LEVELS} levels; lump the rare ones first")
-    return rows
+def numbered_levels(counts: DataFrame) -> DataFrame:
+    """(column_name, level, n, position): levels in order, numbered from 0 per column (stored).
+
+    Ranges of levels are sorted by themselves; a table of one row per range and column gives each its offset.
+    """
+    ordered = counts.repartitionByRange("column_name", "level").sortWithinPartitions("column_name", "level")
+    # the high bits of the id are the partition, the low ones the place in it
+    placed = checkpointed(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = placed.groupBy("column_name", part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("column_name", "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    found = placed.withColumn("_part", part).join(offsets, ["column_name", "_part"])
+    return checkpointed(found.select("column_name", "level", "n", (F.col("_before") + F.col("_id") - F.col("_first")).alias("position")))
 
 
 class _PreprocessorParams(Params):
@@ -110,8 +126,12 @@ class PanelPreprocessor(Estimator, _PreprocessorParams, DefaultParamsReadable, D
                 mean, std = filled_moments(*moments[c], n_rows - moments[c][0], medians[c])
                 learned["numeric"][c] = {"median": medians[c], "mean": mean, "scale": std or 1.0}
         if categorical:
+            counts = level_counts(df, categorical, cleaned=True)
+            few = counts.limit(LITERAL_LEVELS + 1).collect()
+            if len(few) > LITERAL_LEVELS:
+                return self._with_table(learned, categorical, checkpointed(counts))
             found: dict[str, list] = {c: [] for c in categorical}
-            for row in _bounded_levels(df, categorical):
+            for row in few:
                 found[row["column_name"]].append((-row["n"], row["level"]))
             for c, levels in found.items():
                 mode = min(levels)[1] if levels else None
@@ -120,12 +140,52 @@ class PanelPreprocessor(Estimator, _PreprocessorParams, DefaultParamsReadable, D
             learned=json.dumps(learned), outputCol=self.getOrDefault("outputCol")
         )
 
+    def _with_table(self, learned: dict, categorical: list[str], counts: DataFrame) -> PanelPreprocessorModel:
+        totals = counts.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("levels"), F.sum("n").alias("total"),
+            F.min(F.struct((-F.col("n")).alias("less"), "level")).alias("best"))
+        learned["sizes"] = {c: 0 for c in categorical}
+        learned["categorical"] = {c: {"mode": None, "hot": []} for c in categorical}
+        for row in totals.collect():  # one row a column
+            learned["sizes"][row["column_name"]] = row["levels"]
+            learned["categorical"][row["column_name"]]["mode"] = row["best"]["level"]
+        share = F.col("n") >= HOT_LEVEL_SHARE * F.col("total")
+        hot = counts.join(F.broadcast(totals), "column_name").filter(share)  # 1 / HOT_LEVEL_SHARE a column at most
+        for row in hot.select("column_name", "level").collect():
+            learned["categorical"][row["column_name"]]["hot"].append(row["level"])
+        model = PanelPreprocessorModel(learned=json.dumps(learned), outputCol=self.getOrDefault("outputCol"))
+        model.level_table = numbered_levels(counts)
+        return model
+
+
+class _ModelWriter(MLWriter):
+    def __init__(self, model: PanelPreprocessorModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        if self.model.level_table is not None:
+            self.model.level_table.write.parquet(f"{path}/levels")
+
 
-class PanelPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
-    """The fitted projection. Levels that training did not show become all zeros."""
+class _ModelReader(MLReader):
+    def load(self, path: str) -> PanelPreprocessorModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = PanelPreprocessorModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        if model.has_table:
+            model.level_table = self.sparkSession.read.parquet(f"{path}/levels")
+        return model
+
+
+class PanelPreprocessorModel(Model, _PreprocessorParams, MLReadable, MLWritable):
+    """The fitted projection, or with very many levels a join. Levels that training did not show become all zeros."""
+
+    level_table: DataFrame | None = None
 
     learned = Param(Params._dummy(), "learned", "what was learned, as JSON", TypeConverters.toString)
-    outputCol = Param(Params._dummy(), "outputCol", "name of the vector column", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, *, learned=None, outputCol="features"):
@@ -133,6 +193,22 @@ class PanelPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
         self._setDefault(learned='{"numeric": {}, "categorical": {}}', outputCol="features")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    def write(self) -> MLWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ModelReader()
+
+    def copy(self, extra=None) -> PanelPreprocessorModel:
+        found = super().copy(extra)
+        found.level_table = self.level_table
+        return found
+
+    @property
+    def has_table(self) -> bool:
+        return "sizes" in self.values
+
     @property
     def values(self) -> dict:
         return json.loads(self.getOrDefault("learned"))
@@ -147,12 +223,37 @@ class PanelPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
         dummies = [f"{c}_{level}" for c, v in listed["categorical"].items() for level in v["levels"]]
         return [*listed["numeric"], *dummies]
 
-    def feature_columns(self) -> list[Column]:
+    def feature_table(self, spark) -> DataFrame:
+        """(feature, position): the names of all features and their places in the vector."""
         listed = self.values
+        if not self.has_table:
+            return spark.createDataFrame([(c, i) for i, c in enumerate(self.feature_names)], "feature string, position long")
+        numeric = spark.createDataFrame([(c, i) for i, c in enumerate(listed["numeric"])], "feature string, position long")
+        return numeric.unionByName(self.level_table.select(
+            F.concat_ws("_", "column_name", "level").alias("feature"),
+            (self._offset(F.col("column_name")) + F.col("position")).alias("position")))
+
+    def _offset(self, column: Column) -> Column:
+        """Where the levels of a column begin in the vector."""
+        listed, found = self.values, F.lit(None).cast("long")
+        at = len(listed["numeric"])
+        for c, n in listed["sizes"].items():
+            found = F.when(column == c, F.lit(at).cast("long")).otherwise(found)
+            at += n
+        return found
+
+    def numeric_columns(self) -> list[Column]:
         exprs = []
-        for c, v in listed["numeric"].items():
+        for c, v in self.values["numeric"].items():
             known = F.coalesce(F.col(c).cast("double"), F.lit(v["median"]))
             exprs.append(((known - F.lit(v["mean"])) / F.lit(v["scale"])).alias(c))
+        return exprs
+
+    def feature_columns(self) -> list[Column]:
+        if self.has_table:
+            raise ValueError("the levels are a table here; use transform and feature_table")
+        listed = self.values
+        exprs = self.numeric_columns()
         for c, v in listed["categorical"].items():
             level = F.coalesce(clean_level(F.col(c)), F.lit(v["mode"]))
             exprs += [
@@ -164,5 +265,32 @@ class PanelPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
     def as_array(self) -> Column:
         return F.array(*self.feature_columns())
 
+    def with_array(self, df: DataFrame, name: str) -> DataFrame:
+        """The features as a dense array, for what works on arrays."""
+        if not self.has_table:
+            return df.withColumn(name, self.as_array())
+        return self._looked_up(df).withColumn(name, vector_to_array(self.getOrDefault("outputCol")))
+
+    def _looked_up(self, df: DataFrame) -> DataFrame:
+        """Sparse vectors: the numeric columns, then one place per level of each column."""
+        listed, names, out = self.values, df.columns, self.getOrDefault("outputCol")
+        places, used = [], {c: n for c, n in listed["sizes"].items() if n}
+        for i, (c, n) in enumerate(used.items()):
+            level, place = f"_level{i}", f"_place{i}"
+            v = listed["categorical"][c]
+            table = self.level_table.filter(F.col("column_name") == c).select(
+                F.col("level").alias(level), F.col("position").cast("double").alias(place))
+            df = df.withColumn(level, F.coalesce(clean_level(F.col(c)), F.lit(v["mode"])))
+            df = joins.keyed_join(df, [(table, "left")], [level], [(x,) for x in v["hot"]])
+            df = df.withColumn(place, F.coalesce(place, F.lit(float(n)))).drop(level)
+            places.append(place)
+        sizes = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in used.values())], [*places])
+        encoder = OneHotEncoder(inputCols=places, outputCols=[f"{p}_v" for p in places], handleInvalid="keep").fit(sizes)
+        df = encoder.transform(df.withColumn("_numeric", array_to_vector(F.array(*self.numeric_columns()).cast("array<double>"))))
+        joined = VectorAssembler(inputCols=["_numeric", *encoder.getOutputCols()], outputCol="_features").transform(df)
+        return joined.select(*[c for c in names if c != out], F.col("_features").alias(out))
+
     def _transform(self, df: DataFrame) -> DataFrame:
+        if self.has_table:
+            return self._looked_up(df)
         return df.withColumn(self.getOrDefault("outputCol"), array_to_vector(self.as_array()))

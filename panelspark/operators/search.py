@@ -209,9 +209,8 @@ class Fold:
 
 def model_rows(df: DataFrame, preprocessor, keys: Sequence[str], label_col: str) -> DataFrame:
     """(row_key, label, _vec): what samplers and classifiers work on."""
-    return df.select(
-        key_text(keys).alias(KEY), F.col(label_col).cast("int").alias(LABEL), preprocessor.as_array().alias(VECTOR)
-    )
+    return preprocessor.with_array(df, VECTOR).select(
+        key_text(keys).alias(KEY), F.col(label_col).cast("int").alias(LABEL), VECTOR)
 
 
 def with_features(df: DataFrame) -> DataFrame:

@@ -45,6 +45,31 @@ def model_matrix(spark, sf):
     return rounded(parts.select("p_partkey", F.inline(named)), "value")
 
 
+# an order's key as a category: as many levels as orders; every seventh line has none and takes the most frequent
+@query("one_hot_many_levels", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS quantity,
+  CASE WHEN l_linenumber <> 7 THEN lower(concat('Order ', l_orderkey)) END AS level FROM lineitem),
+c AS (SELECT regexp_replace(level, '[^A-Za-z0-9_]+', '_', 'g') AS level, count(*) AS n FROM l WHERE level IS NOT NULL GROUP BY 1),
+p AS (SELECT level, row_number() OVER (ORDER BY level) AS position FROM c)
+SELECT l_orderkey, l_linenumber, p.position, (SELECT count(*) + 1 FROM c)::BIGINT AS width,
+  round((quantity - avg(quantity) OVER ()) / stddev_pop(quantity) OVER (), 6) AS quantity
+FROM l JOIN p ON p.level = coalesce(regexp_replace(l.level, '[^A-Za-z0-9_]+', '_', 'g'), (SELECT level FROM c ORDER BY n DESC, level LIMIT 1))
+""")
+def one_hot_many_levels(spark, sf):
+    """Where each line's order is in the sparse vector, beside the scaled quantity."""
+    lines = load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("quantity"),
+        F.when(F.col("l_linenumber") != 7, F.concat(F.lit("Order "), "l_orderkey")).alias("order"))
+    fitted = PanelPreprocessor(numeric=["quantity"], categorical=["order"]).fit(lines)
+    shown = F.col("features").cast("string")  # (width,[places],[values])
+    value = F.regexp_extract(shown, r"\[0,.*\],\[([^,\]]*)", 1)
+    rows = fitted.transform(lines).select(
+        "l_orderkey", "l_linenumber", F.regexp_extract(shown, r"([0-9]+)\],", 1).cast("long").alias("position"),
+        F.regexp_extract(shown, r"^\(([0-9]+)", 1).cast("long").alias("width"),
+        F.coalesce(F.when(value != "", value.cast("double")), F.lit(0.0)).alias("quantity"))
+    return rounded(rows, "quantity")
+
+
 # -- neighbours and oversampling ----------------------------------------------------------------
 
 NEAR = {

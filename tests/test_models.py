@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from panelspark.config import ModelConfig, ProcessingConfig
-from panelspark.operators import calibration, classifiers, explain, metrics, scoring, search
+from panelspark.operators import calibration, classifiers, explain, metrics, preprocess, scoring, search
 from panelspark.operators.preprocess import PanelPreprocessor, PanelPreprocessorModel, column_modes
 
 MODEL = ModelConfig(features=("x1", "x2", "kind"), n_iter=4, parallelism=2)
@@ -61,6 +61,32 @@ def test_preprocessor(spark, tmp_path):
         PanelPreprocessor(numeric=["e"]).fit(df.withColumn("e", F.lit(None).cast("double")))
 
 
+def test_levels_as_a_table_give_the_same_features(spark, tmp_path, monkeypatch):
+    rows = [(float(i % 7), f"k{i % 23:02}" if i % 5 else None, "hot" if i % 3 else f"c{i % 11}") for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, a string, b string").withColumn("none", F.lit(None).cast("string"))
+    settings = {"numeric": ["x"], "categorical": ["a", "none", "b"]}
+    plain = PanelPreprocessor(**settings).fit(df)
+    monkeypatch.setattr(preprocess, "LITERAL_LEVELS", 5)
+    wide = PanelPreprocessor(**settings).fit(df)
+    assert wide.has_table and not plain.has_table
+    names = {r.position: r.feature for r in wide.feature_table(spark).collect()}
+    assert [names[i] for i in range(len(names))] == plain.feature_names
+    assert [tuple(r) for r in plain.feature_table(spark).orderBy("position").collect()] == list(zip(plain.feature_names, range(len(names))))
+    path = str(tmp_path / "wide")
+    PipelineModel(stages=[wide]).write().save(path)
+    seen = df.unionByName(spark.createDataFrame([(1.0, "never", "seen", None)], df.schema))
+    as_rows = vector_to_array("features").alias("v")
+    want = np.array(sorted(tuple(r.v) for r in plain.transform(seen).select(as_rows).collect()))
+    for model in (wide, PipelineModel.load(path)):
+        found = model.transform(seen)
+        assert found.columns == [*df.columns, "features"]
+        assert np.array(sorted(tuple(r.v) for r in found.select(as_rows).collect())) == pytest.approx(want)
+    with pytest.raises(ValueError):
+        wide.as_array()
+    rows = search.model_rows(df.withColumns({"id": F.monotonically_increasing_id(), "y": F.lit(1)}), wide, ["id"], "y")
+    assert rows.count() == 400 and len(rows.first()[search.VECTOR]) == len(names)
+
+
 def test_mode_tie_goes_to_the_smaller(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert [tuple(r) for r in column_modes(df, ["c"]).collect()] == [("c", "a", 2)]
