@@ -5,11 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from panelspark.config import ModelConfig
-from panelspark.operators import calibration, classifiers, explain, filters, neighbors, sampling, scoring, search, synthetic
+from panelspark.operators import calibration, classifiers, explain, filters, neighbors, sampling, scoring, search, synthetic, tree_shapley
 from panelspark.operators.preprocess import PanelPreprocessor
 from panelspark.plans import training
 from panelspark.plans.queries import panel
@@ -363,3 +363,44 @@ def sampled_shapley(spark, sf):
 
     means = explain.feature_means(rows, list(weights))
     return rounded(explain.sampled_shapley(rows, ["s_suppkey"], list(weights), score, means, 4), "value", digits=5)
+
+
+# a tree of five leaves over two features; what it expects of a feature alone follows the shares of rows below each split
+@query("tree_shapley", """
+WITH r AS (SELECT p_partkey, p_size::DOUBLE AS size, p_retailprice AS price, (p_partkey % 10)::DOUBLE AS y FROM part),
+l AS (SELECT *, CASE WHEN size <= 25 AND price <= 912 THEN 'a' WHEN size <= 25 THEN 'b' WHEN size <= 40 THEN 'c'
+  WHEN price <= 915 THEN 'd' ELSE 'e' END AS leaf FROM r),
+n AS (SELECT count(*)::DOUBLE AS n, count_if(leaf = 'a') AS na, count_if(leaf = 'b') AS nb, count_if(leaf = 'c') AS nc,
+  count_if(leaf = 'd') AS nd, count_if(leaf = 'e') AS ne, avg(y) FILTER (leaf = 'a') AS a, avg(y) FILTER (leaf = 'b') AS b,
+  avg(y) FILTER (leaf = 'c') AS c, avg(y) FILTER (leaf = 'd') AS d, avg(y) FILTER (leaf = 'e') AS e FROM l),
+v AS (SELECT p_partkey, (na * a + nb * b + nc * c + nd * d + ne * e) / n AS none,
+  CASE leaf WHEN 'a' THEN a WHEN 'b' THEN b WHEN 'c' THEN c WHEN 'd' THEN d ELSE e END AS both_known,
+  CASE WHEN size <= 25 THEN (na * a + nb * b) / (na + nb) WHEN size <= 40 THEN c ELSE (nd * d + ne * e) / (nd + ne) END AS by_size,
+  ((na + nb) * (CASE WHEN price <= 912 THEN a ELSE b END) + nc * c + (nd + ne) * (CASE WHEN price <= 915 THEN d ELSE e END)) / n
+    AS by_price FROM l, n)
+SELECT p_partkey, round(((by_size - none) + (both_known - by_price)) / 2, 6) AS size,
+  round(((by_price - none) + (both_known - by_size)) / 2, 6) AS price, round(both_known, 6) AS score FROM v
+""")
+def tree_attributions(spark, sf):
+    """Attributions by the leaves of a tree whose shares and values are those of the table's own rows."""
+    rows = load(spark, sf, "part").select(
+        "p_partkey", F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double")).alias("x"),
+        (F.col("p_partkey") % 10).cast("double").alias("y"))
+    # (place, left child, right child, feature, cut); places without a split are leaves
+    splits = {0: (1, 2, 0, 25.0), 1: (3, 4, 1, 912.0), 2: (5, 6, 0, 40.0), 6: (7, 8, 1, 915.0)}
+    within = {0: F.lit(True)}
+    for node, (left, right, f, cut) in splits.items():
+        low = F.col("x")[f] <= cut
+        within |= {left: within[node] & low, right: within[node] & ~low}
+    totals = [e for k, here in within.items() for e in (F.count_if(here).alias(f"n{k}"), F.avg(F.when(here, F.col("y"))).alias(f"v{k}"))]
+    found = rows.agg(*totals).first()
+    nodes = []
+    for k in within:
+        left, right, f, cut = splits.get(k, (-1, -1, -1, None))
+        split = Row(featureIndex=f, leftCategoriesOrThreshold=[cut], numCategories=-1)
+        nodes.append(Row(id=k, rawCount=found[f"n{k}"], prediction=found[f"v{k}"], leftChild=left, rightChild=right, split=split))
+    leaves = tree_shapley.leaves_of(nodes, lambda n: n["prediction"])
+    shown = tree_shapley.tree_shapley(rows, "x", leaves)
+    score = F.col("shap")[0] + F.col("shap")[1] + F.lit(tree_shapley.expected_value(leaves))
+    return rounded(shown.select("p_partkey", F.col("shap")[0].alias("size"), F.col("shap")[1].alias("price"), score.alias("score")),
+                   "size", "price", "score")

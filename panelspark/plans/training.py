@@ -24,6 +24,7 @@ from panelspark.operators import (
     sampling,
     scoring,
     search,
+    tree_shapley,
 )
 from panelspark.operators.preprocess import PanelPreprocessor
 from panelspark.sources import tables
@@ -137,6 +138,7 @@ def record_balance(before: DataFrame, after: DataFrame, test_scores: DataFrame,
 
 
 NOT_EXPLAINED = ("KNeighborsClassifier", "MLPClassifier")
+EXPLAINED_BY_LEAVES = ("DecisionTreeClassifier", "RandomForestClassifier", "XGBClassifier", "LGBMClassifier")
 
 
 def curve_tables(scores: DataFrame) -> dict[str, DataFrame]:
@@ -180,12 +182,18 @@ def learning_curve(gold: DataFrame, classifier: str, params: dict, sampler: str
 def attributions(trained: Trained, rows: DataFrame, n_permutations: int = 8, seed: int = 42) -> DataFrame:
     """(row_key, feature, value) of processed rows; none for neighbours and perceptrons.
 
-    Exact in the margin for a logistic model, sampled in the probability for the others.
+    Exact in the margin for a logistic model and boosted trees and in the probability for a tree or forest, sampled in
+    the probability for the others.
     """
     name, unit = trained.model.classifier.name, trained.model
     if name in NOT_EXPLAINED:
         raise ValueError(f"no attributions for {name}")
     names = unit.preprocessor.feature_names
+    named = F.array(*map(F.lit, names))[F.col("j")].alias("feature")
+    if name in EXPLAINED_BY_LEAVES:
+        leaves = tree_shapley.model_leaves(rows.sparkSession, unit.classifier.model)
+        values = tree_shapley.tree_shapley(rows.select(search.KEY, search.VECTOR), search.VECTOR, leaves)
+        return values.select(search.KEY, F.posexplode("shap").alias("j", "value")).select(search.KEY, named, "value")
     wide = rows.select(search.KEY, *[F.col(search.VECTOR)[i].alias(f"f{i}") for i in range(len(names))])
     plain = [f"f{i}" for i in range(len(names))]
     means = explain.feature_means(wide, plain)
@@ -193,7 +201,7 @@ def attributions(trained: Trained, rows: DataFrame, n_permutations: int = 8, see
     if name == "LogisticRegression":
         weights = dict(zip(plain, map(float, unit.classifier.model.coefficients)))
         values = explain.linear_shapley(wide, weights, means).select(search.KEY, F.posexplode("shap").alias("j", "value"))
-        return values.select(search.KEY, F.array(*map(F.lit, names))[F.col("j")].alias("feature"), "value")
+        return values.select(search.KEY, named, "value")
 
     def score(df: DataFrame) -> DataFrame:
         return unit.classifier.score(search.with_features(df.withColumn(search.VECTOR, F.array(*plain))))

@@ -30,20 +30,18 @@ def local_session(cpus: int | str = "*", app: str = "panelspark", **conf: str) -
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all machines share. Without the setting only a session on a single
+    machine works, below its warehouse folder; on a cluster that folder could be local to the driver."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+
 
-    A reliable checkpoint outlives lost executors. Without the setting only a session on a single
-    machine works, below its warehouse folder; on a cluster that folder could be local to the driver.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder. A reliable checkpoint outlives lost executors."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not folder:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            folder = f"{warehouse.rstrip('/')}/_checkpoints"
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
