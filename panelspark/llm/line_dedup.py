@@ -1,13 +1,18 @@
 """Line deduplication by a segment-partition edit join.
 
-A line goes when an earlier line (by document id, hash of the text, then line number) of the corpus is equal to it or at most
-``edits`` code points inserted, deleted or replaced away. Compared are lines without surrounding ASCII white space of
+A line goes when an earlier line (by document id, hash of the text, then line number) of the corpus is equal to it or near.
+Two lines are near with at most ``edits`` code points inserted, deleted or replaced, or with at most as many words
+inserted, deleted or replaced as the shorter one's number of words allows: ``WORD_STEPS`` names the numbers of words from
+which on one, two, ... are allowed, a twentieth of the words. Compared are lines without surrounding ASCII white space of
 ``min_chars`` code points or more; shorter lines stay as they are, and so do the remaining lines of a document.
 
 1. Equal lines are found by a 128-bit hash; the first place of each is combined on the map side.
-2. A line of length n is cut into ``edits`` + 1 segments, which it offers as index keys (length, number of the
-   segment, hash of the segment). Lines of equal and greater length probe that index with those of their substrings
-   that may match a segment given the difference in length; every pair within the distance shares a key.
+2. A line of length n is cut into one segment more than the edits that it allows, which it offers as index keys (length,
+   number of the segment, hash of the segment). Lines of equal and greater length probe that index with those of their
+   substrings that may match a segment given the difference in length; every pair within the distance shares a key. Lines
+   of few words are sequences of code points here, longer ones sequences of words, so that keys do not grow with the
+   code points that differ. One changed code point changes one word or joins or parts two, and leaves the other
+   segment as it is, so that longer lines need no keys of code points.
 3. Keys are kept whose smallest and largest line differ, and the texts of their lines are read again; a bitmap of
    fixed size keeps most other lines out of that join. The lines meet in units of bounded size (blocks of a
    key's lines, and pairs of blocks), where lengths and letter counts exclude most pairs and a banded bit-parallel edit
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 from panelspark.llm.store import stored, text_or_empty
 
 EDITS = 1
+WORD_STEPS = (20, 40, 60)
 MIN_CHARS = 20
 BLOCK = 512
 CHARS_AT_ONCE = 1 << 20
@@ -39,6 +45,7 @@ FIRST = ("first_id", "first_mark", "first_no")
 SPACE = " \t\r\x0b\x0c"
 STEP = 0x9E3779B97F4A7C15
 STEP_BACK = pow(STEP, -1, 1 << 64)
+WORD_SALT = 0xC2B2AE3D27D4EB4F
 
 
 def segment(n: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,50 +72,96 @@ def code_points(lines: list[str]) -> np.ndarray:
     return np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def keys_of(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all lines: key, place of the line in the list, whether it is an index key.
+def segment_keys(flat: np.ndarray, lengths: np.ndarray, edits_for, kinds: list[int], salt: int, indexes: np.ndarray) -> tuple:
+    """Keys of sequences that lie one behind the other: key, place of the sequence, whether it is an index key.
 
-    A line looks up lines of its own and smaller length: of those that are ``more`` shorter, segment k can only match
+    ``edits_for`` gives the edits that sequences of each length allow, ``kinds`` all such numbers above 0 (or 0 alone). A
+    sequence looks up those of its own and smaller length: of those that are ``more`` shorter, segment k can only match
     at offsets that leave no more edits before and behind it than there are segments.
     """
-    lengths = np.array([len(x) for x in lines], np.int64)
-    flat = code_points(lines).astype(np.uint64) + np.uint64(1)
+    flat = flat + np.uint64(1)
     up, down = powers(STEP, len(flat) + 1), powers(STEP_BACK, len(flat) + 1)
     sums = np.append(np.uint64(0), np.cumsum(flat * up[:-1]))
     begins = np.cumsum(lengths) - lengths
-    keys, owners, index = [], [], []
-    for more in range(edits + 1):
-        indexed = lengths - more
-        for k in range(edits + 1):
-            start, size = segment(indexed, k, edits)
-            for offset in range(max(-k, more - (edits - k)), min(k, more + (edits - k)) + 1):
-                at = start + offset
-                own = np.flatnonzero((indexed > edits) & (at >= 0) & (at + size <= lengths))
-                a = begins[own] + at[own]
-                part = (sums[a + size[own]] - sums[a]) * down[a]
-                keys.append(mix(part ^ mix((indexed[own] * 64 + k).astype(np.uint64))))
-                owners.append(own)
-                index.append(np.full(len(own), more == 0 and offset == 0))
+    keys, owners, index = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for edits in kinds:
+        for more in range(edits + 1):
+            indexed = lengths - more
+            allowed = (indexed > edits) & (edits_for(indexed) == edits)
+            for k in range(edits + 1):
+                start, size = segment(indexed, k, edits)
+                for offset in range(max(-k, more - (edits - k)), min(k, more + (edits - k)) + 1):
+                    at = start + offset
+                    own = np.flatnonzero(allowed & (at >= 0) & (at + size <= lengths))
+                    a = begins[own] + at[own]
+                    part = (sums[a + size[own]] - sums[a]) * down[a]
+                    keys.append(mix(part ^ mix((indexed[own] * 64 + k).astype(np.uint64) ^ np.uint64(salt))))
+                    owners.append(own)
+                    index.append(indexes[own] if more == 0 and offset == 0 else np.zeros(len(own), bool))
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(index)
 
 
+def words_in(line: str) -> list[bytes]:
+    return line.encode("utf-8", "surrogatepass").split()
+
+
+def word_edits(n: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+    """How many words may differ where the shorter line has ``n``."""
+    return np.searchsorted(np.array(steps, np.int64), n, side="right")
+
+
+def keys_of(lines: list[str], edits: int, steps: tuple[int, ...] = WORD_STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all lines: key, place of the line in the list, whether it is an index key.
+
+    Lines of fewer words than the first of ``steps`` are indexed by code points; those of one word more look them up, as
+    a space may be what differs.
+    """
+    import xxhash
+
+    words = [words_in(x) for x in lines]
+    counts = np.array([len(w) for w in words], np.int64)
+    first = steps[0] if steps else np.inf
+    by_chars, by_words = np.flatnonzero(counts <= first), np.flatnonzero(counts >= first)
+    some = [lines[i] for i in by_chars.tolist()]
+    lengths = np.array([len(x) for x in some], np.int64)
+    keys, owners, index = segment_keys(
+        code_points(some).astype(np.uint64), lengths, lambda n: np.full(len(n), edits), [edits], 0, counts[by_chars] < first)
+    if not len(by_words):
+        return keys, by_chars[owners], index
+    hashes = {w: xxhash.xxh3_64_intdigest(w) for i in by_words.tolist() for w in words[i]}
+    flat = np.fromiter((hashes[w] for i in by_words.tolist() for w in words[i]), np.uint64, int(counts[by_words].sum()))
+    more = segment_keys(flat, counts[by_words], lambda n: word_edits(n, steps), [*range(1, len(steps) + 1)], WORD_SALT,
+                        np.ones(len(by_words), bool))
+    return np.append(keys, more[0]), np.append(by_chars[owners], by_words[more[1]]), np.append(index, more[2])
+
+
+def symbols(line: str) -> np.ndarray:
+    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
-    """Whether the edit distance of each pair is at most ``edits``: bit-parallel in a band of 2 * edits + 1 diagonals,
-    one machine word per pair. Bit 63 of a column's word stands for the row ``edits`` below the diagonal."""
+    """Whether the edit distance of each pair of texts is at most ``edits``."""
+    return within_symbols(list(map(symbols, one)), list(map(symbols, two)), edits)
+
+
+def within_symbols(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarray:
+    """Whether the edit distance of each pair of sequences is at most ``edits``: bit-parallel in a band of 2 * edits + 1
+    diagonals, one machine word per pair. Bit 63 of a column's word stands for the row ``edits`` below the diagonal."""
     if edits and min(map(len, one)) <= edits:  # a common start changes no distance, and the band begins inside the line
-        one, two = [" " * edits + x for x in one], [" " * edits + x for x in two]
+        start = np.full(edits, 32, np.uint32)
+        one, two = [np.append(start, x) for x in one], [np.append(start, x) for x in two]
     m, n = np.array([len(x) for x in one], np.int64), np.array([len(x) for x in two], np.int64)
     ok = np.abs(m - n) <= edits
     if not ok.any():
         return ok
     if edits == 0:
-        return np.array([x == y for x, y in zip(one, two)])
+        return np.array([np.array_equal(x, y) for x, y in zip(one, two)])
     pairs, width = len(one), int(max(m.max(), n.max()))
     rows = np.full((pairs, width + 2 * edits + 1), 0x110000, np.uint32)
     columns = np.full((pairs, width), 0x110001, np.uint32)
     for k in np.flatnonzero(ok).tolist():
-        rows[k, edits:edits + len(one[k])] = np.frombuffer(one[k].encode("utf-32-le", "surrogatepass"), np.uint32)
-        columns[k, :len(two[k])] = np.frombuffer(two[k].encode("utf-32-le", "surrogatepass"), np.uint32)
+        rows[k, edits:edits + len(one[k])] = one[k]
+        columns[k, :len(two[k])] = two[k]
     rows, columns = np.ascontiguousarray(rows.T), np.ascontiguousarray(columns.T)
     u = np.uint64
     top, ones = u(1 << 63), u(0xFFFFFFFFFFFFFFFF)
@@ -212,12 +265,12 @@ def _lines_with(docs: DataFrame, bits: bytes, min_chars: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_mark long, line_no long, high long, low long, line string")
 
 
-def _keys(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _keys(docs: DataFrame, edits: int, min_chars: int, steps: tuple[int, ...]) -> DataFrame:
     """``key, low, indexed`` for each line and key; lines that repeat near each other count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(lines: list[str]) -> pa.RecordBatch:
-            keys, owners, index = keys_of(lines, edits)
+            keys, owners, index = keys_of(lines, edits, steps)
             low = line_ids(lines)[:, 1]
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(low[owners]), pa.array(index)], ["key", "low", "indexed"])
 
@@ -237,7 +290,7 @@ def _keys(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, low long, indexed boolean")
 
 
-def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
+def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> DataFrame:
     """``low, near_id, near_mark, near_no``: lines with an earlier line within the distance, and where that one is first."""
 
     def pairs_in(rows: dict, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,13 +300,16 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
         cross = rows["left"][begin] != rows["right"][begin]
         for i in span.tolist():
             later = span[span > i]  # the unit is sorted by first place
-            hit = np.abs(rows["n"][later] - rows["n"][i]) <= edits
-            hit &= rows["indexed"][later] | rows["indexed"][i]
+            hit = rows["indexed"][later] | rows["indexed"][i]
             if cross:
                 hit &= rows["block"][later] != rows["block"][i]
             later = later[hit]
+            allowed = word_edits(np.minimum(rows["words"][later], rows["words"][i]), steps)
+            by_words = np.abs(rows["words"][later] - rows["words"][i]) <= allowed
+            by_chars = np.abs(rows["n"][later] - rows["n"][i]) <= edits
             apart = rows["letters"][later] - rows["letters"][i]
-            later = later[np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= edits]
+            by_chars &= np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= edits
+            later = later[by_chars | (by_words & (allowed > 0))]
             first += [i] * len(later)
             second += later.tolist()
         return np.array(first, np.int64), np.array(second, np.int64)
@@ -261,16 +317,35 @@ def _near_in_units(units: DataFrame, edits: int) -> DataFrame:
     def near(table: pa.Table) -> pa.RecordBatch | None:
         lines = table["line"].to_pylist()
         rows = {c: table[c].to_numpy(zero_copy_only=False) for c in ("key", "left", "right", "block", "indexed", "low", "first_mark", "first_no")}
-        rows |= {"n": np.array([len(x) for x in lines], np.int64), "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
+        words = [words_in(x) for x in lines]
+        rows |= {"n": np.array([len(x) for x in lines], np.int64), "words": np.array([len(w) for w in words], np.int64), "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
         new = (np.diff(rows["key"]) != 0) | (np.diff(rows["left"]) != 0) | (np.diff(rows["right"]) != 0)
         bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
         found = [pairs_in(rows, begin, end) for begin, end in zip(bounds[:-1], bounds[1:])]
         first, second = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(rows["n"][second], kind="stable")  # pairs of about one length are compared together
+        number: dict[bytes, int] = {}
+        allowed = word_edits(np.minimum(rows["words"][first], rows["words"][second]), steps)
+
+        def numbers(k: int) -> np.ndarray:
+            return np.array([number.setdefault(w, len(number)) for w in words[k]], np.uint32)
+
+        def near_pairs(x: np.ndarray, y: np.ndarray, may_differ: int) -> np.ndarray:
+            found = np.zeros(len(x), bool)
+            if may_differ:
+                found = within_symbols([numbers(k) for k in x.tolist()], [numbers(k) for k in y.tolist()], may_differ)
+            rest = np.flatnonzero(~found & (np.abs(rows["n"][x] - rows["n"][y]) <= edits))
+            if len(rest):
+                found[rest] = within([lines[k] for k in x[rest].tolist()], [lines[k] for k in y[rest].tolist()], edits)
+            return found
+
         best: dict[int, int] = {}
-        for at in range(0, len(order), PAIRS_AT_ONCE):
-            x, y = first[order[at:at + PAIRS_AT_ONCE]], second[order[at:at + PAIRS_AT_ONCE]]
-            hit = within([lines[k] for k in x.tolist()], [lines[k] for k in y.tolist()], edits)
+        order = order[np.argsort(allowed[order], kind="stable")]
+        cuts = np.searchsorted(allowed[order], np.arange(len(steps) + 2))
+        parts = [order[at:min(at + PAIRS_AT_ONCE, end)] for begin, end in zip(cuts[:-1], cuts[1:]) for at in range(begin, end, PAIRS_AT_ONCE)]
+        for part in parts:
+            x, y = first[part], second[part]
+            hit = near_pairs(x, y, int(allowed[part[0]]))
             for i, j in zip(x[hit].tolist(), y[hit].tolist()):
                 best[j] = min(i, best.get(j, i))
         if not best:
@@ -307,10 +382,10 @@ def _at_first() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_mark") == F.col("first_mark")) & (F.col("line_no") == F.col("first_no"))
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """``high, low`` of the lines with an earlier line within ``edits``, and that line's first place. ``docs`` has
+def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int, steps: tuple[int, ...] = WORD_STEPS) -> DataFrame:
+    """``high, low`` of the lines with an earlier line that is near, and that line's first place. ``docs`` has
     ``doc_id, text_mark, text``; ``firsts`` has each line's hash and first place."""
-    keys = stored(_keys(docs, edits, min_chars), "keys")
+    keys = stored(_keys(docs, edits, min_chars, steps), "keys")
     shared = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b"), F.max("indexed").alias("any"))
     shared = stored(shared.where("a != b and any").select("key"), "shared_keys")
     members = keys.join(shared, "key").groupBy("key", "low").agg(F.max("indexed").alias("indexed"))
@@ -328,22 +403,25 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int) -
     units = rows.join(lines, "low").select(
         "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "indexed",
         "low", *FIRST, "line")
-    near = _near_in_units(units, edits).groupBy("low").agg(F.min(F.struct("near_id", "near_mark", "near_no")).alias("near"))
+    near = _near_in_units(units, edits, steps).groupBy("low").agg(F.min(F.struct("near_id", "near_mark", "near_no")).alias("near"))
     return near.join(lines.select("high", "low"), "low").select("high", "low", "near.near_id", "near.near_mark", "near.near_no")
 
 
-def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
+                  steps: tuple[int, ...] = WORD_STEPS) -> DataFrame:
     """One row per compared line of a document: ``doc_id, text_mark, line_no, copy`` (an equal line is earlier),
     ``near`` (a line within the distance of it is earlier). Rows of one id and text get the same verdicts."""
     if not 0 <= edits < min(min_chars, 32):
         raise ValueError(f"edits is {edits}; it has to be below 32 and below min_chars, {min_chars}")
+    if list(steps) != sorted(set(steps)) or len(steps) > 31 or any(n <= 2 * k for k, n in enumerate(steps, 1)):
+        raise ValueError(f"steps are {steps}; they have to rise, 31 at most, and be more than twice the words that may differ")
     texts = _texts(docs, id_col, text_col)
     found = stored(occurrences(texts, min_chars), "line_places")
     firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "text_mark", "line_no")).alias("first"))
     firsts = firsts.select(
         "high", "low", F.col("first.doc_id").alias("first_id"), F.col("first.text_mark").alias("first_mark"), F.col("first.line_no").alias("first_no"))
     firsts = stored(firsts, "first_places")
-    near = stored(near_lines(texts, firsts, edits, min_chars), "near_lines")
+    near = stored(near_lines(texts, firsts, edits, min_chars, steps), "near_lines")
     judged = firsts.join(near.select("high", "low", F.lit(True).alias("near")), ["high", "low"], "left")
     judged = stored(judged, "judged_lines")
     return found.join(judged, ["high", "low"]).select(
@@ -351,11 +429,11 @@ def line_verdicts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
-                counts: bool = True) -> DataFrame:
+                counts: bool = True, steps: tuple[int, ...] = WORD_STEPS) -> DataFrame:
     """``docs`` with ``text_col`` rid of the lines that go, and with ``counts`` also ``n_copy_lines, n_near_lines``
     (lines that go because an equal one, or else a near one, is earlier) in place of columns of these names. A null
     text stays null."""
-    verdicts = line_verdicts(docs, edits, min_chars, id_col, text_col).where("copy or near")
+    verdicts = line_verdicts(docs, edits, min_chars, id_col, text_col, steps).where("copy or near")
     line_no = F.col("line_no").cast("int")
     # sets, as rows of one id and text give each verdict more than once
     gone = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).agg(

@@ -52,7 +52,15 @@ def test_near_lines_share_a_key(edits):
         assert (indexed(0) & of(1)) | (indexed(1) & of(0))
 
 
-def brute(rows, edits, min_chars):
+def is_near(a, b, edits, steps):
+    if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+        return True
+    x, y = a.split(), b.split()
+    allowed = sum(min(len(x), len(y)) >= n for n in steps)
+    return abs(len(x) - len(y)) <= allowed and 0 < allowed >= distance(x, y)
+
+
+def brute(rows, edits, min_chars, steps=line_dedup.WORD_STEPS):
     """As it is defined: by document, then line."""
     lines = []
     for doc_id, text in rows:
@@ -66,7 +74,7 @@ def brute(rows, edits, min_chars):
     distinct = sorted(first, key=first.get)
     near = set()
     for j, y in enumerate(distinct):
-        if any(abs(len(x) - len(y)) <= edits and distance(x, y) <= edits for x in distinct[:j]):
+        if any(is_near(x, y, edits, steps) for x in distinct[:j]):
             near.add(y)
     out = []
     for doc_id, text in rows:
@@ -105,6 +113,41 @@ def test_lines(frame, texts, edits):
     assert result(line_dedup.dedup_lines(frame(texts), edits, 8)) == brute(texts, edits, 8)
 
 
+@pytest.fixture(scope="module")
+def long_texts():
+    """Lines of 3 to 16 words, with words and code points changed, added and lost, and spaces set and removed."""
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdeé", k=draw.randint(1, 5))) for _ in range(60)]
+    bases = [draw.choices(words, k=draw.randint(3, 16)) for _ in range(14)]
+
+    def changed(line):
+        line = list(line)
+        for _ in range(draw.choice([0, 0, 1, 1, 2, 3])):
+            k = draw.randrange(len(line))
+            line[k:k + draw.choice([0, 1, 1])] = draw.choice([[draw.choice(words)], [], [line[k][:1], line[k][1:] or "x"], [line[k] + "z"]])
+            line = line or ["a"]
+        return draw.choice([" ", " ", "  "]).join(line)
+
+    return [(k, "\n".join(changed(draw.choice(bases)) for _ in range(draw.randint(1, 5)))) for k in range(90)]
+
+
+@pytest.mark.parametrize("steps", [(5, 9, 13), (4,), (), (3, 6)])
+def test_lines_of_many_words(frame, long_texts, steps):
+    assert result(line_dedup.dedup_lines(frame(long_texts), 1, 8, steps=steps)) == brute(long_texts, 1, 8, steps)
+
+
+def test_one_word_of_a_long_line(frame):
+    line = "the committee has found that in most of the years since then no such case was brought before any of its members again"
+    rows = [(1, line), (2, line.replace("committee", "assembly")), (3, line.replace("most", "some").replace("again", "")), (4, line[:80])]
+    assert [r["n_near_lines"] for r in line_dedup.dedup_lines(frame(rows)).orderBy("doc_id").collect()] == [0, 1, 0, 0]
+
+
+def test_steps_leave_room(frame):
+    for steps in ((5, 4), (2,), (3, 4)):
+        with pytest.raises(ValueError, match="have to rise"):
+            line_dedup.dedup_lines(frame([]), steps=steps)
+
+
 def test_blocks(frame, texts, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 3)
     monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 5)
