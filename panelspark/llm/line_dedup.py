@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.store import stored, text_or_empty
+from panelspark.llm.worker import kept
 
 EDITS = 1
 WORD_STEPS = (20, 40, 60)
@@ -68,6 +69,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``STEP`` and of its inverse, computed once per worker for the longest text so far."""
+    up, down = kept(("step_powers",), lambda: [powers(STEP, 1 << 21), powers(STEP_BACK, 1 << 21)])
+    return (up[:n], down[:n]) if n <= len(up) else (powers(STEP, n), powers(STEP_BACK, n))
+
+
 def code_points(lines: list[str]) -> np.ndarray:
     return np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -80,7 +87,7 @@ def segment_keys(flat: np.ndarray, lengths: np.ndarray, edits_for, kinds: list[i
     at offsets that leave no more edits before and behind it than there are segments.
     """
     flat = flat + np.uint64(1)
-    up, down = powers(STEP, len(flat) + 1), powers(STEP_BACK, len(flat) + 1)
+    up, down = step_powers(len(flat) + 1)
     sums = np.append(np.uint64(0), np.cumsum(flat * up[:-1]))
     begins = np.cumsum(lengths) - lengths
     keys, owners, index = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
@@ -105,6 +112,18 @@ def words_in(line: str) -> list[bytes]:
     return line.encode("utf-8", "surrogatepass").split()
 
 
+def word_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all lines, one behind the other, and how many each line has."""
+    raw = np.frombuffer("\n".join([*lines, ""]).encode("utf-8", "surrogatepass"), np.uint8)
+    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    before = np.append(True, blank[:-1])
+    begins, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+    up, down = step_powers(len(raw) + 1)
+    sums = np.append(np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1]))
+    line = np.searchsorted(np.flatnonzero(raw == 10), begins)
+    return mix((sums[ends] - sums[begins]) * down[begins]), np.bincount(line, minlength=len(lines))
+
+
 def word_edits(n: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
     """How many words may differ where the shorter line has ``n``."""
     return np.searchsorted(np.array(steps, np.int64), n, side="right")
@@ -116,10 +135,7 @@ def keys_of(lines: list[str], edits: int, steps: tuple[int, ...] = WORD_STEPS) -
     Lines of fewer words than the first of ``steps`` are indexed by code points; those of one word more look them up, as
     a space may be what differs.
     """
-    import xxhash
-
-    words = [words_in(x) for x in lines]
-    counts = np.array([len(w) for w in words], np.int64)
+    hashes, counts = word_hashes(lines)
     first = steps[0] if steps else np.inf
     by_chars, by_words = np.flatnonzero(counts <= first), np.flatnonzero(counts >= first)
     some = [lines[i] for i in by_chars.tolist()]
@@ -128,8 +144,7 @@ def keys_of(lines: list[str], edits: int, steps: tuple[int, ...] = WORD_STEPS) -
         code_points(some).astype(np.uint64), lengths, lambda n: np.full(len(n), edits), [edits], 0, counts[by_chars] < first)
     if not len(by_words):
         return keys, by_chars[owners], index
-    hashes = {w: xxhash.xxh3_64_intdigest(w) for i in by_words.tolist() for w in words[i]}
-    flat = np.fromiter((hashes[w] for i in by_words.tolist() for w in words[i]), np.uint64, int(counts[by_words].sum()))
+    flat = hashes[np.repeat(counts >= first, counts)]
     more = segment_keys(flat, counts[by_words], lambda n: word_edits(n, steps), [*range(1, len(steps) + 1)], WORD_SALT,
                         np.ones(len(by_words), bool))
     return np.append(keys, more[0]), np.append(by_chars[owners], by_words[more[1]]), np.append(index, more[2])
@@ -290,6 +305,18 @@ def _keys(docs: DataFrame, edits: int, min_chars: int, steps: tuple[int, ...]) -
     return docs.mapInArrow(run, "key long, low long, indexed boolean")
 
 
+def _keys_with(keys: DataFrame, bits: bytes) -> DataFrame:
+    """The keys whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            place = batch["key"].to_numpy() & (FILTER_BITS - 1)
+            yield batch.filter(pa.array(((marked[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)))
+
+    return keys.mapInArrow(run, "key long, low long, indexed boolean")
+
+
 def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> DataFrame:
     """``low, near_id, near_mark, near_no``: lines with an earlier line within the distance, and where that one is first."""
 
@@ -323,7 +350,6 @@ def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> Data
         bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
         found = [pairs_in(rows, begin, end) for begin, end in zip(bounds[:-1], bounds[1:])]
         first, second = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(rows["n"][second], kind="stable")  # pairs of about one length are compared together
         number: dict[bytes, int] = {}
         allowed = word_edits(np.minimum(rows["words"][first], rows["words"][second]), steps)
 
@@ -340,14 +366,26 @@ def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> Data
             return found
 
         best: dict[int, int] = {}
-        order = order[np.argsort(allowed[order], kind="stable")]
-        cuts = np.searchsorted(allowed[order], np.arange(len(steps) + 2))
-        parts = [order[at:min(at + PAIRS_AT_ONCE, end)] for begin, end in zip(cuts[:-1], cuts[1:]) for at in range(begin, end, PAIRS_AT_ONCE)]
-        for part in parts:
-            x, y = first[part], second[part]
-            hit = near_pairs(x, y, int(allowed[part[0]]))
-            for i, j in zip(x[hit].tolist(), y[hit].tolist()):
-                best[j] = min(i, best.get(j, i))
+        # each line's candidates from the earliest on, one, then some, then more of them; those behind a near one are not needed
+        order = np.lexsort((first, second))
+        first, second, allowed = first[order], second[order], allowed[order]
+        turn = np.arange(len(order)) - np.searchsorted(second, second)
+        open_, at, size = np.ones(len(rows["n"]), bool), 0, 1
+        while True:
+            todo = np.flatnonzero((turn >= at) & (turn < at + size) & open_[second])
+            if not len(todo) and not ((turn >= at + size) & open_[second]).any():
+                break
+            todo = todo[np.lexsort((rows["n"][second[todo]], allowed[todo]))]  # pairs of about one length together
+            cuts = np.searchsorted(allowed[todo], np.arange(len(steps) + 2))
+            for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                for k in range(begin, end, PAIRS_AT_ONCE):
+                    part = todo[k:min(k + PAIRS_AT_ONCE, end)]
+                    x, y = first[part], second[part]
+                    hit = near_pairs(x, y, int(allowed[part[0]]))
+                    for i, j in zip(x[hit].tolist(), y[hit].tolist()):
+                        best[j] = min(i, best.get(j, i))
+            open_[list(best)] = False
+            at, size = at + size, 4 * size
         if not best:
             return None
         return pa.RecordBatch.from_arrays(
@@ -388,7 +426,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int, s
     keys = stored(_keys(docs, edits, min_chars, steps), "keys")
     shared = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b"), F.max("indexed").alias("any"))
     shared = stored(shared.where("a != b and any").select("key"), "shared_keys")
-    members = keys.join(shared, "key").groupBy("key", "low").agg(F.max("indexed").alias("indexed"))
+    members = _keys_with(keys, bits_of(shared.select(F.col("key").alias("low")))).join(shared, "key").groupBy("key", "low").agg(F.max("indexed").alias("indexed"))
     members = stored(members, "key_lines")
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
 
