@@ -42,6 +42,7 @@ BLOCK = 512
 CHARS_AT_ONCE = 1 << 20
 FILTER_BITS = 1 << 25
 PAIRS_AT_ONCE = 4096
+FEW_PAIRS = 1 << 16
 FIRST = ("first_id", "first_mark", "first_no")
 SPACE = " \t\r\x0b\x0c"
 STEP = 0x9E3779B97F4A7C15
@@ -108,10 +109,6 @@ def segment_keys(flat: np.ndarray, lengths: np.ndarray, edits_for, kinds: list[i
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(index)
 
 
-def words_in(line: str) -> list[bytes]:
-    return line.encode("utf-8", "surrogatepass").split()
-
-
 def word_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all lines, one behind the other, and how many each line has."""
     raw = np.frombuffer("\n".join([*lines, ""]).encode("utf-8", "surrogatepass"), np.uint8)
@@ -160,8 +157,18 @@ def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
 
 
 def within_symbols(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarray:
-    """Whether the edit distance of each pair of sequences is at most ``edits``: bit-parallel in a band of 2 * edits + 1
-    diagonals, one machine word per pair. Bit 63 of a column's word stands for the row ``edits`` below the diagonal."""
+    """Whether the edit distance of each pair of sequences is at most ``edits``. Pairs of about one length go together."""
+    size = np.frexp([max(len(x), len(y)) for x, y in zip(one, two)])[1]
+    found = np.zeros(len(one), bool)
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        found[at] = banded([one[k] for k in at.tolist()], [two[k] for k in at.tolist()], edits)
+    return found
+
+
+def banded(one: list[np.ndarray], two: list[np.ndarray], edits: int) -> np.ndarray:
+    """The same for sequences of about one length: bit-parallel in a band of 2 * edits + 1 diagonals, one machine word
+    per pair. Bit 63 of a column's word stands for the row ``edits`` below the diagonal."""
     if edits and min(map(len, one)) <= edits:  # a common start changes no distance, and the band begins inside the line
         start = np.full(edits, 32, np.uint32)
         one, two = [np.append(start, x) for x in one], [np.append(start, x) for x in two]
@@ -192,7 +199,7 @@ def within_symbols(one: list[np.ndarray], two: list[np.ndarray], edits: int) ->
         hp, hn = vn | ~(d0 | vp), d0 & vp
         active = j < n
         diagonal = j < turn
-        shift = np.clip(j - turn, 0, 62).astype(u)
+        shift = np.minimum(np.maximum(j - turn, 0), 62).astype(u)
         row = u(1 << 62) >> shift
         along = ((hp & row) != 0).astype(np.int64) - ((hn & row) != 0)
         distance += np.where(active, np.where(diagonal, ((d0 & top) == 0).astype(np.int64), along), 0)
@@ -320,10 +327,11 @@ def _keys_with(keys: DataFrame, bits: bytes) -> DataFrame:
 def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> DataFrame:
     """``low, near_id, near_mark, near_no``: lines with an earlier line within the distance, and where that one is first."""
 
-    def pairs_in(rows: dict, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (earlier, later) of one unit's lines that lengths and roles allow."""
+    def pairs_in(rows: dict, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (earlier, later) of one unit's lines that lengths and roles allow, and whether they may be near by code
+        points."""
         span = np.arange(begin, end)
-        first, second = [], []
+        first, second, chars = [], [], []
         cross = rows["left"][begin] != rows["right"][begin]
         for i in span.tolist():
             later = span[span > i]  # the unit is sorted by first place
@@ -336,31 +344,34 @@ def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> Data
             by_chars = np.abs(rows["n"][later] - rows["n"][i]) <= edits
             apart = rows["letters"][later] - rows["letters"][i]
             by_chars &= np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= edits
-            later = later[by_chars | (by_words & (allowed > 0))]
+            may = by_chars | (by_words & (allowed > 0))
+            later = later[may]
+            chars += by_chars[may].tolist()
             first += [i] * len(later)
             second += later.tolist()
-        return np.array(first, np.int64), np.array(second, np.int64)
+        return np.array(first, np.int64), np.array(second, np.int64), np.array(chars, bool)
 
     def near(table: pa.Table) -> pa.RecordBatch | None:
         lines = table["line"].to_pylist()
         rows = {c: table[c].to_numpy(zero_copy_only=False) for c in ("key", "left", "right", "block", "indexed", "low", "first_mark", "first_no")}
-        words = [words_in(x) for x in lines]
-        rows |= {"n": np.array([len(x) for x in lines], np.int64), "words": np.array([len(w) for w in words], np.int64), "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
+        words, counts = word_hashes(lines)
+        number = np.unique(words, return_inverse=True)[1].astype(np.uint32)
+        ends = np.cumsum(counts).tolist()
+        rows |= {"n": np.array([len(x) for x in lines], np.int64), "words": counts, "letters": letter_counts(lines), "first_id": table["first_id"].to_pylist()}
         new = (np.diff(rows["key"]) != 0) | (np.diff(rows["left"]) != 0) | (np.diff(rows["right"]) != 0)
         bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
         found = [pairs_in(rows, begin, end) for begin, end in zip(bounds[:-1], bounds[1:])]
-        first, second = (np.concatenate(x) for x in zip(*found))
-        number: dict[bytes, int] = {}
+        first, second, chars = (np.concatenate(x) for x in zip(*found))
         allowed = word_edits(np.minimum(rows["words"][first], rows["words"][second]), steps)
 
         def numbers(k: int) -> np.ndarray:
-            return np.array([number.setdefault(w, len(number)) for w in words[k]], np.uint32)
+            return number[ends[k] - counts[k]:ends[k]]
 
-        def near_pairs(x: np.ndarray, y: np.ndarray, may_differ: int) -> np.ndarray:
+        def near_pairs(x: np.ndarray, y: np.ndarray, may_differ: int, by_chars: np.ndarray) -> np.ndarray:
             found = np.zeros(len(x), bool)
             if may_differ:
                 found = within_symbols([numbers(k) for k in x.tolist()], [numbers(k) for k in y.tolist()], may_differ)
-            rest = np.flatnonzero(~found & (np.abs(rows["n"][x] - rows["n"][y]) <= edits))
+            rest = np.flatnonzero(~found & by_chars)
             if len(rest):
                 found[rest] = within([lines[k] for k in x[rest].tolist()], [lines[k] for k in y[rest].tolist()], edits)
             return found
@@ -368,20 +379,24 @@ def _near_in_units(units: DataFrame, edits: int, steps: tuple[int, ...]) -> Data
         best: dict[int, int] = {}
         # each line's candidates from the earliest on, one, then some, then more of them; those behind a near one are not needed
         order = np.lexsort((first, second))
-        first, second, allowed = first[order], second[order], allowed[order]
+        first, second, allowed, chars = first[order], second[order], allowed[order], chars[order]
         turn = np.arange(len(order)) - np.searchsorted(second, second)
         open_, at, size = np.ones(len(rows["n"]), bool), 0, 1
         while True:
-            todo = np.flatnonzero((turn >= at) & (turn < at + size) & open_[second])
-            if not len(todo) and not ((turn >= at + size) & open_[second]).any():
+            todo = np.flatnonzero((turn >= at) & open_[second])
+            if not len(todo):
                 break
+            if len(todo) > FEW_PAIRS:
+                todo = todo[turn[todo] < at + size]
+            else:
+                size = int(turn.max()) + 1
             todo = todo[np.lexsort((rows["n"][second[todo]], allowed[todo]))]  # pairs of about one length together
             cuts = np.searchsorted(allowed[todo], np.arange(len(steps) + 2))
             for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 for k in range(begin, end, PAIRS_AT_ONCE):
                     part = todo[k:min(k + PAIRS_AT_ONCE, end)]
                     x, y = first[part], second[part]
-                    hit = near_pairs(x, y, int(allowed[part[0]]))
+                    hit = near_pairs(x, y, int(allowed[part[0]]), chars[part])
                     for i, j in zip(x[hit].tolist(), y[hit].tolist()):
                         best[j] = min(i, best.get(j, i))
             open_[list(best)] = False
@@ -423,7 +438,7 @@ def _at_first() -> Column:
 def near_lines(docs: DataFrame, firsts: DataFrame, edits: int, min_chars: int, steps: tuple[int, ...] = WORD_STEPS) -> DataFrame:
     """``high, low`` of the lines with an earlier line that is near, and that line's first place. ``docs`` has
     ``doc_id, text_mark, text``; ``firsts`` has each line's hash and first place."""
-    keys = stored(_keys(docs, edits, min_chars, steps), "keys")
+    keys = stored(_keys(docs, edits, min_chars, steps), "keys", packed=False)
     shared = keys.groupBy("key").agg(F.min("low").alias("a"), F.max("low").alias("b"), F.max("indexed").alias("any"))
     shared = stored(shared.where("a != b and any").select("key"), "shared_keys")
     members = _keys_with(keys, bits_of(shared.select(F.col("key").alias("low")))).join(shared, "key").groupBy("key", "low").agg(F.max("indexed").alias("indexed"))

@@ -27,7 +27,7 @@ ROWS_PER_FILE = 100_000
 LEAST_FILES = 8
 
 
-def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None, packed: bool = True) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, and lost executors lose nothing.
 
     ``rows``, where it is known what they are at most, keeps narrow tables from being written in very many small
@@ -36,7 +36,8 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     if rows is not None:
         df = df.coalesce(max(LEAST_FILES, -(-rows // ROWS_PER_FILE)))
-    df.write.parquet(path)
+    plain = {} if packed else {"compression": "none", "parquet.enable.dictionary": "false"}
+    df.write.options(**plain).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

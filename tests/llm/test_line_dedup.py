@@ -151,6 +151,7 @@ def test_steps_leave_room(frame):
 def test_blocks(frame, texts, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 3)
     monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 5)
+    monkeypatch.setattr(line_dedup, "FEW_PAIRS", 10)
     monkeypatch.setattr(line_dedup, "CHARS_AT_ONCE", 100)
     assert result(line_dedup.dedup_lines(frame(texts), 1, 8)) == brute(texts, 1, 8)
 
