@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.store import stored, text_or_empty
+from panelspark.llm.store import free_names, stored, text_or_empty
 
 
 def ascii_lower(text: Column) -> Column:
@@ -66,6 +66,10 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns. Rows of one id, and rows without id, are told apart by
+    a hash of their texts."""
+    own_id, own_mark = free_names(docs, "_kept_id", "_mark")
+    kept = exact_groups(docs, id_col, text_col, keep).where("kept")
+    kept = kept.select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_mark)).distinct()
+    mark = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col(own_id)) & (mark == F.col(own_mark)), "left_semi")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.store import stored, text_or_empty
+from panelspark.llm.store import free_names, stored, text_or_empty
 from panelspark.llm.worker import kept
 
 EDITS = 1
@@ -486,37 +486,38 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     """``docs`` with ``text_col`` rid of the lines that go, and with ``counts`` also ``n_copy_lines, n_near_lines``
     (lines that go because an equal one, or else a near one, is earlier) in place of columns of these names. A null
     text stays null."""
+    own_id, own_mark, gone_nos, row_no = free_names(docs, "_id", "_mark", "_gone", "_row")
     verdicts = line_verdicts(docs, edits, min_chars, id_col, text_col, steps).where("copy or near")
     line_no = F.col("line_no").cast("int")
     # sets, as rows of one id and text give each verdict more than once
-    gone = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).agg(
-        F.collect_set(line_no).alias("_gone"), F.size(F.collect_set(F.when(F.col("copy"), line_no))).cast("long").alias("n_copy_lines"))
-    gone = gone.withColumn("n_near_lines", F.size("_gone") - F.col("n_copy_lines"))
+    gone = verdicts.groupBy(F.col("doc_id").alias(own_id), F.col("text_mark").alias(own_mark)).agg(
+        F.collect_set(line_no).alias(gone_nos), F.size(F.collect_set(F.when(F.col("copy"), line_no))).cast("long").alias("n_copy_lines"))
+    gone = gone.withColumn("n_near_lines", F.size(gone_nos) - F.col("n_copy_lines"))
     added = ["n_copy_lines", "n_near_lines"] if counts else []
     names = [c for c in docs.columns if c.lower() not in added]
-    gone = gone.select("_id", "_mark", "_gone", *added)
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_mark"))
+    gone = gone.select(own_id, own_mark, gone_nos, *added)
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_or_empty(text_col)) == F.col(own_mark))
     lines = F.split(F.col(text_col), "\n")
 
     def kept_of(rows: DataFrame) -> DataFrame:
         # what goes grows with the corpus, so the same join is asked for at every size
         rows = rows.select(*names).join(gone.hint("merge"), same, "left")
-        kept = F.filter(lines, lambda line, k: ~F.array_contains(F.col("_gone"), k))
-        text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+        kept = F.filter(lines, lambda line, k: ~F.array_contains(F.col(gone_nos), k))
+        text = F.when(F.col(gone_nos).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
         return rows.withColumn(text_col, text).select(*names, *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in added))
 
-    repeated = _texts(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).count()
-    repeated = stored(repeated.where("count > 1").select("_id", "_mark"), "repeated")
+    repeated = _texts(docs, id_col, text_col).groupBy(F.col("doc_id").alias(own_id), F.col("text_mark").alias(own_mark)).count()
+    repeated = stored(repeated.where("count > 1").select(own_id, own_mark), "repeated")
     if repeated.isEmpty():
         return kept_of(docs)
-    numbered = docs.join(repeated, same, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+    numbered = docs.join(repeated, same, "left_semi").withColumn(row_no, F.monotonically_increasing_id())
     numbered = stored(numbered, "repeated_rows")
-    firsts = numbered.groupBy(F.col(id_col), F.xxhash64(text_or_empty(text_col))).agg(F.min("_row").alias("_row")).select("_row")
-    later = numbered.join(firsts, "_row", "left_anti").select(*names)
+    firsts = numbered.groupBy(F.col(id_col), F.xxhash64(text_or_empty(text_col))).agg(F.min(row_no).alias(row_no)).select(row_no)
+    later = numbered.join(firsts, row_no, "left_anti").select(*names)
     short = F.filter(lines, lambda line: F.char_length(F.btrim(line, F.lit(SPACE))) < min_chars)
     n_copies = F.coalesce(F.size(lines) - F.size(short), F.lit(0)).cast("long")
     found = {"n_copy_lines": n_copies, "n_near_lines": F.lit(0).cast("long")}
     later = later.select(
         *(F.array_join(short, "\n").alias(c) if c == text_col else F.col(c) for c in names), *(found[c].alias(c) for c in added))
-    single = docs.join(repeated, same, "left_anti").unionByName(numbered.join(firsts, "_row", "left_semi").drop("_row"))
+    single = docs.join(repeated, same, "left_anti").unionByName(numbered.join(firsts, row_no, "left_semi").drop(row_no))
     return kept_of(single).unionByName(later)

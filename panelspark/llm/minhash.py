@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.components import components
-from panelspark.llm.store import stored, text_or_empty
+from panelspark.llm.store import free_names, stored, text_or_empty
 from panelspark.llm.worker import kept
 
 HASHES = 160
@@ -313,6 +313,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_
     """The rows of ``docs`` that stay, one document of each component, with all their columns. Rows of one id, and
     rows without id, are told apart by a hash of their texts."""
     gone = _judged(docs, width, percent, id_col, text_col).where(~F.col("kept"))
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_mark").alias("_mark")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_gone")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_mark"))
+    own_id, own_mark = free_names(docs, "_gone", "_mark")
+    gone = gone.select(F.col("doc_id").alias(own_id), F.col("text_mark").alias(own_mark)).distinct()
+    same = docs[id_col].eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col(own_mark))
     return docs.join(gone, same, "left_anti")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.store import let, stored, text_or_empty
+from panelspark.llm.store import free_names, let, stored, text_or_empty
 
 # The kinds in their order, and the base pattern of each. Repeats are possessive and begin at the
 # first character that can begin them (or at the end of the last match), which finds the same spans in linear time.
@@ -211,7 +211,8 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spans = spans_of(docs, id_col, text_col).where(F.size("base") + F.size("added") > 0).dropDuplicates(["doc_id", "text_mark"])
     ordered = F.sort_array(F.transform(all_spans(), lambda s: F.struct(
         s["start"].alias("start"), (-s["stop"]).alias("order"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark"), ordered.alias("_spans"))
+    own_id, own_mark, found = free_names(docs, "_id", "_mark", "_spans")
+    spans = spans.select(F.col("doc_id").alias(own_id), F.col("text_mark").alias(own_mark), ordered.alias(found))
     text = F.col(text_col)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
 
@@ -222,6 +223,6 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return F.struct(F.greatest(done["at"], s["stop"]).alias("at"), F.when(inside, done["text"]).otherwise(named).alias("text"))
 
     rest = lambda done: F.concat(done["text"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text)))
-    masked = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, rest))
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_mark"))
+    masked = F.when(F.col(found).isNull(), text).otherwise(F.aggregate(found, start, step, rest))
+    same = docs[id_col].eqNullSafe(F.col(own_id)) & (F.xxhash64(text_or_empty(text_col)) == F.col(own_mark))
     return docs.join(spans, same, "left").withColumn(text_col, masked).select(*docs.columns)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.store import let, stored, text_or_empty
+from panelspark.llm.store import free_names, let, stored, text_or_empty
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -225,6 +225,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     their texts."""
     stats = stored(statistics(docs, id_col, text_col), "statistics")
     good = judge(stats, learn_rules(stats, labels, id_col, label_col)).where("kept")
-    good = good.select(F.col("doc_id").alias("_good"), F.col("text_mark").alias("_mark")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_good")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_mark"))
+    own_id, own_mark = free_names(docs, "_good", "_mark")
+    good = good.select(F.col("doc_id").alias(own_id), F.col("text_mark").alias(own_mark)).distinct()
+    same = docs[id_col].eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col(own_mark))
     return docs.join(good, same, "left_semi")

@@ -56,6 +56,17 @@ def offsets(blocks: DataFrame, block: str, amount: str, out: str, span: int = 10
     return rows.join(groups, "_group").select(block, (F.col("_before") + F.col("_inside")).cast("long").alias(out))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
