@@ -214,7 +214,11 @@ def key_text(keys: Sequence[str]) -> Column:
 BEYOND_LAST = (1 << HASH_BITS, "")
 
 
-def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratum: str,
+ROWS_PER_BUCKET = 50_000
+LEAST_BITS, MOST_BITS = 6, 24
+
+
+def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratum: str, rows: int | None = None,
               bucket_bits: int = 14) -> dict:
     """{stratum: [(hash, key text) …]}: the keys at the given 1-based ranks in hash order.
 
@@ -222,9 +226,12 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], seed: int, ranks: dict, stratu
     the last row a cut that all rows are before. Rows of one key stay together.
 
     Pass one counts rows per stratum and leading hash bits; pass two orders the keys of just the
-    buckets a rank falls into, a share of 2^-bucket_bits each. Only the cuts reach the driver,
-    and the caller's wide rows are never shuffled.
+    buckets a rank falls into. The bits follow ``rows``, where the rows of the largest stratum are
+    known, so that a bucket has about ``ROWS_PER_BUCKET`` keys. Only the cuts reach the driver, and the caller's wide
+    rows are never shuffled.
     """
+    if rows is not None:
+        bucket_bits = min(MOST_BITS, max(LEAST_BITS, (rows // ROWS_PER_BUCKET).bit_length()))
     narrow = df.select(
         F.col(stratum).alias("name"), row_hash(keys, seed).alias("hash"), key_text(keys).alias("key")
     ).withColumn("bucket", F.shiftright("hash", HASH_BITS - bucket_bits))

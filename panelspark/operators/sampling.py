@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.hashing import row_uniform
+from panelspark.operators import strata
 from panelspark.operators.ranking import POSITION, at_or_before, hash_cuts, with_position
 
+#: up to so many strata the cuts are part of the plan, for more they are a table; the rows are the same
 MAX_STRATA = 1000
 
 
@@ -36,14 +38,6 @@ def class_counts(df: DataFrame, label_col: str) -> dict:
     return counts
 
 
-def _ranked(df: DataFrame, label_col: str, keys: Sequence[str], seed: int) -> DataFrame:
-    """For any number of strata: each row's rank in the hash order of its stratum, and the stratum's rows. Rows of
-    one key have one rank."""
-    whole = Window.partitionBy(label_col)
-    placed = with_position(df, keys, seed)
-    return placed.withColumns({"_rank": F.rank().over(whole.orderBy(*POSITION)), "_n": F.count(F.lit(1)).over(whole)})
-
-
 def class_balance(df: DataFrame, label_col: str) -> DataFrame:
     """(label, n, share) per class, as a table."""
     counted = class_count_table(df, label_col)
@@ -84,7 +78,8 @@ def under_sample(df: DataFrame, label_col: str, keys: Sequence[str], ratio: floa
             f"minority / majority is {counts[minority] / counts[majority]:.3f} already; "
             f"a ratio of {ratio} cannot be reached by dropping majority rows"
         )
-    cut = hash_cuts(df.filter(F.col(label_col) == F.lit(majority)), keys, seed, {majority: [wanted]}, label_col)
+    cut = hash_cuts(
+        df.filter(F.col(label_col) == F.lit(majority)), keys, seed, {majority: [wanted]}, label_col, counts[majority])
     chosen = (F.col(label_col) == F.lit(majority)) & at_or_before(cut[majority][0])
     placed = with_position(df, keys, seed)
     return placed.filter((F.col(label_col) == F.lit(minority)) | chosen).drop(*POSITION)
@@ -121,7 +116,7 @@ def stratified_split(df: DataFrame, label_col: str, keys: Sequence[str], share:
         return _split_many(df, label_col, keys, share, seed, names, out_col)
     total = -(-sum(counts.values()) * share // 1)
     sizes = largest_remainder(counts, int(total))
-    cuts = hash_cuts(df, keys, seed, {c: [size] for c, size in sizes.items()}, label_col)
+    cuts = hash_cuts(df, keys, seed, {c: [size] for c, size in sizes.items()}, label_col, max(counts.values(), default=0))
     chosen = _per_class(label_col, {c: at_or_before(cuts[c][0]) for c in counts})
     part = F.when(chosen, names[1]).when(F.col(label_col).isNotNull(), names[0])
     return with_position(df, keys, seed).withColumn(out_col, part).drop(*POSITION)
@@ -136,11 +131,11 @@ def _split_many(df: DataFrame, label_col: str, keys: Sequence[str], share: float
     quota = F.lit(float(total)) * F.col("n") / F.lit(float(n_rows))
     parts = counts.withColumns({"_quota": quota, "_part": F.floor(quota)})
     left = total - parts.agg(F.sum("_part")).first()[0]
-    order = Window.orderBy(F.col("_part") - F.col("_quota"), F.col(label_col).cast("string"))
-    sizes = parts.withColumn("_size", F.col("_part") + (F.row_number().over(order) <= left).cast("long"))
-    placed = _ranked(df, label_col, keys, seed).join(sizes.select(label_col, "_size"), label_col, "left")
-    part = F.when(F.col("_rank") <= F.col("_size"), names[1]).when(F.col(label_col).isNotNull(), names[0])
-    return placed.select(*df.columns, part.alias(out_col))
+    order = [F.col("_part") - F.col("_quota"), F.col(label_col).cast("string")]
+    sizes = strata.numbered(parts, order, "_place").withColumn("_size", F.col("_part") + (F.col("_place") < left).cast("long"))
+    number = strata.interval_numbers(df, label_col, keys, seed, sizes.select(label_col, F.array("_size").alias("ends")), "_part")
+    part = F.when(F.col("_part") == 0, names[1]).when(F.col("_part") == 1, names[0])
+    return number.withColumn(out_col, part).drop("_part")
 
 
 def fold_ends(n: int, k: int) -> list[int]:
@@ -158,12 +153,11 @@ def stratified_folds(df: DataFrame, label_col: str, keys: Sequence[str], k: int
     """Fold number 0 … k-1 per row; every fold holds each class to within one row."""
     counts = few_class_counts(df, label_col)
     if counts is None:
-        size, extra = F.floor(F.col("_n") / k), F.col("_n") % k
-        ends = [size * (i + 1) + F.least(F.lit(i + 1), extra) for i in range(k - 1)]
-        number = sum(((F.col("_rank") > end).cast("int") for end in ends), F.lit(0))
-        number = F.when(F.col(label_col).isNotNull(), number)
-        return _ranked(df, label_col, keys, seed).select(*df.columns, number.alias(out_col))
-    cuts = hash_cuts(df, keys, seed, {c: fold_ends(n, k) for c, n in counts.items()}, label_col)
+        size, extra = F.floor(F.col("n") / k), F.col("n") % k
+        ends = F.array(*[(size * (i + 1) + F.least(F.lit(i + 1), extra)).cast("long") for i in range(k - 1)]).cast("array<long>")
+        sizes = class_count_table(df, label_col).select(label_col, ends.alias("ends"))
+        return strata.interval_numbers(df, label_col, keys, seed, sizes, out_col)
+    cuts = hash_cuts(df, keys, seed, {c: fold_ends(n, k) for c, n in counts.items()}, label_col, max(counts.values(), default=0))
 
     def fold(label) -> Column:
         after = [F.when(at_or_before(cut), 0).otherwise(1) for cut in cuts[label]]
@@ -178,11 +172,13 @@ def nested_samples(df: DataFrame, label_col: str, keys: Sequence[str], shares: S
     """The smallest of the ascending ``shares`` whose sample holds the row; samples are nested."""
     counts = few_class_counts(df, label_col)
     if counts is None:
-        held = [F.when(F.col("_rank") <= F.rint(F.lit(float(s)) * F.col("_n")), F.lit(float(s))) for s in shares]
-        smallest = F.when(F.col(label_col).isNotNull(), F.coalesce(*held))
-        return _ranked(df, label_col, keys, seed).select(*df.columns, smallest.alias(out_col))
+        ends = F.array(*[F.rint(F.lit(float(s)) * F.col("n")).cast("long") for s in shares])
+        sizes = class_count_table(df, label_col).select(label_col, ends.alias("ends"))
+        numbered = strata.interval_numbers(df, label_col, keys, seed, sizes, "_share")
+        listed = F.array(*[F.lit(float(s)) for s in shares])
+        return numbered.withColumn(out_col, F.get(listed, F.col("_share"))).drop("_share")
     ends = {c: [int(round(s * n)) for s in shares] for c, n in counts.items()}
-    cuts = hash_cuts(df, keys, seed, ends, label_col)
+    cuts = hash_cuts(df, keys, seed, ends, label_col, max(counts.values(), default=0))
 
     def first(label) -> Column:
         expr = F.lit(None).cast("double")

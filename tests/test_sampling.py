@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelspark.operators import sampling
+from panelspark.operators import sampling, strata
+from panelspark.operators.ranking import with_position
 
 
 @pytest.fixture
@@ -92,3 +93,42 @@ def test_many_strata_are_sampled_alike(spark, monkeypatch, sample):
     many = sample(df)
     assert few.columns == many.columns and few.dtypes == many.dtypes
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+def by_hand(df, ends):
+    """Per row the number of its stratum's ranks that it is behind, in hash order; rows of one key have one rank."""
+    rows = with_position(df, ["k"], 3).collect()
+    out = []
+    for r in rows:
+        before = sum(o["y"] == r["y"] and (o["_hash"], o["_hash_key"]) < (r["_hash"], r["_hash_key"]) for o in rows)
+        out.append((r["k"], r["y"], None if r["y"] is None else sum(before + 1 > end for end in ends[r["y"]])))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("level_bits, sorted_rows", [(12, 100_000), (4, 5), (12, 1)])
+def test_cuts_of_strata_of_any_size(spark, monkeypatch, level_bits, sorted_rows):
+    """A third of the rows in one stratum, a key of many rows, rows without stratum; ranks below the first row and
+    behind the last, and none at all. Ranges are divided anew until few rows are left in them."""
+    monkeypatch.setattr(strata, "LEVEL_BITS", level_bits)
+    monkeypatch.setattr(strata, "SORTED_ROWS", sorted_rows)
+    df = spark.range(900).selectExpr("CASE WHEN id % 9 = 0 THEN -1 ELSE id END AS k", "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 50 > 0 THEN id % 40 END AS y")
+    names = [r[0] for r in df.where("y IS NOT NULL").select("y").distinct().collect()]
+    ends = {y: [] if y == 7 else sorted([0, 1 + y % 4, 90 + y, 5000]) for y in names}
+    table = spark.createDataFrame(list(ends.items()), "y long, ends array<long>")
+    out = strata.interval_numbers(df, "y", ["k"], 3, table, "part")
+    assert sorted(((r["k"], r["y"], r["part"]) for r in out.collect()), key=str) == by_hand(df, ends)
+
+
+def test_one_fold_and_empty_tables_of_many_strata(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MAX_STRATA", 0)
+    df = spark.range(30).selectExpr("id AS k", "id % 7 AS y")
+    assert {r["fold"] for r in sampling.stratified_folds(df, "y", ["k"], 1).collect()} == {0}
+    strange = spark.createDataFrame([], "k long, y long")
+    table = spark.createDataFrame([], "y long, ends array<long>")
+    assert strata.interval_numbers(strange, "y", ["k"], 3, table, "part").collect() == []
+
+
+def test_row_numbers_in_order(spark):
+    df = spark.range(500).selectExpr("id % 90 AS a", "id AS b").repartition(7)
+    out = strata.numbered(df, [F.col("a").desc(), F.col("b")], "place").collect()
+    assert [r["place"] for r in sorted(out, key=lambda r: (-r["a"], r["b"]))] == list(range(500))
