@@ -3,10 +3,12 @@
 Base spans come from regular expressions and checks per kind (``KINDS``). They are the seeds: the word before a seed
 is a lexical pattern, alone and with the word after it. The same patterns are read off all other tokens with a digit
 or an at sign, which are the candidates. Patterns and instances make a graph whose edges are counted over all
-documents; in each round a pattern scores the mean of its instances' scores (of any kind, so that mixed contexts stay
-low), and an instance the chance that not all of its patterns are wrong. A candidate that looks like a kind but fails
-its check is a known negative of that kind alone, and a number one of ``email``. Other candidates that a high-confidence pattern finds with a high score are
-added as spans of that kind; base spans always stay.
+documents. In each round a pattern with ``MIN_SEEDS`` instances of a kind, seeds or accepted ones, scores their share
+of all its instances (of any kind, so that mixed contexts stay low), and an instance the chance that not all of its
+patterns of ``WEAK`` confidence or more are wrong; with ``MIN_CONFIDENCE`` it is accepted and supports patterns in the
+next round, also such as have no seed. A candidate that looks like a kind but fails its check is a known negative of
+that kind alone, and a number one of ``email``. Accepted candidates are added as spans where a pattern of
+``MIN_CONFIDENCE`` finds them; base spans always stay.
 
 Spans count in code points and their end is exclusive. A null text is empty. Rows of one id and text get the same
 spans; null ids are ordinary. An empty table gives an empty result. Other columns are left as they are.
@@ -33,7 +35,7 @@ BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 SPACE = r"[\x20\x09-\x0D]+"
 CONTEXT_CHARS = 64
-ROUNDS = 3
+WEAK = 0.5
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 SPAN = "array<struct<start:long,stop:long,match:string>>"
@@ -152,28 +154,35 @@ def found_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.select("doc_id", F.xxhash64("text").alias("text_mark"), both.alias("both")).select("doc_id", "text_mark", "both.spans", "both.others")
 
 
-def learn(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
-    """Scored patterns ``pattern, kind, confidence`` and instances ``instance, kind, score``, both above the limit."""
+def learn(found: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Scored patterns ``pattern, kind, confidence`` and instances ``instance, kind, score``, both above the limit.
+
+    What is accepted only grows, as do the scores that follow from it, so the rounds end with the first one that adds
+    nothing; a chain of contexts takes a round per link.
+    """
     seen = found.select(F.explode(F.concat("spans", "others")).alias("s")).select(
         "s.kind", "s.instance", F.explode("s.patterns").alias("pattern"))
     n = found.agg(F.coalesce(F.sum(F.size("spans") + F.size("others")), F.lit(0))).first()[0]
     edges = stored(seen.groupBy("pattern", "instance").agg(F.max(F.col("kind").isNotNull()).alias("seed")), "edges", 2 * n)
-    seeds = stored(seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds", n)
-    sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if("seed").alias("n_seeds"))
-                   .where(F.col("n_seeds") >= min_seeds), "sizes", n)
-    # only patterns that could be trusted take part, and their instances
+    seeds = seen.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
+    seeds = stored(seeds, "seeds", n)
+    # a pattern of fewer instances can never have the support, whatever is accepted
+    sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_seeds), "sizes", n)
     edges = edges.join(sizes, "pattern", "left_semi").withColumn("refuted", refuted(F.col("instance")))
     edges = stored(edges, "edges_in_use", 2 * n)
-    scores = seeds
-    for _ in range(rounds):
-        hits = edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("hits"))
-        patterns = hits.join(sizes, "pattern").select("pattern", "kind", F.round(F.col("hits") / (F.col("n") + 1), 6).alias("confidence"))
-        patterns = stored(patterns, "patterns", n)
+    accepted, known = seeds, seeds.count()
+    while True:
+        hits = edges.join(accepted.select("instance", "kind"), "instance").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("hits"))
+        patterns = hits.where(F.col("hits") >= min_seeds).join(sizes, "pattern")
+        patterns = patterns.select("pattern", "kind", F.round(F.col("hits") / (F.col("n") + 1), 6).alias("confidence"))
+        patterns = stored(patterns.where(F.col("confidence") >= WEAK), "patterns", n)
         wrong = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        found_by = edges.where("not seed").join(patterns.where("confidence >= 0.5"), "pattern")
-        found_by = found_by.where("not array_contains(refuted, kind)").groupBy("instance", "kind")
-        scores = stored(seeds.unionByName(found_by.agg(F.round(1 - F.exp(wrong), 6).alias("score"))), "scores", n)
-    return patterns.where(F.col("confidence") >= min_confidence), scores.where(F.col("score") >= min_confidence)
+        found_by = edges.where("not seed").join(patterns, "pattern").where("not array_contains(refuted, kind)")
+        scores = found_by.groupBy("instance", "kind").agg(F.round(1 - F.exp(wrong), 6).alias("score"))
+        accepted = stored(seeds.unionByName(scores.where(F.col("score") >= min_confidence)), "accepted", n)
+        before, known = known, accepted.count()
+        if known == before:
+            return patterns.where(F.col("confidence") >= min_confidence), accepted
 
 
 def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -122,3 +122,66 @@ def test_empty_table(frame):
 def test_no_python_on_the_executors(frame):
     plan = pii.found_in(frame(HARD))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def brute_graph(found):
+    """The scores of the pattern graph in plain dictionaries, round by round until nothing is added."""
+    patterns, seeds = {}, set()
+    for row in found.collect():
+        for s in [*row["spans"], *row["others"]]:
+            for p in s["patterns"]:
+                patterns.setdefault(p, set()).add(s["instance"])
+                if s["kind"]:
+                    seeds.add((s["instance"], s["kind"]))
+    names = [r for r, _ in seeds]
+    wrong = {i: set() for own in patterns.values() for i in own}
+    for i, kinds in found.sparkSession.createDataFrame([(i,) for i in wrong], "i string").select("i", pii.refuted(pii.F.col("i"))).collect():
+        wrong[i] = set(kinds)
+    accepted, rounds = {s: 1.0 for s in seeds}, 0
+    while True:
+        rounds += 1
+        trusted = {}
+        for p, own in patterns.items():
+            for kind in pii.KINDS:
+                hits = sum((i, kind) in accepted for i in own)
+                if hits >= pii.MIN_SEEDS and hits / (len(own) + 1) >= pii.WEAK:
+                    trusted[p, kind] = hits / (len(own) + 1)
+        left = {}
+        for (p, kind), confidence in trusted.items():
+            for i in patterns[p]:
+                if i not in names and kind not in wrong[i]:
+                    left[i, kind] = left.get((i, kind), 1.0) * (1 - confidence)
+        now = {s: 1.0 for s in seeds} | {k: 1 - v for k, v in left.items() if 1 - v >= pii.MIN_CONFIDENCE}
+        if len(now) == len(accepted):
+            return {k: v for k, v in trusted.items() if v >= pii.MIN_CONFIDENCE}, now, rounds
+        accepted = now
+
+
+def chain():
+    """Seeds tell the first context, its unseen addresses the second, and those found there the third."""
+    rows = [(k, f"send mail: u{k}@h{k}.example.org soon") for k in range(170)]
+    rows += [(200 + k, f"send mail: first{k}@local soon") for k in range(40)]
+    rows += [(250 + k, f"then contact: first{k}@local twice") for k in range(40)] + [(300 + k, f"then contact: second{k}@local twice") for k in range(6)]
+    rows += [(400 + k, f"or reach: first{k}@local again") for k in range(5)] + [(410 + k, f"or reach: second{k}@local again") for k in range(6)]
+    rows += [(420, "or reach: third@local again")]
+    return rows + [(500 + k, f"it cost: {k}x or so") for k in range(20)] + [(530, "it cost: first1@local or so")]
+
+
+def test_what_is_found_finds_more(frame):
+    found = pii.found_in(frame(chain()))
+    want_patterns, want, rounds = brute_graph(found)
+    patterns, instances = pii.learn(found)
+    assert {(r["instance"], r["kind"]): r["score"] for r in instances.collect()} == pytest.approx(want, abs=1e-5)
+    assert {(r["pattern"], r["kind"]): r["confidence"] for r in patterns.collect()} == pytest.approx(want_patterns, abs=1e-5)
+    assert rounds == 4 and ("third@local", "email") in want and ("reach:", "email") in want_patterns
+    every = {i: e for i, _, e in listed(pii.spans_of(frame(chain())))}
+    assert every[300] == "email:14:27" and every[420] == "email:10:21"
+    assert every[500] == every[530] == ""
+
+
+def test_graph_of_documents(frame, documents):
+    found = pii.found_in(frame(documents))
+    want_patterns, want, _ = brute_graph(found)
+    patterns, instances = pii.learn(found)
+    assert {(r["instance"], r["kind"]): r["score"] for r in instances.collect()} == pytest.approx(want, abs=1e-5)
+    assert {(r["pattern"], r["kind"]): r["confidence"] for r in patterns.collect()} == pytest.approx(want_patterns, abs=1e-5)
