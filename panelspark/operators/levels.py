@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators.joins import find_hot, keyed_join
+
 OTHERS = "Others"
 MAX_LITERAL_LEVELS = 1000
+HOT_ROWS = 100_000
 
 
 def level_shares(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -58,8 +61,11 @@ def lump_levels(df: DataFrame, levels: dict[str, list] | DataFrame, cols: Sequen
         return df.withColumns({c: lumped(c) for c in cols})
     order = df.columns
     for c in cols:
-        kept = levels.filter(F.col("column_name") == c).select(F.col("level").alias("_kept"))
-        df = df.join(kept, F.col(c) == F.col("_kept"), "left").withColumn(
+        kept = levels.filter(F.col("column_name") == c).select(F.col("level").alias("_level"), F.lit(True).alias("_kept"))
+        keyed = df.withColumn("_level", F.col(c).cast("string"))
+        # what is looked up is frequent, so the levels of many rows, and rows without one, are salted
+        hot = find_hot(keyed, ["_level"], min_rows=HOT_ROWS)
+        df = keyed_join(keyed, [(kept, "left")], ["_level"], hot).withColumn(
             c, F.when(F.col(c).isNotNull() & F.col("_kept").isNull(), F.lit(other)).otherwise(F.col(c))
         ).select(*order)
     return df

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.functions import features as rules
 from panelspark.operators import levels, member_features as mf
@@ -114,3 +115,16 @@ def test_rare_levels_as_table_and_frozen(spark):
     new = spark.createDataFrame([("A",), ("Z",), (None,)], "c string")
     assert values(levels.combine_rare_levels(new, ["c"], 15.0, fit_on=df), "c") == ["A", "Others", None]
     assert isinstance(levels.fit_levels(df, ["c"], 0.01), type(df))
+
+
+def test_frequent_levels_are_salted(spark, monkeypatch):
+    """One level and the missing ones hold a third of the rows each; repeated rows keep their number."""
+    monkeypatch.setattr(levels, "HOT_ROWS", 10)
+    df = spark.range(900).selectExpr("CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN CAST(sqrt(id % 150) AS INT) + 100 END AS c", "id % 5 AS other")
+    kept = levels.frequent_levels(df, ["c"], 1.0)
+    text = df.withColumn("c", F.col("c").cast("string"))
+    counts = df.groupBy("c").count().collect()
+    frequent = {str(r["c"]) for r in counts if r["c"] is not None and 100.0 * r["count"] / 900 >= 1.0}
+    found = levels.lump_levels(text, kept, ["c"])
+    want = [(c if c is None or c in frequent else "Others", o) for c, o in text.collect()]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str) and 1 < len(frequent) < len(counts) - 1
