@@ -11,10 +11,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable,
@@ -98,6 +100,40 @@ def numbered_levels(counts: DataFrame) -> DataFrame:
     return checkpointed(found.select("column_name", "level", "n", (F.col("_before") + F.col("_id") - F.col("_first")).alias("position")))
 
 
+def _sparse_vectors(numbers: Sequence[Column], places: Sequence[Column], width: int) -> Column:
+    """Vectors of ``width``: the numbers from place 0 on, and a 1 in each of ``places``, in rising order; NULL is no place.
+
+    Only what is not 0 is stored, or all of a vector where that is shorter.
+    """
+
+    n_numbers = len(numbers)
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(*columns: pa.Array) -> pa.Array:
+        rows = len(columns[0])
+        at = np.stack([np.full(rows, i) if i < n_numbers else c.fill_null(-1).to_numpy(zero_copy_only=False)
+                       for i, c in enumerate(columns)], axis=1)
+        values = np.stack([c.to_numpy(zero_copy_only=False) if i < n_numbers else c.is_valid().to_numpy(zero_copy_only=False)
+                           for i, c in enumerate(columns)], axis=1).astype(np.float64)
+        kept = values != 0
+        stored = kept.sum(1)
+        dense = 1.5 * (stored + 1.0) >= width
+        ends = np.concatenate([[0], np.cumsum(np.where(dense, width, stored))])
+        row, col = np.nonzero(kept)
+        data = np.zeros(ends[-1])
+        data[ends[row] + np.where(dense[row], at[row, col], kept.cumsum(1)[row, col] - 1)] = values[row, col]
+        index_ends = np.concatenate([[0], np.cumsum(np.where(dense, 0, stored))])
+        indices = at[row, col][~dense[row]].astype(np.int32)
+        return pa.StructArray.from_arrays([
+            pa.array(dense.astype(np.int8)),
+            pa.array(np.full(rows, width, dtype=np.int32), mask=dense),
+            pa.ListArray.from_arrays(pa.array(index_ends.astype(np.int32)), pa.array(indices), mask=pa.array(dense)),
+            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(data)),
+        ], names=["type", "size", "indices", "values"])
+
+    return vectors(*numbers, *places)
+
+
 class _PreprocessorParams(Params):
     numeric = Param(Params._dummy(), "numeric", "numeric columns", TypeConverters.toListString)
     categorical = Param(Params._dummy(), "categorical", "text columns", TypeConverters.toListString)
@@ -272,23 +308,23 @@ class PanelPreprocessorModel(Model, _PreprocessorParams, MLReadable, MLWritable)
         return self._looked_up(df).withColumn(name, vector_to_array(self.getOrDefault("outputCol")))
 
     def _looked_up(self, df: DataFrame) -> DataFrame:
-        """Sparse vectors: the numeric columns, then one place per level of each column."""
+        """Sparse vectors: the numeric columns, then one place per level of each column.
+
+        They carry no attributes, of which there would be one per level on the driver; ``feature_table`` has the names.
+        """
         listed, names, out = self.values, df.columns, self.getOrDefault("outputCol")
         places, used = [], {c: n for c, n in listed["sizes"].items() if n}
-        for i, (c, n) in enumerate(used.items()):
+        for i, c in enumerate(used):
             level, place = f"_level{i}", f"_place{i}"
             v = listed["categorical"][c]
             table = self.level_table.filter(F.col("column_name") == c).select(
-                F.col("level").alias(level), F.col("position").cast("double").alias(place))
+                F.col("level").alias(level), (self._offset(F.lit(c)) + F.col("position")).alias(place))
             df = df.withColumn(level, F.coalesce(clean_level(F.col(c)), F.lit(v["mode"])))
-            df = joins.keyed_join(df, [(table, "left")], [level], [(x,) for x in v["hot"]])
-            df = df.withColumn(place, F.coalesce(place, F.lit(float(n)))).drop(level)
+            df = joins.keyed_join(df, [(table, "left")], [level], [(x,) for x in v["hot"]]).drop(level)
             places.append(place)
-        sizes = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in used.values())], [*places])
-        encoder = OneHotEncoder(inputCols=places, outputCols=[f"{p}_v" for p in places], handleInvalid="keep").fit(sizes)
-        df = encoder.transform(df.withColumn("_numeric", array_to_vector(F.array(*self.numeric_columns()).cast("array<double>"))))
-        joined = VectorAssembler(inputCols=["_numeric", *encoder.getOutputCols()], outputCol="_features").transform(df)
-        return joined.select(*[c for c in names if c != out], F.col("_features").alias(out))
+        width = len(listed["numeric"]) + sum(used.values())
+        df = df.withColumn("_features", _sparse_vectors(self.numeric_columns(), [F.col(p) for p in places], width))
+        return df.select(*[c for c in names if c != out], F.col("_features").alias(out))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         if self.has_table:

@@ -87,6 +87,27 @@ def test_levels_as_a_table_give_the_same_features(spark, tmp_path, monkeypatch):
     assert rows.count() == 400 and len(rows.first()[search.VECTOR]) == len(names)
 
 
+def test_vectors_of_very_many_levels_carry_no_attributes(spark, monkeypatch):
+    df = spark.range(60).select((F.col("id") % 3).alias("x"), F.concat(F.lit("k"), "id").alias("a"), F.lit("same").alias("b"))
+    monkeypatch.setattr(preprocess, "LITERAL_LEVELS", 5)
+    fitted = PanelPreprocessor(numeric=["x"], categorical=["a", "b"]).fit(df)
+    found = fitted.transform(df.unionByName(spark.createDataFrame([(1, "never", None)], "x long, a string, b string")))
+    assert found.schema["features"].metadata == {}  # one attribute per level would grow on the driver
+    of = {r.a: r.features for r in found.collect()}
+    levels = sorted(a for a in of if a != "never")
+    assert {v.size for v in of.values()} == {62}
+    assert [of[a].indices.tolist() for a in levels] == [[*([] if int(a[1:]) % 3 == 1 else [0]), 1 + i, 61] for i, a in enumerate(levels)]
+    assert of["k0"].values.tolist() == pytest.approx([-math.sqrt(1.5), 1.0, 1.0])
+    assert of["never"].indices.tolist() == [61] and of["never"].values.tolist() == [1.0]
+
+
+def test_vectors_are_stored_the_shorter_way(spark):
+    schema = "x double, p long, q long"
+    df = spark.createDataFrame([(0.5, 1, 4), (0.0, None, 3), (float("nan"), 2, None)], schema)
+    found = df.select(preprocess._sparse_vectors([F.col("x")], [F.col("p"), F.col("q")], 5).cast("string").alias("v")).collect()
+    assert [r.v for r in found] == ["[0.5,1.0,0.0,0.0,1.0]", "(5,[3],[1.0])", "(5,[0,2],[NaN,1.0])"]
+
+
 def test_mode_tie_goes_to_the_smaller(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert [tuple(r) for r in column_modes(df, ["c"]).collect()] == [("c", "a", 2)]
