@@ -30,6 +30,8 @@ SHIPPED_NUMBERS = 4_000_000
 POINTS_PER_CELL = 5_000
 ROWS_PER_BLOCK = 20_000
 SALTS = 16
+NUMBERS_PER_BLOCK = 640_000  # ROWS_PER_BLOCK is for short vectors; of longer ones a block has fewer
+LEAST_BLOCK_ROWS = 1_000
 QUERIES_AT_ONCE = 128
 HOT_VECTOR_ROWS = 10_000
 
@@ -176,10 +178,16 @@ class Tops:
         return rows.withColumn("top", F.explode(reached("vec", "ub")))
 
 
-def _below_tops(rows: DataFrame, key: str, tree: DataFrame, n_tops: int, apply, schema: str) -> DataFrame:
+def _block_rows(dimensions: int) -> int:
+    """How many vectors make a block."""
+    return min(ROWS_PER_BLOCK, max(LEAST_BLOCK_ROWS, NUMBERS_PER_BLOCK // max(1, dimensions)))
+
+
+def _below_tops(rows: DataFrame, key: str, tree: DataFrame, tops: Tops, apply, schema: str) -> DataFrame:
     """``apply(rows, row of the tree)`` for blocks of bounded size of the rows of each top."""
+    n_tops, block_rows = tops.pivots.shape[0], _block_rows(tops.pivots.shape[1])
     counts = {r["top"]: r["n"] for r in rows.groupBy("top").agg(F.count(F.lit(1)).alias("n")).collect()}  # n_tops rows at most
-    listed = F.array(*[F.lit(max(1, -(-counts.get(t, 0) // ROWS_PER_BLOCK))) for t in range(n_tops)])
+    listed = F.array(*[F.lit(max(1, -(-counts.get(t, 0) // block_rows))) for t in range(n_tops)])
     blocks = listed[F.col("top")].cast("long")
     cut = rows.withColumn("block", F.pmod(F.xxhash64(key), blocks))
     beside = tree.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -198,7 +206,7 @@ def _pivots_of(row) -> np.ndarray:
     return np.stack([np.asarray(v, float) for v in row["pivots"]])
 
 
-def _tree(points: DataFrame, n_tops: int, n_below: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def _tree(points: DataFrame, tops: Tops, n_below: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(id, vec, cell) of all points, and per top its pivots with the number and extent of each one's points."""
     order = Window.partitionBy("top").orderBy(row_hash(["vec_key"], seed), "vec_key")
     chosen = points.filter("_rn = 1").withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n_below)
@@ -213,7 +221,7 @@ def _tree(points: DataFrame, n_tops: int, n_below: int, seed: int) -> tuple[Data
         return pd.DataFrame({"id": rows["id"], "vec": rows["vec"], "cell": node["top"] * n_below + own,
                              "dist": distances[np.arange(len(own)), own]})
 
-    placed = checkpointed(_below_tops(points.select("id", "vec", "top"), "id", pivots, n_tops, assign,
+    placed = checkpointed(_below_tops(points.select("id", "vec", "top"), "id", pivots, tops, assign,
                                       "id string, vec array<double>, cell long, dist double"))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high"))
     extents = cells.groupBy(F.floor(F.col("cell") / n_below).cast("int").alias("top")).agg(
@@ -246,7 +254,7 @@ def _at_home(queries: DataFrame, tops: Tops, tree: DataFrame, n_below: int, want
                              "cell": node["top"] * n_below + distances.argmin(1)})
 
     rows = tops.assign(queries).drop("dist")
-    return _below_tops(rows, "vec_key", tree, len(pivots), assign, "vec_key string, vec array<double>, ub double, cell long")
+    return _below_tops(rows, "vec_key", tree, tops, assign, "vec_key string, vec array<double>, ub double, cell long")
 
 
 def _visits(queries: DataFrame, tops: Tops, tree: DataFrame, n_below: int) -> DataFrame:
@@ -254,25 +262,26 @@ def _visits(queries: DataFrame, tops: Tops, tree: DataFrame, n_below: int) -> Da
 
     def cells(rows: pd.DataFrame, node) -> pd.DataFrame:
         if node is None:
-            return _nothing("vec_key", "vec", "ub", "cell")
+            return _nothing("vec_key", "vec", "ub", "cells")
         below = _pivots_of(node)
         _, low, high = _extents(node, len(below))
         visit = _not_ruled_out(_pivot_distances(_matrix(rows["vec"]), below), _pivot_distances(below, below), low, high, rows["ub"].to_numpy())
-        r, place = np.nonzero(visit)
-        cell = node["top"] * n_below + place
-        other = cell != rows["cell"].to_numpy()[r]
-        found = rows[["vec_key", "vec", "ub"]].iloc[r[other]]
-        return found.assign(cell=cell[other])
+        places = node["top"] * n_below + np.arange(len(below))
+        visit &= places[None, :] != rows["cell"].to_numpy()[:, None]
+        return rows[["vec_key", "vec", "ub"]].assign(cells=[places[v] for v in visit])
 
-    return _below_tops(tops.routed(queries), "vec_key", tree, len(tops.pivots), cells,
-                       "vec_key string, vec array<double>, ub double, cell long")
+    # the vector is repeated per cell by Spark; in a task there is one of each row
+    found = _below_tops(tops.routed(queries), "vec_key", tree, tops, cells,
+                        "vec_key string, vec array<double>, ub double, cells array<long>")
+    return found.select("vec_key", "vec", "ub", F.explode("cells").alias("cell"))
 
 
 def _search_cells(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
     """Candidates of (vec_key, vec, ub, cell) among the points (id, vec, cell) of the same cell."""
+    block_rows = _block_rows(points.select(F.size("vec").alias("d")).first()["d"])
     sizes = points.groupBy("cell").agg(F.count(F.lit(1)).alias("np")).join(
         queries.groupBy("cell").agg(F.count(F.lit(1)).alias("nq")), "cell")
-    sizes = sizes.select("cell", *[F.ceil(F.col(n) / ROWS_PER_BLOCK).alias(b) for n, b in (("np", "pbs"), ("nq", "qbs"))])
+    sizes = sizes.select("cell", *[F.ceil(F.col(n) / block_rows).alias(b) for n, b in (("np", "pbs"), ("nq", "qbs"))])
     salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
     def every(n: str) -> Column:
@@ -313,7 +322,7 @@ def _search_tree(asked: DataFrame, known: DataFrame, k: int, exclude_self: bool,
         tops = Tops(tops.pivots[tops.n > 0])
         points = checkpointed(tops.assign(known))
         tops.measure(points)
-    placed, tree = _tree(points, len(tops.pivots), n_below, seed)
+    placed, tree = _tree(points, tops, n_below, seed)
     home = checkpointed(_at_home(distinct, tops, tree, n_below, wanted))
     first = checkpointed(_best(_search_cells(home, placed, wanted), wanted))
     reached = first.groupBy("vec_key").agg(F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).alias("reach"))

@@ -62,6 +62,28 @@ def test_far_cells_are_not_visited(spark, monkeypatch):
     assert home == 300 and visited < 300 * 40 / 4
 
 
+def test_a_task_puts_out_each_query_once(spark, monkeypatch):
+    """However many cells a query visits, its vector is not repeated in the memory of a task."""
+    seen = []
+    plain = neighbors._below_tops
+
+    def counted(rows, *more):
+        found = plain(rows, *more)
+        seen.append((rows.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(neighbors, "_below_tops", counted)
+    x = np.random.default_rng(6).normal(size=(200, 12))
+    df = frame(spark, x)
+    found = neighbors.nearest(df, df, 5, "id", "vec", n_cells=49)
+    assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x), listed(x), 5)
+    assert len(seen) == 3 and all(rows == put_out for rows, put_out in seen)
+
+
+def test_blocks_of_longer_vectors_have_fewer_rows():
+    assert [neighbors._block_rows(d) for d in (2, 64, 256, 100_000)] == [20_000, 10_000, 2_500, 1_000]
+
+
 def test_cells_follow_the_points(spark, monkeypatch):
     """Beyond what is shipped a tree is built whose cells are as many as the points ask for."""
     asked = []
