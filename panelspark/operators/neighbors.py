@@ -33,6 +33,7 @@ SALTS = 16
 NUMBERS_PER_BLOCK = 640_000  # ROWS_PER_BLOCK is for short vectors; of longer ones a block has fewer
 LEAST_BLOCK_ROWS = 1_000
 QUERIES_AT_ONCE = 128
+NUMBERS_AT_ONCE = 1_000_000
 HOT_VECTOR_ROWS = 10_000
 
 FOUND = "vec_key string, neighbor string, d2 double"
@@ -63,21 +64,27 @@ def best_in_block(queries: np.ndarray, limits: np.ndarray, points: np.ndarray, i
     """(query row, point row, squared distance) of each query's k best points within its limit.
 
     Candidates come from one matrix product; their distances are then computed directly, and
-    equal ones are ordered by id.
+    equal ones are ordered by id. The more points, the fewer queries are compared at once.
     """
     rows, cols, found = [], [], []
     point_sq = (points**2).sum(1)
-    for start in range(0, len(queries), QUERIES_AT_ONCE):
-        part = queries[start : start + QUERIES_AT_ONCE]
+    id_place = np.empty(len(ids), dtype=np.int64)
+    id_place[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    at_once = max(1, min(QUERIES_AT_ONCE, NUMBERS_AT_ONCE // len(points)))
+    for start in range(0, len(queries), at_once):
+        part = queries[start : start + at_once]
         part_sq = (part**2).sum(1)
         rough = part_sq[:, None] + point_sq[None, :] - 2.0 * part @ points.T
         slack = 1e-9 * (1.0 + part_sq + point_sq.max())
-        bound = limits[start : start + QUERIES_AT_ONCE] ** 2
+        bound = limits[start : start + at_once] ** 2
         if len(points) > k:
             bound = np.minimum(bound, np.partition(rough, k - 1, axis=1)[:, k - 1])
         r, c = np.nonzero(rough <= (bound + slack)[:, None])
-        exact = ((part[r] - points[c]) ** 2).sum(1)
-        order = np.lexsort((ids[c], exact, r))
+        exact = np.empty(len(r))
+        step = max(1, NUMBERS_AT_ONCE // max(1, points.shape[1]))
+        for i in range(0, len(r), step):  # with many equal distances these are many
+            exact[i : i + step] = ((part[r[i : i + step]] - points[c[i : i + step]]) ** 2).sum(1)
+        order = np.lexsort((id_place[c], exact, r))
         r, c, exact = r[order], c[order], exact[order]
         first = np.searchsorted(r, r, side="left")
         keep = np.arange(len(r)) - first < k

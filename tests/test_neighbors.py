@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,22 @@ def test_blocks_of_longer_vectors_have_fewer_rows():
     assert [neighbors._block_rows(d) for d in (2, 64, 256, 100_000)] == [20_000, 10_000, 2_500, 1_000]
 
 
+@pytest.mark.parametrize("equal", [False, True])
+def test_memory_does_not_follow_the_points(equal):
+    x = np.random.default_rng(7).normal(size=(200_000, 4))
+    if equal:
+        x[:] = x[0]
+    ids = np.array([str(i) for i in range(len(x))])
+    queries = x[:64].copy()
+    tracemalloc.start()
+    r, c, d2 = neighbors.best_in_block(queries, np.full(len(queries), np.inf), x, ids, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert r.tolist() == np.repeat(np.arange(64), 3).tolist()
+    assert ids[c[:3]].tolist() == ["0", "1", "10"] if equal else c[::3].tolist() == list(range(64))
+    assert peak < 150e6  # all distances alone would be 102 MB, and several such tables were made at once
+
+
 def test_cells_follow_the_points(spark, monkeypatch):
     """Beyond what is shipped a tree is built whose cells are as many as the points ask for."""
     asked = []
