@@ -270,19 +270,30 @@ def _lines_with(docs: DataFrame, bits: bytes, min_chars: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(bits, np.uint8)
-        for batch in batches:
+
+        def hits(owners: list[tuple[int, int]], numbers: list[int], lines: list[str]) -> pa.RecordBatch:
+            hashes = line_ids(lines)
+            place = hashes[:, 1] & (FILTER_BITS - 1)
+            hit = np.flatnonzero((marked[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+            at = hit.tolist()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([owners[k][0] for k in at], pa.int64()), pa.array([owners[k][1] for k in at], pa.int64()),
+                 pa.array([numbers[k] for k in at], pa.int64()), pa.array(hashes[hit, 0]), pa.array(hashes[hit, 1]),
+                 pa.array([lines[k] for k in at], pa.string())], ["doc_id", "text_mark", "line_no", "high", "low", "line"])
+
+        for batch in batches:  # lines of many documents go out together
+            owners, numbers, lines, chars = [], [], [], 0
             for doc_id, mark, text in zip(batch["doc_id"].to_pylist(), batch["text_mark"].to_pylist(), batch["text"]):
                 found = lines_of(text.as_py(), min_chars)
-                if not found:
-                    continue
-                hashes = line_ids([line for _, line in found])
-                place = hashes[:, 1] & (FILTER_BITS - 1)
-                hit = np.flatnonzero((marked[place >> 3] >> (place & 7).astype(np.uint8)) & 1).tolist()
-                if hit:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id] * len(hit), pa.int64()), pa.array([mark] * len(hit), pa.int64()),
-                         pa.array([found[k][0] for k in hit], pa.int64()), pa.array(hashes[hit, 0]), pa.array(hashes[hit, 1]),
-                         pa.array([found[k][1] for k in hit])], ["doc_id", "text_mark", "line_no", "high", "low", "line"])
+                owners += [(doc_id, mark)] * len(found)
+                numbers += [k for k, _ in found]
+                lines += [line for _, line in found]
+                chars += sum(len(line) for _, line in found)
+                if chars >= CHARS_AT_ONCE:
+                    yield hits(owners, numbers, lines)
+                    owners, numbers, lines, chars = [], [], [], 0
+            if lines:
+                yield hits(owners, numbers, lines)
 
     return docs.mapInArrow(run, "doc_id long, text_mark long, line_no long, high long, low long, line string")
 

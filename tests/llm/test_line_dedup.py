@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from panelspark.llm import line_dedup
@@ -207,3 +208,27 @@ def test_bitmap_keeps_what_is_wanted(spark):
 
 def test_empty_table(frame):
     assert line_dedup.dedup_lines(frame([])).collect() == []
+
+
+def test_marked_lines_of_many_documents_go_out_together():
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [f"line number {i} of the text\nshort\nthe same line everywhere" if i % 3 else "short" for i in range(300)] + [""]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array([i * 7 for i in range(len(texts))], pa.int64()), pa.array(texts)],
+        ["doc_id", "text_mark", "text"])
+    want = [(i, i * 7, k, line) for i, text in enumerate(texts) for k, line in line_dedup.lines_of(text, 10)]
+    every = bytes([255]) * (line_dedup.FILTER_BITS // 8)
+    found = list(line_dedup._lines_with(Docs(), every, 10)(iter([batch])))
+    assert len(found) == 1  # a batch per document costs more than its lines
+    got = [(r["doc_id"], r["text_mark"], r["line_no"], r["line"]) for b in found for r in b.to_pylist()]
+    assert got == want and len(got) == 400
+    hashes = line_dedup.line_ids([line for *_, line in want])
+    assert [[r["high"], r["low"]] for r in found[0].to_pylist()] == hashes.tolist()
+    bits = bytearray(line_dedup.FILTER_BITS // 8)
+    place = int(hashes[0, 1]) & (line_dedup.FILTER_BITS - 1)
+    bits[place >> 3] |= 1 << (place & 7)
+    only = [r["doc_id"] for b in line_dedup._lines_with(Docs(), bytes(bits), 10)(iter([batch])) for r in b.to_pylist()]
+    assert only == [1]
