@@ -1,6 +1,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,76 @@ def test_bounds_hold():
     assert (visit | ~needed).all() and not visit.all()
 
 
+def test_queries_are_not_copied_where_cells_rule_out_nothing(spark, monkeypatch):
+    """Every query would visit nearly every cell, and its copies would fill the disk."""
+    copied = []
+    plain = neighbors._search_cells
+    monkeypatch.setattr(neighbors, "_search_cells", lambda q, p, k: copied.append(q.count()) or plain(q, p, k))
+    monkeypatch.setattr(neighbors, "SHIPPED_NUMBERS", 100)
+    monkeypatch.setattr(neighbors, "POINTS_PER_CELL", 10)
+    x = np.random.default_rng(9).normal(size=(300, 12))
+    df = frame(spark, x)
+    found = neighbors.nearest(df, df, 5, "id", "vec")
+    assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == brute(listed(x), listed(x), 5)
+    assert sum(copied) <= 2 * neighbors.COPIES_WORTH * 300
+
+
+def test_far_clusters_are_worth_a_tree(spark):
+    x = np.random.default_rng(10).normal(size=(300, 2)) + np.repeat(np.arange(10) * 1000, 30)[:, None]
+    y = np.random.default_rng(11).normal(size=(300, 12))
+    for rows, worth in ((x, True), (y, False)):
+        blocks = neighbors._blocks(neighbors._keyed(frame(spark, rows), "id", "vec"), 4, 300, rows.shape[1])
+        assert neighbors._tree_is_worth(blocks, blocks, 4, 30, rows.shape[1]) == worth
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("one_table", [True, False])
+def test_pairs_of_blocks(spark, monkeypatch, kind, one_table):
+    """Blocks of both sides, copies and equal distances within and between blocks, fewer than k in a block."""
+    monkeypatch.setattr(neighbors, "SHIPPED_NUMBERS", 10)
+    monkeypatch.setattr(neighbors, "_block_rows", lambda d: 40)
+    monkeypatch.setattr(neighbors, "_tree_is_worth", lambda *a: False)
+    rng = np.random.default_rng(12)
+    x, y = rng.integers(0, 4, size=(250, 3)).astype(float), rng.integers(0, 5, size=(90, 3)).astype(float)
+    x[:60] = x[0]
+    points = frame(spark, x).withColumn("vec", F.col("vec").cast(f"array<{kind}>"))
+    queries = points if one_table else frame(spark, y, 1000)
+    found = neighbors.nearest(queries, points, 50, "id", "vec", exclude_self=one_table)
+    expected = brute(listed(x) if one_table else listed(y, 1000), listed(x), 50, one_table)
+    assert {(r.query_id, r["rank"]): r.neighbor_id for r in found.collect()} == expected
+    assert neighbors.nearest(frame(spark, y).limit(0), points, 5, "id", "vec").count() == 0
+
+
+@pytest.mark.parametrize("scale", [1e-30, 1e-5, 1.0, 1e5, 1e30])
+@pytest.mark.parametrize("centre", [0.0, 1e4])
+@pytest.mark.parametrize("grid", [False, True])
+def test_rough_comparison_loses_nothing(scale, centre, grid):
+    rng = np.random.default_rng(13)
+    points, queries = (rng.integers(0, 3, size=(n, 5)) if grid else rng.normal(size=(n, 5)) for n in (4501, 300))
+    points, queries = (points + centre) * scale, (queries + centre) * scale
+    ids = np.array([str(i) for i in range(len(points))])
+    d2 = ((queries[:, None] - points[None]) ** 2).sum(2)
+    order = np.lexsort((np.broadcast_to(np.argsort(np.argsort(ids)), d2.shape), d2), axis=1)[:, :6]
+    kth = np.sqrt(np.take_along_axis(d2, order[:, 5:], 1)[:, 0])
+    for limits in (np.full(300, np.inf), kth * 1.0000001, np.where(np.arange(300) % 2, kth * 1.5, np.inf)):
+        r, c, found = neighbors.best_in_block(queries, limits, points, ids, 6)
+        assert r.tolist() == np.repeat(np.arange(300), 6).tolist()
+        assert (c.reshape(300, 6) == order).all()
+        assert (found.reshape(300, 6) == np.take_along_axis(d2, order, 1)).all()
+
+
+def test_copies_are_dropped_before_the_shuffle():
+    batch = pa.RecordBatch.from_pydict({"id": ["5", "1", "9", None, "3"], "vec_key": ["a", "a", "b", "a", "a"], "vec": [[1.0]] * 2 + [[2.0]] + [[1.0]] * 2})
+    (kept,) = neighbors._fewer_copies(2)(iter([batch]))
+    assert kept.column("id").to_pylist() == ["1", "9", None]
+
+
+def test_vectors_of_unequal_length_are_refused():
+    batch = pa.RecordBatch.from_pydict({"id": ["1", "2"], "vec_key": ["a", "b"], "vec": [[1.0], [1.0, 2.0]], "first": [True, True]})
+    with pytest.raises(ValueError, match="one length"):
+        neighbors._as_block([batch])
+
+
 def test_fewer_points_than_k(spark):
     df = frame(spark, np.array([[0.0], [1.0]]))
     assert neighbors.nearest(df, df, 5, "id", "vec").count() == 2
