@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import neighbors
+from panelspark.plans.queries import learning
 
 
 def clustered(n=400, d=3, seed=0):
@@ -218,3 +219,19 @@ def test_vote(spark):
     near = neighbors.nearest(df, df, 2, "id", "vec")
     found = {r.query_id: r.p for r in neighbors.vote(near, df, "id", "y", 2).collect()}
     assert found == {"0": 0.0, "1": 0.0, "2": 0.0, "3": 1.0, "4": 1.0, "5": 1.0}
+
+
+def test_vote_query_copies_no_queries(spark, monkeypatch, tmp_path):
+    copied = []
+    plain = neighbors._search_cells
+    monkeypatch.setattr(neighbors, "_search_cells", lambda q, p, k: copied.append(q.count()) or plain(q, p, k))
+    monkeypatch.setattr(neighbors, "SHIPPED_NUMBERS", 100)
+    monkeypatch.setattr(neighbors, "POINTS_PER_CELL", 10)
+    rng = np.random.default_rng(14)
+    x, label = rng.normal(size=(200, 12)).astype(np.float32), rng.integers(0, 5, 200)
+    rows = [(i, [float(v) for v in x[i]], int(label[i])) for i in range(200)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    near = brute(listed(x.astype(float)), listed(x.astype(float)), 7)
+    expected = {str(i): round(sum(label[int(near[str(i), r])] == 3 for r in range(1, 8)) / 7, 6) for i in range(200)}
+    assert {r.query_id: r.p for r in learning.neighbor_vote(spark, str(tmp_path)).collect()} == expected
+    assert sum(copied) <= 2 * neighbors.COPIES_WORTH * 200
